@@ -1,0 +1,5 @@
+"""Deliberately empty: the analytics covered here are batch only.
+
+Row-level operators (scorecard, tariff, null filter, hash split, model scoring)
+hold no state and add no shuffle, so they take a streaming DataFrame unchanged.
+"""
