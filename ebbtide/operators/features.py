@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.operators.clean import existing_columns
+from ebbtide.sources import collect_small
 
 MAX_LEVELS = 10_000
 RAW_FEATURES, FEATURES = "raw_features", "features"
@@ -51,22 +52,41 @@ class FeatureColumns:
         return [*([self.key] if self.key else []), self.label, *self.numeric, *self.categorical]
 
 
-def check_levels(df: DataFrame, categorical: Sequence[str], max_levels: int = MAX_LEVELS) -> None:
-    """Refuse columns with too many distinct values: an indexer brings its vocabulary to the driver."""
-    if not categorical:
-        return
-    names = list(categorical)
-    seen = df.agg(*[F.approx_count_distinct(name).alias(name) for name in names]).first()
-    wide = {name: seen[name] for name in names if seen[name] > max_levels}
-    if wide:
-        raise ValueError(f"too many categories to index (limit {max_levels}): {wide}")
-
+def category_counts(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
+    """Rows (column_no, label, rows) for all categorical columns, from one scan and one aggregation.
 
-def string_indexer(columns: FeatureColumns) -> StringIndexer:
-    """Most frequent label first, ties in text order, unseen labels in an extra index."""
-    return StringIndexer(
-        inputCols=list(columns.categorical), outputCols=columns.index_columns, handleInvalid="keep"
+    Nulls are not labels. Counts are combined map-side, so a label that holds a
+    third of the rows is one row per task in the shuffle.
+    """
+    names = list(categorical)
+    texts = df.select(*[F.col(name).cast("string").alias(f"_c{i}") for i, name in enumerate(names)])
+    column_no = F.coalesce(*[F.when(F.grouping(name) == 0, F.lit(i)) for i, name in enumerate(texts.columns)])
+    counts = texts.groupingSets([[name] for name in texts.columns], *texts.columns).agg(
+        column_no.alias("column_no"), F.count("*").alias("rows")
     )
+    labelled = counts.select("column_no", F.coalesce(*texts.columns).alias("label"), "rows")
+    return labelled.where(F.col("label").isNotNull())
+
+
+def fit_indexers(df: DataFrame, columns: FeatureColumns, max_levels: int = MAX_LEVELS) -> list[StringIndexerModel]:
+    """Index labels by frequency, ties in text order; labels unseen here get an extra index.
+
+    The vocabulary goes to the driver and into every task, so columns with more
+    than ``max_levels`` labels are refused; at most the limit is collected.
+    """
+    names = list(columns.categorical)
+    limit = max_levels * len(names)
+    rows = collect_small(category_counts(df, names), limit, "categories to index")
+    vocabulary = [[] for _ in names]
+    for row in sorted(rows, key=lambda row: (-row.rows, row.label)):
+        vocabulary[row.column_no].append(row.label)
+    wide = {name: len(labels) for name, labels in zip(names, vocabulary) if len(labels) > max_levels}
+    if wide:
+        raise ValueError(f"more than {max_levels} categories to index: {wide}")
+    return [
+        StringIndexerModel.from_labels(labels, inputCol=name, outputCol=index, handleInvalid="keep")
+        for name, index, labels in zip(names, columns.index_columns, vocabulary)
+    ]
 
 
 def one_hot_encoder(columns: FeatureColumns) -> OneHotEncoder:
@@ -84,21 +104,30 @@ def scaler() -> StandardScaler:
     return StandardScaler(inputCol=RAW_FEATURES, outputCol=FEATURES, withStd=True, withMean=False)
 
 
+def fit_encoding(train: DataFrame, columns: FeatureColumns, max_levels: int = MAX_LEVELS) -> PipelineModel:
+    """Indexers, one-hot encoder and assembler, fitted in one pass over the training rows."""
+    stages = [assembler(columns)]
+    if columns.categorical:
+        stages = [*fit_indexers(train, columns, max_levels), one_hot_encoder(columns), *stages]
+    return Pipeline(stages=stages).fit(train)
+
+
+def with_scaler(encoding: PipelineModel, encoded: DataFrame) -> PipelineModel:
+    """The encoding followed by a scaler fitted on rows it has encoded."""
+    return PipelineModel(stages=[*encoding.stages, scaler().fit(encoded)])
+
+
 def fit_features(train: DataFrame, columns: FeatureColumns, max_levels: int = MAX_LEVELS) -> PipelineModel:
-    """Fit all encoding stages once, on training rows only."""
-    encoding = [string_indexer(columns), one_hot_encoder(columns)] if columns.categorical else []
-    check_levels(train, columns.categorical, max_levels)
-    return Pipeline(stages=[*encoding, assembler(columns), scaler()]).fit(train)
+    """All feature stages, fitted on training rows only."""
+    encoding = fit_encoding(train, columns, max_levels)
+    return with_scaler(encoding, encoding.transform(train))
 
 
 def feature_names(model: PipelineModel, columns: FeatureColumns) -> list[str]:
     """Name of every vector slot: ``column`` or ``column=label``, with all fitted labels."""
-    names = list(columns.numeric)
-    for stage in model.stages:
-        if isinstance(stage, StringIndexerModel):
-            for name, labels in zip(columns.categorical, stage.labelsArray, strict=True):
-                names += [f"{name}={label}" for label in labels]
-    return names
+    indexers = [stage for stage in model.stages if isinstance(stage, StringIndexerModel)]
+    levels = [f"{indexer.getInputCol()}={label}" for indexer in indexers for label in indexer.labels]
+    return [*columns.numeric, *levels]
 
 
 def vector_width(encoded: DataFrame, vector: str = FEATURES) -> int:

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.operators.checks import DependencyRule, DomainRule, RangeRule, domain_violations, rule_violations
@@ -18,10 +19,9 @@ from ebbtide.operators.features import (
     FEATURES,
     RAW_FEATURES,
     FeatureColumns,
-    check_levels,
     fit_features,
+    fit_indexers,
     one_hot_encoder,
-    string_indexer,
 )
 from ebbtide.operators.metrics import (
     best_model,
@@ -110,13 +110,13 @@ def trained_metrics(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     )
 
 
-def slots(vector: str, prefix: str, width: int, places: int | None = None) -> list[Column]:
-    """Vector slots as columns."""
-    values = vector_to_array(F.col(vector))
-    picked = [F.get(values, F.lit(i)) for i in range(width)]
-    return [
-        (value if places is None else F.round(value, places)).alias(f"{prefix}{i}") for i, value in enumerate(picked)
-    ]
+def slots(df: DataFrame, keys: list[str], vector: str, prefix: str, width: int, places: int | None = None) -> DataFrame:
+    """Keys and vector slots as columns; the vector is unpacked once per row."""
+    values = [F.get("values", F.lit(i)) for i in range(width)]
+    shown = values if places is None else [F.round(value, places) for value in values]
+    return df.select(*keys, vector_to_array(F.col(vector)).alias("values")).select(
+        *keys, *[value.alias(f"{prefix}{i}") for i, value in enumerate(shown)]
+    )
 
 
 # --- cleaning, preview, splits -------------------------------------------------
@@ -255,8 +255,7 @@ def q_roc_auc_by_model(spark, sf_dir):
 
 def q_label_index(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderpriority")
-    check_levels(orders, PRIORITY.categorical)
-    indexed = string_indexer(PRIORITY).fit(orders).transform(orders)
+    indexed = PipelineModel(fit_indexers(orders, PRIORITY)).transform(orders)
     return indexed.groupBy("o_orderpriority", F.col("o_orderpriorityIndex").cast("int").alias("label_index")).agg(
         F.count("*").alias("rows")
     )
@@ -264,10 +263,9 @@ def q_label_index(spark, sf_dir):
 
 def q_one_hot(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    check_levels(orders, PRIORITY.categorical)
-    indexed = string_indexer(PRIORITY).fit(orders).transform(orders)
+    indexed = PipelineModel(fit_indexers(orders, PRIORITY)).transform(orders)
     encoded = one_hot_encoder(PRIORITY).fit(indexed).transform(indexed)
-    return encoded.select("o_orderkey", *slots("o_orderpriorityVec", "slot_", 5))
+    return slots(encoded, ["o_orderkey"], "o_orderpriorityVec", "slot_", 5)
 
 
 def _matrix(spark, sf_dir) -> DataFrame:
@@ -278,18 +276,18 @@ def _matrix(spark, sf_dir) -> DataFrame:
 
 
 def q_assemble(spark, sf_dir):
-    return _matrix(spark, sf_dir).select("l_orderkey", "l_linenumber", *slots(RAW_FEATURES, "x", 7))
+    return slots(_matrix(spark, sf_dir), ["l_orderkey", "l_linenumber"], RAW_FEATURES, "x", 7)
 
 
 def q_feature_matrix(spark, sf_dir):
-    return _matrix(spark, sf_dir).select("l_orderkey", "l_linenumber", *slots(FEATURES, "x", 7, places=6))
+    return slots(_matrix(spark, sf_dir), ["l_orderkey", "l_linenumber"], FEATURES, "x", 7, places=6)
 
 
 def q_standard_scale(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     columns = FeatureColumns(label="o_orderkey", numeric=("o_totalprice",), categorical=())
     scaled = fit_features(orders, columns).transform(orders)
-    return scaled.select("o_orderkey", *slots(FEATURES, "scaled_", 1, places=6))
+    return slots(scaled, ["o_orderkey"], FEATURES, "scaled_", 1, places=6)
 
 
 # --- models --------------------------------------------------------------------

@@ -47,21 +47,16 @@ def segment_report(df: DataFrame, label: str, segments: Sequence[Segment]) -> Da
     """
     keys = [f"_key_{i}" for i in range(len(segments))]
     keyed = df.select(label, *[segment.key().alias(key) for key, segment in zip(keys, segments)])
+    segment_no = F.coalesce(*[F.when(F.grouping(key) == 0, F.lit(i)) for i, key in enumerate(keys)])
     grouped = keyed.groupingSets([[key] for key in keys], *keys).agg(
-        F.grouping_id().alias("_set"), *rate_measures(label)
+        segment_no.alias("segment_no"), *rate_measures(label)
     )
-    # grouping_id has a bit per key column, 0 for the one column a set groups by.
-    all_bits = 2 ** len(keys) - 1
-    set_of = [all_bits - 2 ** (len(keys) - 1 - i) for i in range(len(keys))]
-
-    def per_set(choices: Sequence[Column]) -> Column:
-        return F.coalesce(*[F.when(F.col("_set") == number, choice) for number, choice in zip(set_of, choices)])
-
+    # Only the key a row is grouped by is set, so the others contribute null.
     measured = grouped.select(
-        per_set([F.lit(i) for i in range(len(keys))]).alias("segment_no"),
-        per_set([F.lit(segment.name) for segment in segments]).alias("segment"),
-        per_set([segment.position(key) for key, segment in zip(keys, segments)]).alias("position"),
-        per_set([segment.text(key) for key, segment in zip(keys, segments)]).alias("value"),
+        "segment_no",
+        F.element_at(F.array(*[F.lit(segment.name) for segment in segments]), F.col("segment_no") + 1).alias("segment"),
+        F.coalesce(*[segment.position(key) for key, segment in zip(keys, segments)]).alias("position"),
+        F.coalesce(*[segment.text(key) for key, segment in zip(keys, segments)]).alias("value"),
         "rows",
         "positives",
     ).where(F.col("value").isNotNull())

@@ -9,7 +9,16 @@ from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.sql import DataFrame
 
-from ebbtide.operators.features import FEATURES, MAX_LEVELS, FeatureColumns, feature_names, fit_features, vector_width
+from ebbtide.operators.features import (
+    FEATURES,
+    MAX_LEVELS,
+    RAW_FEATURES,
+    FeatureColumns,
+    feature_names,
+    fit_encoding,
+    vector_width,
+    with_scaler,
+)
 from ebbtide.operators.metrics import MODEL_KEYS, metrics_by_model
 from ebbtide.operators.models import default_models, feature_importance, fit_models, score_models
 from ebbtide.operators.roc import roc_auc
@@ -45,14 +54,16 @@ class Comparison:
         self.release()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for the iterations of a fit.
+def spread(df: DataFrame) -> tuple[DataFrame, bool]:
+    """The rows over at least as many partitions as cores, and whether that takes a shuffle.
 
-    Only an input of fewer partitions than cores (a small file) is shuffled; a
-    large table has more splits than cores and stays where it is.
+    A large table has more splits than cores and stays where it is; only a
+    table too small to keep the cluster busy is dealt out, by a hash of the row.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df, False
+    return df.repartition(cores, *df.columns), True
 
 
 def compare_models(
@@ -62,23 +73,32 @@ def compare_models(
     estimators: Mapping[str, Estimator] | None = None,
     max_levels: int = MAX_LEVELS,
 ) -> Comparison:
-    """Fit the features once and every model on the same cached rows; score the test rows in one pass."""
+    """Fit the encoding once and every model on the same cached rows; score the test rows in one pass.
+
+    The training table is read twice: to count the categories, and to encode
+    and cache the rows that the scaler and all models are fitted on.
+    """
     columns = columns.present_in(train)
     estimators = default_models(columns.label) if estimators is None else estimators
-    train = spread(train.select(columns.used))
-    features = fit_features(train, columns, max_levels)
-    encoded = features.transform(train).select(columns.label, FEATURES)
-    names = feature_names(features, columns)
-    if len(names) != vector_width(encoded):
-        raise ValueError(f"{len(names)} feature names for {vector_width(encoded)} vector slots")
-
-    encoded = encoded.persist(StorageLevel.MEMORY_AND_DISK)
+    source, shuffled = spread(train.select(columns.used))
+    if shuffled:
+        source = source.persist(StorageLevel.MEMORY_AND_DISK)
+    encoding = fit_encoding(source, columns, max_levels)
+    encoded = encoding.transform(source).select(columns.label, RAW_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = fit_models(encoded, estimators)
+        names = feature_names(encoding, columns)
+        width = vector_width(encoded, RAW_FEATURES)
+        if len(names) != width:
+            raise ValueError(f"{len(names)} feature names for {width} vector slots")
+        features = with_scaler(encoding, encoded)
+        scaled = features.stages[-1].transform(encoded).select(columns.label, FEATURES)
+        models = fit_models(scaled, estimators)
     finally:
         encoded.unpersist()
+        if shuffled:
+            source.unpersist()
 
     keep = [columns.key] if columns.key else []
-    tested = features.transform(spread(test.select(columns.used)))
+    tested = features.transform(spread(test.select(columns.used))[0])
     scored = score_models(tested, models, columns.label, keep).persist(StorageLevel.MEMORY_AND_DISK)
     return Comparison(columns, features, names, models, scored)

@@ -45,11 +45,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def collect_small(df: DataFrame, max_rows: int = SMALL_RESULT_ROWS) -> list[Row]:
+def collect_small(df: DataFrame, max_rows: int = SMALL_RESULT_ROWS, what: str = "result rows") -> list[Row]:
     """Rows of a result that must be small; fails instead of truncating."""
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; keep it distributed")
+        raise ValueError(f"more than {max_rows} {what}; too many for the driver")
     return rows
 
 
