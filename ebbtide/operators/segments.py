@@ -54,7 +54,7 @@ def complete_bins(measured: DataFrame, edges: Sequence[float]) -> DataFrame:
     labels = bin_labels(edges)
     domain = measured.sparkSession.range(len(labels)).select(
         F.col("id").cast("int").alias("bin"),
-        F.element_at(F.array(*map(F.lit, labels)), (F.col("id") + 1).cast("int")).alias("bin_label"),
+        F.get(F.array(*map(F.lit, labels)), F.col("id").cast("int")).alias("bin_label"),
     )
     return domain.join(F.broadcast(measured), "bin", "left").na.fill(0, ["rows", "positives"])
 

@@ -19,6 +19,7 @@ from ebbtide.operators.features import (
     FEATURES,
     RAW_FEATURES,
     FeatureColumns,
+    fit_encoding,
     fit_features,
     fit_indexers,
     one_hot_encoder,
@@ -268,19 +269,21 @@ def q_one_hot(spark, sf_dir):
     return slots(encoded, ["o_orderkey"], "o_orderpriorityVec", "slot_", 5)
 
 
-def _matrix(spark, sf_dir) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", *MATRIX.numeric, *MATRIX.categorical
-    )
-    return fit_features(lines, MATRIX).transform(lines)
+def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ("l_orderkey", "l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(*keys, *MATRIX.numeric, *MATRIX.categorical)
 
 
 def q_assemble(spark, sf_dir):
-    return slots(_matrix(spark, sf_dir), ["l_orderkey", "l_linenumber"], RAW_FEATURES, "x", 7)
+    lines = matrix_lines(spark, sf_dir)
+    encoded = fit_encoding(lines, MATRIX).transform(lines)
+    return slots(encoded, ["l_orderkey", "l_linenumber"], RAW_FEATURES, "x", 7)
 
 
 def q_feature_matrix(spark, sf_dir):
-    return slots(_matrix(spark, sf_dir), ["l_orderkey", "l_linenumber"], FEATURES, "x", 7, places=6)
+    lines = matrix_lines(spark, sf_dir)
+    encoded = fit_features(lines, MATRIX).transform(lines)
+    return slots(encoded, ["l_orderkey", "l_linenumber"], FEATURES, "x", 7, places=6)
 
 
 def q_standard_scale(spark, sf_dir):

@@ -34,7 +34,7 @@ class Segment:
     def text(self, key: str) -> Column:
         if self.kind != BIN:
             return F.col(key).cast("string")
-        return F.element_at(F.array(*map(F.lit, bin_labels(self.edges))), F.col(key) + 1)
+        return F.get(F.array(*map(F.lit, bin_labels(self.edges))), F.col(key))
 
 
 def segment_report(df: DataFrame, label: str, segments: Sequence[Segment]) -> DataFrame:
@@ -54,7 +54,7 @@ def segment_report(df: DataFrame, label: str, segments: Sequence[Segment]) -> Da
     # Only the key a row is grouped by is set, so the others contribute null.
     measured = grouped.select(
         "segment_no",
-        F.element_at(F.array(*[F.lit(segment.name) for segment in segments]), F.col("segment_no") + 1).alias("segment"),
+        F.get(F.array(*[F.lit(segment.name) for segment in segments]), F.col("segment_no")).alias("segment"),
         F.coalesce(*[segment.position(key) for key, segment in zip(keys, segments)]).alias("position"),
         F.coalesce(*[segment.text(key) for key, segment in zip(keys, segments)]).alias("value"),
         "rows",
