@@ -21,3 +21,15 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def plan_text():
+    """Formatted physical plan of a frame."""
+
+    def text(df):
+        return df._jdf.queryExecution().explainString(
+            df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+
+    return text
