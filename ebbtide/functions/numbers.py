@@ -18,7 +18,7 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def percent_text(value: Column, places: int = 1) -> Column:
-    """``12.3%`` as drawn on a chart; null stays null."""
+    """``12.3%`` as drawn on a chart, rounded half up; null stays null."""
     return F.when(value.isNotNull(), F.format_string(f"%.{places}f%%", value))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions import positive_probability
+from ebbtide.operators.clean import existing_columns, preview
 from ebbtide.operators.features import FEATURES
 
 OUTPUT_PARAMS = ("predictionCol", "probabilityCol", "rawPredictionCol")
@@ -61,6 +63,15 @@ def score_models(encoded: DataFrame, models: Mapping[str, Model], label: str, ke
     return wide.select(*keep, F.col(label).cast("int").alias("y"), F.inline(F.array(*outcomes)))
 
 
+def prediction_preview(
+    scored: DataFrame, models: Sequence[str], key: str, columns: Sequence[str], rows: int = 5
+) -> DataFrame:
+    """The first predictions of each model in key order: one top-k plan per model, no sort of all rows."""
+    wanted = ["model", *existing_columns(scored, columns)]
+    firsts = [preview(scored.where(F.col("model") == name), key, rows).select(wanted) for name in models]
+    return reduce(DataFrame.unionByName, firsts)
+
+
 def feature_importance(spark: SparkSession, model: Model, names: Sequence[str]) -> DataFrame:
     """Rows (idx, feature, importance) of a tree model, most important first."""
     values = model.featureImportances.toArray().tolist()

@@ -11,14 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.functions import bin_labels, percent, right_closed_bin
+from ebbtide.functions import bin_labels, percent, percent_text, right_closed_bin
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
-    """Rows and share in percent per class, ordered by class."""
+    """Rows and share in percent per class (also as chart text), ordered by class."""
     counts = df.groupBy(label).agg(F.count("*").alias("rows"))
     total = counts.agg(F.sum("rows")).scalar()
-    return counts.select(label, "rows", percent(F.col("rows"), total).alias("share_pct")).orderBy(label)
+    shares = counts.select(label, "rows", percent(F.col("rows"), total).alias("share_pct"))
+    return shares.withColumn("share_text", percent_text(F.col("share_pct"))).orderBy(label)
 
 
 def rate_measures(label: str) -> list[Column]:
@@ -42,7 +43,8 @@ def rate_by_bin(df: DataFrame, value: str, label: str, edges: Sequence[float]) -
         .groupBy("bin")
         .agg(*rate_measures(label))
     )
-    return complete_bins(measured, edges).select("bin", "bin_label", "rows", "positives", rate_pct()).orderBy("bin")
+    rates = complete_bins(measured, edges).select("bin", "bin_label", "rows", "positives", rate_pct())
+    return rates.withColumn("rate_text", percent_text(F.col("rate_pct"))).orderBy("bin")
 
 
 def complete_bins(measured: DataFrame, edges: Sequence[float]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ebbtide.operators.checks import domain_violations, rule_violations
 from ebbtide.operators.clean import drop_nulls
 from ebbtide.operators.metrics import MODEL_KEYS, confusion_matrix, metrics_report
+from ebbtide.operators.models import prediction_preview
 from ebbtide.operators.roc import roc_curve
 from ebbtide.operators.segments import class_distribution
 from ebbtide.operators.split import hash_split, random_split, split_frames
@@ -50,7 +51,8 @@ def run_attrition(
 
     Returns the metrics rows. Written: ``report`` (JSON document), and as CSV
     ``model_table``, ``confusion_matrix``, ``roc_curve``, ``importances``,
-    ``class_distribution``, ``segments``, ``rule_checks``, ``domain_checks``.
+    ``predictions_preview``, ``class_distribution``, ``segments``,
+    ``rule_checks``, ``domain_checks``.
     """
     raw = read_table(spark, source, fmt=fmt, infer=infer)
     table = staged(drop_nulls(raw))
@@ -67,9 +69,16 @@ def run_attrition(
         save(domain_violations(table, subscribers.domain_rules()), "domain_checks")
 
     train, test = split_table(table, split)
-    with compare_models(train, test, subscribers.FEATURE_COLUMNS) as comparison:
+    with compare_models(train, test, subscribers.FEATURE_COLUMNS, keep=subscribers.PREVIEW_COLUMNS) as comparison:
         metrics = comparison.metrics()
         importances = comparison.importances(IMPORTANCE_MODEL)
+        first_predictions = prediction_preview(
+            comparison.scored,
+            list(comparison.models),
+            subscribers.KEY,
+            [*subscribers.PREVIEW_COLUMNS, "y", "prediction", "score"],
+        )
+        save(first_predictions, "predictions_preview")
         save(roc_curve(comparison.scored, "y", "score", by=MODEL_KEYS, drop_intermediate=True), "roc_curve")
     save(metrics_report(metrics), "model_table")
     save(confusion_matrix(metrics), "confusion_matrix")

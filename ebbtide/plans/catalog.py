@@ -24,6 +24,7 @@ from ebbtide.operators.features import (
     fit_indexers,
     one_hot_encoder,
 )
+from ebbtide.operators.layout import spread
 from ebbtide.operators.metrics import (
     best_model,
     binary_metrics,
@@ -32,7 +33,7 @@ from ebbtide.operators.metrics import (
     metrics_by_model,
     metrics_report,
 )
-from ebbtide.operators.models import default_models
+from ebbtide.operators.models import default_models, prediction_preview
 from ebbtide.operators.roc import roc_auc, roc_curve
 from ebbtide.operators.scorecard import Scorecard, Tariff, risk_scorecard, tariff_rating
 from ebbtide.operators.segments import class_distribution, rate_by_bin, rate_by_category, rate_by_ordinal
@@ -86,7 +87,8 @@ def threshold_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for ordinal, (name, limit) in enumerate(THRESHOLDS.items())
     ]
-    return finished_orders(spark, sf_dir).select(F.col("finished").alias("y"), F.inline(F.array(*outcomes)))
+    orders = finished_orders(spark, sf_dir)
+    return orders.select("o_orderkey", F.col("finished").alias("y"), F.inline(F.array(*outcomes)))
 
 
 def signal_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -231,6 +233,11 @@ def q_report_document(spark, sf_dir):
     return report_metrics(build_report(q_metrics_by_model(spark, sf_dir)))
 
 
+def q_prediction_preview(spark, sf_dir):
+    scored = threshold_predictions(spark, sf_dir)
+    return prediction_preview(scored, list(THRESHOLDS), "o_orderkey", ["o_orderkey", "y", "prediction", "score"])
+
+
 def q_roc_curve(spark, sf_dir):
     return roc_curve(finished_orders(spark, sf_dir), "finished", "score")
 
@@ -276,12 +283,12 @@ def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_assemble(spark, sf_dir):
     lines = matrix_lines(spark, sf_dir)
-    encoded = fit_encoding(lines, MATRIX).transform(lines)
+    encoded = fit_encoding(lines, MATRIX).transform(spread(lines))
     return slots(encoded, ["l_orderkey", "l_linenumber"], RAW_FEATURES, "x", 7)
 
 
 def q_feature_matrix(spark, sf_dir):
-    lines = matrix_lines(spark, sf_dir)
+    lines = spread(matrix_lines(spark, sf_dir))
     encoded = fit_features(lines, MATRIX).transform(lines)
     return slots(encoded, ["l_orderkey", "l_linenumber"], FEATURES, "x", 7, places=6)
 

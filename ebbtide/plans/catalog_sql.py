@@ -18,7 +18,7 @@ CELLS = """CAST(count(*) FILTER (WHERE y = 0 AND p = 0) AS BIGINT) AS tn,
 
 MODEL_COUNTS = f"""
     tagged AS (
-      SELECT t.ordinal, t.model, CAST(o_orderstatus = 'F' AS INTEGER) AS y,
+      SELECT o_orderkey, t.ordinal, t.model, CAST(o_orderstatus = 'F' AS INTEGER) AS y,
              CAST(o_totalprice > t.cut AS INTEGER) AS p, -abs(o_totalprice - t.cut) AS score
       FROM orders, {THRESHOLD_RULES} AS t(ordinal, model, cut)
     ),
@@ -47,7 +47,8 @@ def _bins(column: str, edges: tuple[int, ...], source: str = RETURNED) -> str:
     cases = " ".join(f"WHEN {column} <= {edge} THEN {i}" for i, edge in enumerate(edges[1:]))
     return f"""
       SELECT d.bin, d.bin_label, coalesce(m.n, 0) AS "rows", coalesce(m.pos, 0) AS positives,
-             100.0::DOUBLE * m.pos / m.n AS rate_pct
+             100.0::DOUBLE * m.pos / m.n AS rate_pct,
+             printf('%.1f%%', round(100.0::DOUBLE * m.pos / m.n, 1)) AS rate_text
       FROM (VALUES {listed}) AS d(bin, bin_label)
       LEFT JOIN (
         SELECT bin, count(*) AS n, CAST(sum(returned) AS BIGINT) AS pos
@@ -178,8 +179,11 @@ def oracle_sql() -> dict[str, str]:
         "hash_split": f"SELECT o_orderkey, {HASH_PART} AS part FROM orders",
         "split_counts": f'SELECT {HASH_PART} AS part, count(*) AS "rows" FROM orders GROUP BY 1',
         "class_distribution": f"""
-          SELECT returned, count(*) AS "rows", 100.0::DOUBLE * count(*) / (SELECT count(*) FROM lineitem) AS share_pct
-          FROM ({RETURNED}) GROUP BY returned""",
+          SELECT *, printf('%.1f%%', round(share_pct, 1)) AS share_text
+          FROM (
+            SELECT returned, count(*) AS "rows",
+                   100.0::DOUBLE * count(*) / (SELECT count(*) FROM lineitem) AS share_pct
+            FROM ({RETURNED}) GROUP BY returned)""",
         "rate_by_charge_bin": _bins("l_extendedprice", (0, 20000, 40000, 60000, 80000)),
         "rate_by_tenure_bin": _bins("l_quantity", (0, 6, 12, 24, 48)),
         "rate_by_category": _rates("o_orderpriority", "finished", FINISHED),
@@ -201,13 +205,18 @@ def oracle_sql() -> dict[str, str]:
           WITH {MODEL_COUNTS}
           SELECT model, round(accuracy, 4) AS accuracy, round(f1, 4) AS f1_score, round("precision", 4) AS "precision",
                  round(recall, 4) AS recall, round(balanced_accuracy, 4) AS auc, tp, tn, fp, fn,
-                 printf('AUC %.3f', balanced_accuracy) AS auc_text, printf('Acc %.3f', accuracy) AS accuracy_text
+                 printf('AUC %.3f', round(balanced_accuracy, 3)) AS auc_text, printf('Acc %.3f', round(accuracy, 3)) AS accuracy_text
           FROM ({_metrics("counts", "ordinal, model,")})""",
         "best_model": f"""
           WITH {MODEL_COUNTS}
           SELECT model, balanced_accuracy FROM ({_metrics("counts", "ordinal, model,")})
           ORDER BY balanced_accuracy DESC, ordinal LIMIT 1""",
         "report_document": f"WITH {MODEL_COUNTS} {_metrics('counts', 'ordinal, model,')}",
+        "prediction_preview": f"""
+          WITH {MODEL_COUNTS}
+          SELECT model, o_orderkey, y, p AS prediction, score
+          FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY o_orderkey) AS place FROM tagged)
+          WHERE place <= 5""",
         "roc_curve": _curve(),
         "roc_curve_corners": _curve(
             "place = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg",

@@ -10,6 +10,7 @@ from ebbtide.operators.scorecard import Scorecard, Tariff
 from ebbtide.plans.segment_report import BIN, ORDINAL, Segment
 
 KEY, LABEL = "CustomerID", "Churn"
+PREVIEW_COLUMNS = (KEY, "Contract")
 
 # Feature columns in vector order.
 FEATURE_COLUMNS = FeatureColumns(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.sql import DataFrame
 
+from ebbtide.operators.clean import existing_columns
 from ebbtide.operators.features import (
     FEATURES,
     MAX_LEVELS,
@@ -19,6 +20,7 @@ from ebbtide.operators.features import (
     vector_width,
     with_scaler,
 )
+from ebbtide.operators.layout import spread
 from ebbtide.operators.metrics import MODEL_KEYS, metrics_by_model
 from ebbtide.operators.models import default_models, feature_importance, fit_models, score_models
 from ebbtide.operators.roc import roc_auc
@@ -54,37 +56,29 @@ class Comparison:
         self.release()
 
 
-def spread(df: DataFrame) -> tuple[DataFrame, bool]:
-    """The rows over at least as many partitions as cores, and whether that takes a shuffle.
-
-    A large table has more splits than cores and stays where it is; only a
-    table too small to keep the cluster busy is dealt out, by a hash of the row.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df, False
-    return df.repartition(cores, *df.columns), True
-
-
 def compare_models(
     train: DataFrame,
     test: DataFrame,
     columns: FeatureColumns,
     estimators: Mapping[str, Estimator] | None = None,
     max_levels: int = MAX_LEVELS,
+    keep: Sequence[str] = (),
 ) -> Comparison:
     """Fit the encoding once and every model on the same cached rows; score the test rows in one pass.
 
     The training table is read twice: to count the categories, and to encode
-    and cache the rows that the scaler and all models are fitted on.
+    and cache the rows that the scaler and all models are fitted on. The scored
+    rows carry the key and those columns of ``keep`` that the test table has.
     """
     columns = columns.present_in(train)
     estimators = default_models(columns.label) if estimators is None else estimators
-    source, shuffled = spread(train.select(columns.used))
+    source = train.select(columns.used)
+    dealt = spread(source)
+    shuffled = dealt is not source
     if shuffled:
-        source = source.persist(StorageLevel.MEMORY_AND_DISK)
-    encoding = fit_encoding(source, columns, max_levels)
-    encoded = encoding.transform(source).select(columns.label, RAW_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+        dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)
+    encoding = fit_encoding(dealt, columns, max_levels)
+    encoded = encoding.transform(dealt).select(columns.label, RAW_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         names = feature_names(encoding, columns)
         width = vector_width(encoded, RAW_FEATURES)
@@ -96,9 +90,10 @@ def compare_models(
     finally:
         encoded.unpersist()
         if shuffled:
-            source.unpersist()
+            dealt.unpersist()
 
-    keep = [columns.key] if columns.key else []
-    tested = features.transform(spread(test.select(columns.used))[0])
-    scored = score_models(tested, models, columns.label, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    shown = [columns.key] if columns.key else []
+    shown += [name for name in existing_columns(test, keep) if name not in shown]
+    tested = features.transform(spread(test.select(list(dict.fromkeys([*columns.used, *shown])))))
+    scored = score_models(tested, models, columns.label, shown).persist(StorageLevel.MEMORY_AND_DISK)
     return Comparison(columns, features, names, models, scored)

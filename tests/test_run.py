@@ -11,7 +11,7 @@ from fixtures import subscribers
 
 TABLES = {
     "class_distribution", "segments", "rule_checks", "domain_checks", "roc_curve", "model_table", "confusion_matrix",
-    "importances", "report",
+    "importances", "predictions_preview", "report",
 }
 
 
@@ -40,6 +40,8 @@ def test_whole_run(spark, source, tmp_path):
     assert len(csv(spark, tmp_path / "segments")) == 5 + 5 + 3 + 5 + 4
     assert all(row.violations == 0 for row in csv(spark, tmp_path / "domain_checks"))
     assert len(csv(spark, tmp_path / "confusion_matrix")) == 6
+    shown = csv(spark, tmp_path / "predictions_preview")
+    assert len(shown) == 15 and all(row.Contract for row in shown)
     curve = csv(spark, tmp_path / "roc_curve")
     for model in {row.model for row in curve}:
         points = sorted((row.fpr, row.tpr) for row in curve if row.model == model)

@@ -11,7 +11,9 @@ LINEITEM = "/root/testdata/sf0.001/lineitem.parquet"
 
 def test_class_distribution(spark):
     df = spark.createDataFrame([(0,)] * 3 + [(1,)], "y int")
-    assert [tuple(row) for row in class_distribution(df, "y").collect()] == [(0, 3, 75.0), (1, 1, 25.0)]
+    assert [tuple(row) for row in class_distribution(df, "y").collect()] == [
+        (0, 3, 75.0, "75.0%"), (1, 1, 25.0, "25.0%"),
+    ]
 
 
 def test_empty_bins_are_listed(spark):
@@ -20,6 +22,7 @@ def test_empty_bins_are_listed(spark):
     assert [row.bin for row in rows] == [0, 1, 2, 3, 4]
     assert [row.rows for row in rows] == [0, 2, 0, 0, 0]
     assert [row.rate_pct for row in rows] == [None, 50.0, None, None, None]
+    assert [row.rate_text for row in rows] == [None, "50.0%", None, None, None]
 
 
 def test_categories_come_highest_first(spark):

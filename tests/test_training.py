@@ -2,11 +2,12 @@ import pytest
 from pyspark.ml.classification import LinearSVC
 from pyspark.sql import functions as F
 
-from ebbtide.operators.models import default_models, feature_importance
+from ebbtide.operators.layout import spread
+from ebbtide.operators.models import default_models, feature_importance, prediction_preview
 from ebbtide.operators.roc import roc_auc
 from ebbtide.operators.split import hash_split, split_frames
 from ebbtide.plans.subscribers import FEATURE_COLUMNS, KEY
-from ebbtide.plans.training import compare_models, spread
+from ebbtide.plans.training import compare_models
 from fixtures import subscribers
 
 MODELS = ["Logistic Regression", "Decision Tree", "Random Forest"]
@@ -81,10 +82,16 @@ def test_missing_feature_columns_are_skipped(parts):
 
 def test_only_small_tables_are_dealt_out(spark):
     cores = spark.sparkContext.defaultParallelism
-    small, shuffled = spread(spark.range(0, 100, 1, 1))
-    assert shuffled and small.rdd.getNumPartitions() == cores
+    small = spark.range(0, 100, 1, 1)
+    assert spread(small).rdd.getNumPartitions() == cores and spread(small).count() == 100
     large = spark.range(0, 1000, 1, cores + 1)
-    assert spread(large) == (large, False)
+    assert spread(large) is large
+
+
+def test_preview_of_predictions(comparison, parts):
+    shown = prediction_preview(comparison.scored, MODELS, KEY, [KEY, "absent", "y", "prediction"]).collect()
+    first = [row[KEY] for row in parts[1].orderBy(KEY).limit(5).collect()]
+    assert [(row.model, row[KEY]) for row in shown] == [(model, key) for model in MODELS for key in first]
 
 
 def test_areas_do_not_depend_on_the_layout(comparison):
