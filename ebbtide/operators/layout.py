@@ -9,9 +9,10 @@ def spread(df: DataFrame) -> DataFrame:
     """The rows over at least as many partitions as cores; the same frame if they already are.
 
     A large table has more splits than cores and stays where it is; only a
-    table too small to keep the cluster busy is dealt out, by a hash of the row.
+    table with too few splits to keep the cluster busy is dealt out, row by row
+    in turn, so that no value can gather rows.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, *df.columns)
+    return df.repartition(cores)

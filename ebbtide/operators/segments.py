@@ -34,15 +34,11 @@ def rate_pct() -> Column:
 def rate_by_bin(df: DataFrame, value: str, label: str, edges: Sequence[float]) -> DataFrame:
     """Label rate per right-closed bin; every bin is listed in order, an empty one with a null rate.
 
-    Values outside the bins (null, NaN, at or below the first edge) are in no bin.
+    Values outside the bins (null, NaN, at or below the first edge) are in no
+    bin; the comparison that leaves them out is pushed to the scan.
     """
-    ordinal = right_closed_bin(F.col(value), edges)
-    measured = (
-        df.select(ordinal.alias("bin"), label)
-        .where(F.col("bin").isNotNull())
-        .groupBy("bin")
-        .agg(*rate_measures(label))
-    )
+    inside = df.where((F.col(value) > F.lit(edges[0])) & ~F.isnan(value))
+    measured = inside.groupBy(right_closed_bin(F.col(value), edges).alias("bin")).agg(*rate_measures(label))
     rates = complete_bins(measured, edges).select("bin", "bin_label", "rows", "positives", rate_pct())
     return rates.withColumn("rate_text", percent_text(F.col("rate_pct"))).orderBy("bin")
 

@@ -16,8 +16,9 @@ def draw(name):
 
 def pick(name, *shares):
     """Value by cumulative share: ``shares`` are (value, upper bound) pairs."""
-    *limited, (last, _) = shares
-    return reduce(lambda chosen, pair: chosen.when(draw(name) < pair[1], F.lit(pair[0])), limited, F.when(F.lit(False), F.lit(last))).otherwise(F.lit(last))
+    first, *middle, last = shares
+    chosen = F.when(draw(name) < first[1], F.lit(first[0]))
+    return reduce(lambda so_far, pair: so_far.when(draw(name) < pair[1], F.lit(pair[0])), middle, chosen).otherwise(F.lit(last[0]))
 
 
 def between(name, low, high):
@@ -33,6 +34,7 @@ def yes_no(name, share):
 
 
 def subscribers(spark, rows=2000, partitions=4):
+    # Categories, shares, ranges and conditions of the input table's columns.
     base = spark.range(0, rows, 1, partitions).select(
         "id",
         F.concat(F.lit("CUST"), F.col("id") + 1001).alias("CustomerID"),

@@ -56,6 +56,13 @@ def test_report_equals_the_single_operators(spark):
     df.unpersist()
 
 
+def test_bin_filter_reaches_the_scan(spark, plan_text):
+    df = spark.read.parquet(LINEITEM).withColumn("y", (F.col("l_returnflag") == "R").cast("int"))
+    text = plan_text(rate_by_bin(df, "l_quantity", "y", TENURE_EDGES))
+    assert "GreaterThan(l_quantity,0.0)" in text
+    assert "ReadSchema: struct<l_quantity:double,l_returnflag:string>" in text
+
+
 def test_report_reads_the_table_once(spark, plan_text):
     df = spark.read.parquet(LINEITEM).withColumn("y", (F.col("l_returnflag") == "R").cast("int"))
     cuts = [Segment("q", "l_quantity", BIN, TENURE_EDGES), Segment("s", "l_linestatus"), Segment("n", "l_linenumber", ORDINAL)]
