@@ -46,10 +46,15 @@ class FeatureColumns:
     def assembled(self) -> list[str]:
         return [*self.numeric, *self.vector_columns]
 
+    @property
+    def inputs(self) -> list[str]:
+        """The source columns a fit reads."""
+        return [self.label, *self.numeric, *self.categorical]
+
     @property
     def used(self) -> list[str]:
-        """Every source column a training run reads."""
-        return [*([self.key] if self.key else []), self.label, *self.numeric, *self.categorical]
+        """The source columns of a fit and of its scored rows."""
+        return [*([self.key] if self.key else []), *self.inputs]
 
 
 def category_counts(df: DataFrame, categorical: Sequence[str]) -> DataFrame:

@@ -39,7 +39,8 @@ def risk_scorecard(df: DataFrame, card: Scorecard) -> DataFrame:
     terms = [F.lit(float(card.offset))]
     terms += [weight_of(F.col(column), weights) for column, weights in card.categories.items()]
     terms += [_if_equal(column, value, weight) for (column, value), weight in card.flags.items()]
-    terms += [F.lit(float(weight)) * (F.col(column) - F.lit(centre)) for column, (weight, centre) in card.linear.items()]
+    for column, (weight, centre) in card.linear.items():
+        terms.append(F.lit(float(weight)) * (F.col(column) - F.lit(centre)))
     return df.withColumn("logit", sum_of(terms)).withColumn("risk", sigmoid(F.col("logit")))
 
 

@@ -203,9 +203,11 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT model, 1, fn, tp FROM counts""",
         "metrics_report": f"""
           WITH {MODEL_COUNTS}
-          SELECT model, round(accuracy, 4) AS accuracy, round(f1, 4) AS f1_score, round("precision", 4) AS "precision",
-                 round(recall, 4) AS recall, round(balanced_accuracy, 4) AS auc, tp, tn, fp, fn,
-                 printf('AUC %.3f', round(balanced_accuracy, 3)) AS auc_text, printf('Acc %.3f', round(accuracy, 3)) AS accuracy_text
+          SELECT model, round(accuracy, 4) AS accuracy, round(f1, 4) AS f1_score,
+                 round("precision", 4) AS "precision", round(recall, 4) AS recall,
+                 round(balanced_accuracy, 4) AS auc, tp, tn, fp, fn,
+                 printf('AUC %.3f', round(balanced_accuracy, 3)) AS auc_text,
+                 printf('Acc %.3f', round(accuracy, 3)) AS accuracy_text
           FROM ({_metrics("counts", "ordinal, model,")})""",
         "best_model": f"""
           WITH {MODEL_COUNTS}
@@ -224,6 +226,11 @@ def oracle_sql() -> dict[str, str]:
         "roc_auc": _area("score", FINISHED_Y),
         "roc_auc_fine": _area("o_totalprice", FINISHED_Y),
         "roc_auc_by_model": f"WITH {MODEL_COUNTS} SELECT * FROM ({_area('score', 'SELECT * FROM tagged', 'model,')})",
+        "category_counts": " UNION ALL ".join(
+            f"""SELECT {number} AS column_no, CAST({name} AS VARCHAR) AS label, count(*) AS "rows"
+                FROM lineitem WHERE {name} IS NOT NULL GROUP BY {name}"""
+            for number, name in enumerate(("l_returnflag", "l_linestatus", "l_linenumber"))
+        ),
         "label_index": f"""
           SELECT o_orderpriority, CAST(idx AS INTEGER) AS label_index, n AS "rows" FROM ({PRIORITY_INDEX})""",
         "one_hot": f"""

@@ -72,7 +72,7 @@ def compare_models(
     """
     columns = columns.present_in(train)
     estimators = default_models(columns.label) if estimators is None else estimators
-    source = train.select(columns.used)
+    source = train.select(columns.inputs)
     dealt = spread(source)
     shuffled = dealt is not source
     if shuffled:

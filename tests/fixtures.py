@@ -1,7 +1,5 @@
 """A small subscriber table whose values depend on the row id only."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ebbtide.functions import unit_hash
@@ -18,7 +16,9 @@ def pick(name, *shares):
     """Value by cumulative share: ``shares`` are (value, upper bound) pairs."""
     first, *middle, last = shares
     chosen = F.when(draw(name) < first[1], F.lit(first[0]))
-    return reduce(lambda so_far, pair: so_far.when(draw(name) < pair[1], F.lit(pair[0])), middle, chosen).otherwise(F.lit(last[0]))
+    for value, share in middle:
+        chosen = chosen.when(draw(name) < share, F.lit(value))
+    return chosen.otherwise(F.lit(last[0]))
 
 
 def between(name, low, high):

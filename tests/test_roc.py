@@ -76,7 +76,8 @@ def test_area_equals_the_evaluator_and_mirrors(spark):
     pairs = sample("distinct", seed=3)
     df = frame(spark, pairs)
     area = roc_auc(df, "y", "s").first().roc_auc
-    assert area == pytest.approx(BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="s").evaluate(df), abs=1e-12)
+    evaluator = BinaryClassificationEvaluator(labelCol="y", rawPredictionCol="s")
+    assert area == pytest.approx(evaluator.evaluate(df), abs=1e-12)
     mirrored = roc_auc(df.withColumn("s", -F.col("s")), "y", "s").first().roc_auc
     assert area + mirrored == pytest.approx(1.0, abs=1e-12)
 

@@ -1,4 +1,5 @@
 import json
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -71,7 +72,7 @@ def test_command_line(source, tmp_path):
     run = subprocess.run(
         [sys.executable, "-m", "ebbtide", source, str(tmp_path / "out"), "--split", "hash"],
         cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True, timeout=600,
-        env={**__import__("os").environ, "PYSPARK_SUBMIT_ARGS": "--master local[4] --conf spark.ui.enabled=false pyspark-shell"},
+        env={**os.environ, "PYSPARK_SUBMIT_ARGS": "--master local[4] --conf spark.ui.enabled=false pyspark-shell"},
     )
     assert run.returncode == 0, run.stderr[-2000:]
     assert "Random Forest" in run.stdout

@@ -35,13 +35,16 @@ def test_categories_come_highest_first(spark):
 
 def test_ordinals_come_in_order(spark):
     df = spark.createDataFrame([(3, 1), (1, 0), (2, 1), (2, 0)], "k int, y int")
-    assert [(row.k, row.rate_pct) for row in rate_by_ordinal(df, "k", "y").collect()] == [(1, 0.0), (2, 50.0), (3, 100.0)]
+    rows = rate_by_ordinal(df, "k", "y").collect()
+    assert [(row.k, row.rate_pct) for row in rows] == [(1, 0.0), (2, 50.0), (3, 100.0)]
 
 
 def test_report_equals_the_single_operators(spark):
     df = subscribers(spark).cache()
     report = segment_report(df, "Churn", SEGMENTS).collect()
-    by_name = {s.name: [(r.value, r.rows, r.positives, r.rate_pct) for r in report if r.segment == s.name] for s in SEGMENTS}
+    by_name = {}
+    for row in report:
+        by_name.setdefault(row.segment, []).append((row.value, row.rows, row.positives, row.rate_pct))
     bins = ["bin_label", "rows", "positives", "rate_pct"]
 
     def plain(frame, *columns):
@@ -65,7 +68,11 @@ def test_bin_filter_reaches_the_scan(spark, plan_text):
 
 def test_report_reads_the_table_once(spark, plan_text):
     df = spark.read.parquet(LINEITEM).withColumn("y", (F.col("l_returnflag") == "R").cast("int"))
-    cuts = [Segment("q", "l_quantity", BIN, TENURE_EDGES), Segment("s", "l_linestatus"), Segment("n", "l_linenumber", ORDINAL)]
+    cuts = [
+        Segment("q", "l_quantity", BIN, TENURE_EDGES),
+        Segment("s", "l_linestatus"),
+        Segment("n", "l_linenumber", ORDINAL),
+    ]
     text = plan_text(segment_report(df, "y", cuts))
     assert text.count("Location: InMemoryFileIndex") == 1
     assert "ReadSchema: struct<l_linenumber:int,l_quantity:double,l_returnflag:string,l_linestatus:string>" in text

@@ -66,13 +66,17 @@ def test_small_results_only(spark):
     assert small_table(spark.range(3)).schema == spark.range(3).schema
 
 
-METRICS = "ordinal int, model string, tn long, fp long, fn long, tp long, accuracy double, precision double, recall double, balanced_accuracy double, f1 double"
+METRICS = (
+    "ordinal int, model string, tn long, fp long, fn long, tp long, accuracy double, precision double, "
+    "recall double, balanced_accuracy double, f1 double"
+)
 ROWS = [(1, "B", 1, 2, 3, 4, 0.5, 0.6, 0.7, 0.8, 0.9), (0, "Ä", 5, 6, 7, 8, 0.1, 0.2, 0.3, None, 0.4)]
 
 
 def test_report_round_trip(spark, tmp_path):
     metrics = spark.createDataFrame(ROWS, METRICS)
-    importances = spark.createDataFrame([(1, "b=x", 0.75), (0, "a", 0.25)], "idx int, feature string, importance double")
+    slots = [(1, "b=x", 0.75), (0, "a", 0.25)]
+    importances = spark.createDataFrame(slots, "idx int, feature string, importance double")
     path = str(tmp_path / "report")
     write_report(build_report(metrics, importances), path)
     write_report(build_report(metrics, importances), path)  # overwrites

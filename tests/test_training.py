@@ -37,8 +37,8 @@ def test_metrics_rows(comparison, parts):
 def test_scores_are_probabilities_in_line_with_predictions(comparison):
     scored = comparison.scored
     assert scored.columns == [KEY, "y", "ordinal", "model", "prediction", "score"]
-    wrong = scored.where((F.col("score") < 0) | (F.col("score") > 1) | ((F.col("score") > 0.5) != (F.col("prediction") == 1)))
-    assert wrong.where(F.col("score") != 0.5).count() == 0
+    assert scored.where(~F.col("score").between(0, 1)).count() == 0
+    assert scored.where((F.col("score") != 0.5) & ((F.col("score") > 0.5) != (F.col("prediction") == 1))).count() == 0
 
 
 def test_every_test_row_is_scored_by_every_model(comparison, parts):
@@ -80,6 +80,14 @@ def test_missing_feature_columns_are_skipped(parts):
         assert run.metrics().count() == 1
 
 
+def test_nothing_stays_cached(spark, parts):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    with compare_models(*parts, FEATURE_COLUMNS, {"tree": default_models("Churn")["Decision Tree"]}) as run:
+        run.metrics()
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() == before + 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_only_small_tables_are_dealt_out(spark):
     cores = spark.sparkContext.defaultParallelism
     small = spark.range(0, 100, 1, 1)
