@@ -21,15 +21,18 @@ def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int
     return df.randomSplit(list(weights), seed=seed)
 
 
-def hash_split(df: DataFrame, key: str, train_share: float = 0.8, salt: str = "") -> DataFrame:
-    """Add ``part`` = train/test from a hash of the key.
+def hash_split(df: DataFrame, *keys: str, train_share: float = 0.8, salt: str = "") -> DataFrame:
+    """Add ``part`` = train/test from a hash of the key columns.
 
-    The part depends on the key alone, so it survives repartitioning, retries
-    and appended data; rows that share a key share a part. No shuffle, no sort.
+    The part depends on the keys alone, so it survives repartitioning, retries
+    and appended data. No shuffle, no sort. Rows that share all keys share a
+    part: name enough columns to tell rows apart if one key value is frequent,
+    or the shares follow that value.
     """
-    if not 0.0 < train_share < 1.0:
-        raise ValueError("train_share must lie between 0 and 1")
-    draw = unit_hash(required(F.col(key), key), salt)
+    if not keys or not 0.0 < train_share < 1.0:
+        raise ValueError("at least one key, and a train_share between 0 and 1")
+    texts = [required(F.col(name), name).cast("string") for name in keys]
+    draw = unit_hash(F.concat_ws("|", *texts) if len(texts) > 1 else texts[0], salt)
     return df.withColumn("part", F.when(draw < F.lit(train_share), F.lit(TRAIN)).otherwise(F.lit(TEST)))
 
 

@@ -79,7 +79,8 @@ def run_attrition(
             [*subscribers.PREVIEW_COLUMNS, "y", "prediction", "score"],
         )
         save(first_predictions, "predictions_preview")
-        save(roc_curve(comparison.scored, "y", "score", by=MODEL_KEYS, drop_intermediate=True), "roc_curve")
+        curves = roc_curve(comparison.scored, "y", "score", by=MODEL_KEYS, drop_intermediate=True)
+        save(curves.orderBy("ordinal", "fpr", "tpr"), "roc_curve")
     save(metrics_report(metrics), "model_table")
     save(confusion_matrix(metrics), "confusion_matrix")
     save(importances, "importances")

@@ -96,7 +96,8 @@ def signal_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """Train and test line items with a label that the features can predict."""
     unit_price = F.col("l_extendedprice") * (1 - F.col("l_discount")) / F.col("l_quantity")
     lines = table(spark, sf_dir, "lineitem").withColumn("y", (unit_price > 2200).cast("int"))
-    return split_frames(hash_split(lines.select(SIGNAL.used), SIGNAL.key))
+    parted = hash_split(lines.select("l_linenumber", *SIGNAL.used), SIGNAL.key, "l_linenumber")
+    return split_frames(parted)
 
 
 def trained(spark: SparkSession, sf_dir: str, *names: str) -> Comparison:
@@ -158,6 +159,11 @@ def q_hash_split(spark, sf_dir):
     return hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
 
 
+def q_hash_split_rows(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return hash_split(lines, "l_orderkey", "l_linenumber", train_share=0.5, salt="fold 1: ")
+
+
 def q_split_counts(spark, sf_dir):
     return split_counts(q_hash_split(spark, sf_dir))
 

@@ -177,6 +177,11 @@ def oracle_sql() -> dict[str, str]:
           WHERE nullif(o_orderstatus, 'P') IS NOT NULL AND o_totalprice IS NOT NULL AND NOT isnan(o_totalprice)""",
         "preview_topk": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 5",
         "hash_split": f"SELECT o_orderkey, {HASH_PART} AS part FROM orders",
+        "hash_split_rows": """
+          SELECT l_orderkey, l_linenumber,
+                 CASE WHEN CAST('0x' || substr(md5('fold 1: ' || concat_ws('|', l_orderkey, l_linenumber)), 1, 8)
+                                AS BIGINT) / 4294967296.0 < 0.5 THEN 'train' ELSE 'test' END AS part
+          FROM lineitem""",
         "split_counts": f'SELECT {HASH_PART} AS part, count(*) AS "rows" FROM orders GROUP BY 1',
         "class_distribution": f"""
           SELECT *, printf('%.1f%%', round(share_pct, 1)) AS share_text

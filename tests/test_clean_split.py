@@ -65,4 +65,13 @@ def test_hash_split_adds_no_shuffle(spark, plan_text):
 
 def test_hash_split_checks_its_share(spark):
     with pytest.raises(ValueError):
-        hash_split(spark.range(1), "id", 1.0)
+        hash_split(spark.range(1), "id", train_share=1.0)
+    with pytest.raises(ValueError):
+        hash_split(spark.range(1))
+
+
+def test_more_key_columns_split_a_frequent_key(spark):
+    df = spark.range(3000).select(F.lit(7).alias("hot"), "id")
+    assert split_counts(hash_split(df, "hot")).count() == 1
+    counts = {row.part: row.rows for row in split_counts(hash_split(df, "hot", "id")).collect()}
+    assert 0.77 < counts["train"] / 3000 < 0.83
