@@ -78,7 +78,8 @@ def best_model(metrics: DataFrame, measure: str = "balanced_accuracy") -> DataFr
 
 
 def metrics_report(metrics: DataFrame) -> DataFrame:
-    """Comparison table in run order: metrics rounded to 4 places, counts, and card texts."""
+    """Comparison table in run order: metrics rounded to 4 places, counts, card texts, and the best model's mark."""
+    best = best_model(metrics).select("ordinal").scalar()
     rounded = {
         "accuracy": "accuracy",
         "f1_score": "f1",
@@ -95,4 +96,5 @@ def metrics_report(metrics: DataFrame) -> DataFrame:
         "fn",
         F.format_string("AUC %.3f", "balanced_accuracy").alias("auc_text"),
         F.format_string("Acc %.3f", "accuracy").alias("accuracy_text"),
+        (F.col("ordinal") == best).alias("best"),
     )

@@ -212,7 +212,8 @@ def oracle_sql() -> dict[str, str]:
                  round("precision", 4) AS "precision", round(recall, 4) AS recall,
                  round(balanced_accuracy, 4) AS auc, tp, tn, fp, fn,
                  printf('AUC %.3f', round(balanced_accuracy, 3)) AS auc_text,
-                 printf('Acc %.3f', round(accuracy, 3)) AS accuracy_text
+                 printf('Acc %.3f', round(accuracy, 3)) AS accuracy_text,
+                 row_number() OVER (ORDER BY balanced_accuracy DESC, ordinal) = 1 AS best
           FROM ({_metrics("counts", "ordinal, model,")})""",
         "best_model": f"""
           WITH {MODEL_COUNTS}

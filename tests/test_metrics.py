@@ -40,6 +40,7 @@ def test_best_model_and_report(spark):
     assert best_model(metrics).first().model == "Logistic Regression"
     report = metrics_report(metrics).collect()
     assert [row.model for row in report] == [golden[0] for golden in GOLDENS]
+    assert [row.best for row in report] == [True, False, False]
     assert report[0].f1_score == 0.786 and report[0].auc == 0.8328
     assert report[0].auc_text == "AUC 0.833" and report[0].accuracy_text == "Acc 0.863"
 

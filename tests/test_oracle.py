@@ -8,7 +8,7 @@ from oracle import canonical, connect, run_sql
 SF_DIR = "/root/testdata/sf0.01"
 ORACLE = contract.oracle_sql()
 QUERIES = contract.queries()
-SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
