@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import licenses, pii, secrets
+from ebbtide.llm import licenses, minhash, pii, quality, secrets
 from ebbtide.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -22,11 +27,17 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
+        "op2_quality": op2_quality,
         "op3_personal_data": op3_personal_data,
         "op6_secrets": op6_secrets,
+        "op8_near_duplicates": op8_near_duplicates,
     }
 
 
