@@ -1,9 +1,9 @@
 """Operator 8: near duplicates by MinHash bands, sequential Bayesian verification and exact confirmation.
 
 Texts with equal shingle sets are one node, so copies cost one node however many there are. Nodes that share a band
-bucket are candidates. They are not paired with each other: first every node of a bucket is compared with one hub; only
-where the confirmed links leave a bucket in several components are nodes of different components compared, in blocks of
-bounded size, without writing pairs that fail. A comparison reads signatures in batches and stops once the posterior
+bucket are candidates. They are not paired with each other: first every node of a bucket is compared with two hubs; only
+where the confirmed links leave a bucket in several components are nodes of different components compared, inside groups
+of bounded size that write confirmed links only. A comparison reads signatures in batches and stops once the posterior
 chance of reaching the threshold is below ``MISS``; what survives is confirmed on the full shingle sets.
 
 Words are split at ASCII white space after lower-casing A-Z. A text with fewer words than a shingle is one shingle; a
@@ -32,7 +32,7 @@ BANDS, ROWS = 40, 5  # a pair at 0.8 shares no band with a chance of (1 - 0.8 **
 SIGNATURE = BANDS * ROWS
 BATCH = 25  # hashes compared before each look at the posterior
 MISS = 1e-6  # a pair is pruned when its posterior chance of reaching the threshold is below this
-BLOCK = 1024  # nodes of one bucket that are compared with each other in one group
+BLOCK, BLOCK_SHINGLES = 1024, 2_000_000  # nodes and shingles of one bucket that are compared in one group
 BROADCAST_ROWS = 500_000  # addresses of candidate texts are broadcast up to this many (24 bytes each), joined beyond
 CACHED_WORDS = 1_000_000
 
@@ -208,37 +208,53 @@ def confirmed(pairs: DataFrame, sets: DataFrame, shingling: Shingling) -> DataFr
     return staged(beside(alive, "shingles").mapInArrow(exact, "u long, v long"), "confirmed")
 
 
-def cross_component_pairs(members: DataFrame, sets: DataFrame, shingling: Shingling) -> DataFrame:
-    """Surviving pairs between components within buckets. ``members``: bucket, node, root, members of the bucket.
-
-    A bucket is cut into chunks of about ``BLOCK`` nodes; each pair of chunks is one group, so a group stays bounded and
-    a large bucket becomes many groups.
+def compare_block(group: pd.DataFrame, needed: list[tuple[int, int]], percent: int) -> pd.DataFrame:
+    """Confirmed links between components of one group, as few as connect what is connected."""
+    least = np.frombuffer(b"".join(group["least"]), np.uint32).reshape(-1, SIGNATURE)
+    sets = [np.frombuffer(shingles, np.uint64) for shingles in group["shingles"]]
+    sizes = np.array([len(one) for one in sets])
+    chunk, nodes = group["chunk"].to_numpy(), group["node"].to_numpy()
+    first, second = int(group["first"].iloc[0]), int(group["second"].iloc[0])
+    component = group["root"].to_numpy().copy()
+    out = []
+    for i in np.flatnonzero(chunk == first):
+        other = (chunk == second) if first != second else (np.arange(len(nodes)) > i)
+        fits = 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
+        others = np.flatnonzero(other & fits & (component != component[i]))
+        others = others[may_reach(np.broadcast_to(least[i], (len(others), SIGNATURE)), least[others], needed)]
+        for j in others:
+            if component[j] != component[i] and reach(sets[i], sets[j], percent):
+                component[component == component[j]] = component[i]
+                out.append(sorted((nodes[i], nodes[j])))
+    return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+
+def cross_component_links(members: DataFrame, sets: DataFrame, shingling: Shingling) -> DataFrame:
+    """Confirmed links between components within buckets. ``members``: bucket, node, root.
+
+    A bucket is cut into chunks of bounded nodes and shingles; each pair of chunks is one group, so a group stays
+    bounded, a large bucket becomes many groups, and a group writes fewer links than it has nodes.
     """
     needed = least_matches(shingling.percent)
+    percent = shingling.percent
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        least = np.frombuffer(b"".join(group["least"]), np.uint32).reshape(-1, SIGNATURE)
-        roots, chunk, nodes = group["root"].to_numpy(), group["chunk"].to_numpy(), group["node"].to_numpy()
-        first, second = int(group["first"].iloc[0]), int(group["second"].iloc[0])
-        out = []
-        for i in np.flatnonzero(chunk == first):
-            other = roots != roots[i]
-            other &= (chunk == second) if first != second else (np.arange(len(nodes)) > i)
-            others = np.flatnonzero(other)
-            if len(others):
-                others = others[may_reach(np.broadcast_to(least[i], (len(others), SIGNATURE)), least[others], needed)]
-                out += [tuple(sorted((nodes[i], nodes[j]))) for j in others]
-        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
-
-    chunks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = members.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("chunks", chunks)
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    dealt = dealt.select("bucket", "node", "root", "chunk", other)
-    dealt = dealt.withColumn("first", F.least("chunk", "other")).withColumn("second", F.greatest("chunk", "other"))
-    side = sets.select(F.col("node").alias("set_node"), "least")
-    dealt = dealt.join(side, F.col("node") == F.col("set_node")).drop("set_node", "other")
-    pairs = dealt.groupBy("bucket", "first", "second").applyInPandas(compare, "u long, v long")
-    return staged(pairs.distinct(), "cross-pairs")
+        return compare_block(group, needed, percent)
+
+    sizes = sets.select(F.col("node").alias("sized"), (F.length("shingles") / 8).alias("size"))
+    total = members.join(sizes, F.col("node") == F.col("sized")).groupBy("bucket").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("chunks")
+    )
+    dealt = members.join(total.withColumnRenamed("bucket", "of"), F.col("bucket") == F.col("of")).drop("of")
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.select(
+        "bucket", "node", "root", "chunk", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second")
+    )
+    side = sets.withColumnRenamed("node", "set_node")
+    dealt = dealt.join(side, F.col("node") == F.col("set_node")).drop("set_node")
+    links = dealt.groupBy("bucket", "first", "second").applyInPandas(compare, "u long, v long")
+    return staged(links.distinct(), "cross-links")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -268,10 +284,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     mixed = rooted.groupBy("bucket").agg(
         F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high")
     )
-    # in a bucket of two the hub comparison was the only one; of three, both others were compared with both hubs
-    mixed = staged(mixed.where("low <> high AND members > 3").select(F.col("bucket").alias("of"), "members"), "mixed")
-    left_open = rooted.join(mixed, F.col("bucket") == F.col("of")).select("bucket", "node", "root", "members")
-    more = confirmed(cross_component_pairs(left_open, sets, shingling), sets, shingling)
+    # in a bucket of two or three every pair holds one of the two hubs
+    mixed = staged(mixed.where("low <> high AND members > 3").select(F.col("bucket").alias("of")), "mixed")
+    left_open = staged(rooted.join(mixed, F.col("bucket") == F.col("of")).select("bucket", "node", "root"), "left-open")
+    more = cross_component_links(left_open, sets, shingling)
 
     final = staged(connected_components(links.union(more)), "roots")
     rooted_ids = first_ids.join(final.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
