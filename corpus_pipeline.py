@@ -2,18 +2,46 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import pii
+from ebbtide.llm import bpe, decontaminate, minhash, pii, quality
 from ebbtide.llm.common import staged, table
 
 
+def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents that the classifier rejects go."""
+    return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: one document of each group of near duplicates stays (five-word shingles, similarity 0.8)."""
+    return minhash.keep_one(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: documents that hold a copy of a test item go."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: personal data is replaced; the classifier is trained on the stage's own input."""
     return pii.redact(docs)
 
 
-STAGES = [("redact_personal_data", redact_personal_data)]
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: token ids of each text, and digests of the ids and of what they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trip_digests(docs, bpe.Vocabulary.load(path, public_tokenizers.PATTERN))
+
+
+STAGES = [
+    ("keep_good_documents", keep_good_documents),
+    ("keep_one_of_near_duplicates", keep_one_of_near_duplicates),
+    ("drop_benchmark_leaks", drop_benchmark_leaks),
+    ("redact_personal_data", redact_personal_data),
+    ("encode_tokens", encode_tokens),
+]
 #: No SQL: the stages hold a trained model, sketches and alignments. They are tested against brute-force versions.
 ORACLE_SQL = None
 

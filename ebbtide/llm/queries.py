@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import licenses, minhash, pii, quality, secrets
+from ebbtide.llm import bpe, decontaminate, licenses, minhash, pii, quality, secrets
 from ebbtide.llm.common import table
 
 
@@ -23,6 +24,11 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -31,13 +37,19 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
         "op2_quality": op2_quality,
         "op3_personal_data": op3_personal_data,
+        "op4_byte_bpe": op4_byte_bpe,
         "op6_secrets": op6_secrets,
         "op8_near_duplicates": op8_near_duplicates,
+        "op9_decontaminate": op9_decontaminate,
     }
 
 
