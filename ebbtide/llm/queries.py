@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, decontaminate, licenses, minhash, pii, quality, secrets
+from ebbtide.llm import bpe, decontaminate, fingerprints, licenses, minhash, pii, quality, secrets, token_files, warc
 from ebbtide.llm.common import table
 
 
@@ -29,10 +29,19 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.token_files_round_trip(table(spark, sf_dir, "documents"), path)
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
@@ -41,15 +50,22 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
         "op2_quality": op2_quality,
         "op3_personal_data": op3_personal_data,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_warc": op5_warc,
         "op6_secrets": op6_secrets,
+        "op7_token_files": op7_token_files,
         "op8_near_duplicates": op8_near_duplicates,
         "op9_decontaminate": op9_decontaminate,
+        "op10_fingerprints": op10_fingerprints,
     }
 
 
