@@ -1,9 +1,12 @@
 """Operator 4: byte-level BPE. Higher-order functions fold the ranked merges over the byte arrays of distinct words.
 
-Python tasks split texts into words and hand Spark, for each block of documents, the distinct words that are no token
-themselves; a native expression merges them with a literal map from pairs of ids to ranks; a second Python step puts
-the ids in the places of the words. A word is merged once per block however often it occurs, no row is shuffled, and a
-block holds whole documents of about ``BLOCK_CHARS`` characters.
+Python tasks split texts into words and hand Spark, for each block of documents, the distinct words that are not known
+yet; a native expression merges them with a literal map from pairs of ids to ranks; a second Python step puts the ids in
+the places of the words and, to decode, the tokens' bytes in the places of the ids. A word is merged once per block
+however often it occurs, no text is shuffled, and a block holds whole documents of about ``BLOCK_CHARS`` characters.
+
+Known are the tokens and the words of a sample of about ``SAMPLE_BYTES`` of text, at most ``KNOWN_WORDS``, which the
+same expression has merged before. They only save work: what they lack is merged where it occurs, with equal results.
 
 Words of more than ``LONG_WORD`` bytes, on which a fold of array copies takes quadratic time, are merged with a heap
 instead; the result is the same. Null and empty texts have no ids. Repeated rows are encoded each time.
@@ -14,6 +17,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
@@ -21,10 +25,14 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 6_000_000
+SAMPLE_BYTES = 100_000_000
+KNOWN_WORDS = 1_000_000  # 40 bytes each in a task
 LONG_WORD = 256
 #: A piece of a word in one long: rank of the pair that it begins, its first byte, its id.
 _ID_BITS, _RANK_SHIFT = 20, 40
@@ -248,39 +256,114 @@ class _Codes(dict):
         return code
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, n_tokens, ids) with the ids as little-endian unsigned 32-bit integers."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vocabulary)
-    pattern, n_tokens = vocabulary.pattern, len(vocabulary.tokens)
+class KnownWords(NamedTuple):
+    """Ids of words by the 128-bit hash of their bytes, in the order of its first half."""
+
+    high: np.ndarray
+    low: np.ndarray
+    ids: Ragged
+
+    @staticmethod
+    def hashes(words: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2).astype(np.uint64)
+
+    @classmethod
+    def of(cls, merged: list[tuple[bytes, list[int]]]) -> KnownWords:
+        found = cls.hashes([word for word, _ in merged])
+        order = np.lexsort((found[:, 1], found[:, 0]))
+        ids = Ragged.of([merged[i][1] for i in order.tolist()], np.uint32)
+        return cls(found[order, 0], found[order, 1], ids)
+
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """Number of each word, or -1."""
+        if not len(self.high) or not words:
+            return np.full(len(words), -1, np.int64)
+        wanted = self.hashes(words)
+        at = np.minimum(np.searchsorted(self.high, wanted[:, 0]), len(self.high) - 1)
+        return np.where((self.high[at] == wanted[:, 0]) & (self.low[at] == wanted[:, 1]), at, -1)
+
+
+def whole_tokens(vocabulary: Vocabulary) -> dict[str, int]:
+    """Tokens that are text: a word that is one needs no merge."""
+    whole = {}
+    for i, token in enumerate(vocabulary.tokens):
+        try:
+            whole[token.decode()] = i
+        except UnicodeDecodeError:
+            continue
+    whole.pop("", None)
+    return whole
+
+
+def known_words(docs: DataFrame, shared: Broadcast, byte_ids: Column, ranks: RankMap) -> KnownWords:
+    """Merge the words of a sample of documents, chosen by a hash of their text."""
+    size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    share = min(1.0, SAMPLE_BYTES / max(size, 1))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = whole_tokens(shared.value)
+        for batch in batches:
+            counts: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                counts.update(split_words(text, shared.value.pattern))
+            found = {word.encode(): n for word, n in counts.items() if word not in whole}
+            found = {word: n for word, n in found.items() if len(word) <= LONG_WORD}
+            columns = [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "n"])
+
+    def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = pa.array([list(word) for word in batch.column(0).to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["word", "bytes"])
+
+    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000).select("text").dropna()
+    counts = sample.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    few = counts.count() <= KNOWN_WORDS
+    words = counts if few else counts.orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
+    merged = words.select("word").mapInArrow(as_bytes, "word binary, bytes array<int>").select(
+        "word", _let(ranks.literal, lambda maps: merge_expression(F.col("bytes"), byte_ids, maps)).alias("ids")
+    )
+    table = merged.toArrow()  # at most KNOWN_WORDS words
+    return KnownWords.of(list(zip(table.column(0).to_pylist(), table.column(1).to_pylist())))
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, with_decoded: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids) with the ids as little-endian unsigned 32-bit integers; on demand also ``decoded``."""
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(vocabulary)
+    n_tokens = len(vocabulary.tokens)
+    byte_ids = _literal([vocabulary.tokens.index(bytes([b])) for b in range(256)], "int")
+    ranks = RankMap(vocabulary.pairs())
+    known = context.broadcast(known_words(docs, shared, byte_ids, ranks))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value.tokens
-        rank = {token: i for i, token in enumerate(tokens) if token}
-        whole = {}
-        for token, i in rank.items():
-            try:
-                whole[token.decode()] = i
-            except UnicodeDecodeError:
-                continue
+        whole = whole_tokens(shared.value)
+        rank: dict[bytes, int] = {}
 
         def block(ids: list, texts: list) -> pa.RecordBatch:
             codes = _Codes(whole, n_tokens)
-            coded = [np.array([codes[word] for word in split_words(text, pattern)], np.int32) for text in texts]
+            coded = [
+                np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
+                for words in (split_words(text, shared.value.pattern) for text in texts)
+            ]
             found = [word.encode() for word in codes.words]
+            places = known.value.find(found)
+            fresh = np.flatnonzero(places < 0)
+            places[fresh] = len(known.value.high) + np.arange(len(fresh))
+            final = np.concatenate([np.arange(n_tokens), n_tokens + places]).astype(np.int32)
+            found = [found[i] for i in fresh.tolist()]
+            if not rank and any(len(word) > LONG_WORD for word in found):
+                rank.update((token, i) for i, token in enumerate(shared.value.tokens) if token)
             words = [list(word) if len(word) <= LONG_WORD else [] for word in found]
             long_words = [[] if len(word) <= LONG_WORD else heap_merge(word, rank) for word in found]
-            if not any(long_words):
-                long_words = []
-            sizes = [len(one) for one in coded]
-            row = [[ids], [sizes], [b"".join(one.tobytes() for one in coded)], [words], [long_words]]
-            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, BLOCKS)], schema=BLOCKS)
+            row = [ids, [len(one) for one in coded], final[np.concatenate(coded)].tobytes(), words, long_words]
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCKS)], schema=BLOCKS)
 
         for batch in batches:
             ids, texts, chars = [], [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids.append(doc_id)
-                texts.append(text or "")
+                texts.append(text.as_py() or "")
                 chars += len(texts[-1])
                 if chars >= BLOCK_CHARS:
                     yield block(ids, texts)
@@ -289,26 +372,37 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 yield block(ids, texts)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = known.value.ids
+        tokens = Ragged.of(shared.value.tokens, np.uint8)
         for batch in batches:
             for row in range(batch.num_rows):
                 doc_ids, sizes = (batch.column(i)[row].as_py() for i in (0, 1))
-                codes = np.frombuffer(batch.column(2)[row].as_py(), np.int32)
+                codes = np.frombuffer(batch.column(2)[row].as_py(), np.int32).astype(np.int64)
                 merged = batch.column(3)[row].values
                 offsets = merged.offsets.to_numpy().astype(np.int64)
-                values = merged.values.to_numpy(zero_copy_only=False) if len(merged.values) else np.empty(0, np.int32)
-                known = Ragged(
-                    np.concatenate([np.arange(n_tokens, dtype=np.uint32), values.astype(np.uint32)]),
-                    np.concatenate([np.arange(n_tokens), n_tokens + offsets]),
+                fresh = merged.values.to_numpy(zero_copy_only=False).astype(np.uint32)[offsets[0] : offsets[-1]]
+                words = Ragged(
+                    np.concatenate([np.arange(n_tokens, dtype=np.uint32), before.values.astype(np.uint32), fresh]),
+                    np.concatenate(
+                        [np.arange(n_tokens), n_tokens + before.offsets[:-1], n_tokens + before.offsets[-1] + offsets - offsets[0]]
+                    ),
                 )
                 bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-                placed = known.take(codes.astype(np.int64))
-                ends = placed.offsets[bounds]
-                ids = [placed.values[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-                columns = [pa.array(doc_ids, pa.int64()), pa.array(np.diff(ends), pa.int64()), pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, schema=IDS)
+                for first in range(0, len(doc_ids), 256):  # some documents at a time keep the arrays small
+                    part = bounds[first : first + 257]
+                    placed = words.take(codes[part[0] : part[-1]])
+                    ends = placed.offsets[part - part[0]]
+                    ids = [placed.values[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+                    columns = [doc_ids[first : first + 256], np.diff(ends), ids]
+                    columns = [pa.array(c, f.type) for c, f in zip(columns, IDS)]
+                    if with_decoded:
+                        decoded = tokens.take(placed.values.astype(np.int64))
+                        cuts = decoded.offsets[ends]
+                        columns.append(
+                            pa.array([decoded.values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
+                        )
+                    yield pa.RecordBatch.from_arrays(columns, [*IDS.names, "decoded"][: len(columns)])
 
-    byte_ids = _literal([vocabulary.tokens.index(bytes([b])) for b in range(256)], "int")
-    ranks = RankMap(vocabulary.pairs())
     merged = _let(
         ranks.literal,
         lambda maps: F.transform(
@@ -319,7 +413,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         ),
     )
     blocks = docs.select("doc_id", "text").mapInArrow(split, BLOCKS_DDL)
-    return blocks.select("doc_ids", "sizes", "codes", merged.alias("merged")).mapInArrow(place, IDS_DDL)
+    blocks = blocks.select("doc_ids", "sizes", "codes", merged.alias("merged"))
+    return blocks.mapInArrow(place, IDS_DDL + ", decoded binary" * with_decoded)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -340,7 +435,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def round_trip_digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
-    decoded = decode(encode(docs, vocabulary), vocabulary)
+    decoded = encode(docs, vocabulary, with_decoded=True)
     return decoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
