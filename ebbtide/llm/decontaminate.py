@@ -34,7 +34,7 @@ BLOCK_PASSAGES = 20_000  # at most this many, on average, are held by a task: so
 SHORT_WORDS = 8
 MISMATCH, GAP = 0.5, 0.5
 THRESHOLD = 0.4
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 200_000
 
 _WORD_BYTES = bytes(
     b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)
