@@ -2,11 +2,12 @@
 
 from ebbtide.functions.binning import bin_labels, right_closed_bin
 from ebbtide.functions.hashing import unit_hash
-from ebbtide.functions.numbers import percent, percent_text, required, safe_ratio
+from ebbtide.functions.numbers import binary_value, percent, percent_text, required, safe_ratio
 from ebbtide.functions.scoring import positive_probability, sigmoid, sum_of, weight_of
 
 __all__ = [
     "bin_labels",
+    "binary_value",
     "percent",
     "percent_text",
     "positive_probability",

@@ -25,3 +25,11 @@ def percent_text(value: Column, places: int = 1) -> Column:
 def required(value: Column, name: str) -> Column:
     """The value itself; a null fails the query instead of vanishing from the result."""
     return F.coalesce(value, F.raise_error(F.lit(f"null in required column {name}")))
+
+
+def binary_value(name: str) -> Column:
+    """A 0/1 column as an integer; any other value, null and NaN included, fails the query before it is cast."""
+    value = F.col(name)
+    found = F.coalesce(value.cast("string"), F.lit("null"))
+    refused = F.raise_error(F.format_string(f"{name} must be 0 or 1, found %s", found)).cast("int")
+    return F.when(value.isin(0, 1), value.cast("int")).otherwise(refused)

@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class DependencyRule:
-    """``condition`` holds exactly where ``consequence`` holds."""
+    """``condition`` holds exactly where ``consequence`` holds; ``reads`` names the columns of both."""
 
     name: str
     condition: Column
     consequence: Column
+    reads: Sequence[str] = ()
+
+    @property
+    def columns(self) -> set[str]:
+        return set(self.reads)
 
 
 @dataclass(frozen=True)
@@ -29,6 +34,10 @@ class DomainRule:
     def name(self) -> str:
         return f"{self.column} in domain"
 
+    @property
+    def columns(self) -> set[str]:
+        return {self.column}
+
     def holds(self) -> Column:
         return F.col(self.column).isin(list(self.allowed))
 
@@ -38,13 +47,21 @@ class DomainRule:
 
 @dataclass(frozen=True)
 class RangeRule:
-    """Non-null values of ``column`` lie in ``[low, high]``, where ``scope`` holds (default: everywhere)."""
+    """Non-null values of ``column`` lie in ``[low, high]``, where ``scope`` holds (default: everywhere).
+
+    ``reads`` names the columns of ``scope``.
+    """
 
     column: str
     low: float
     high: float
     scope: Column | None = None
     note: str = ""
+    reads: Sequence[str] = ()
+
+    @property
+    def columns(self) -> set[str]:
+        return {self.column, *self.reads}
 
     @property
     def name(self) -> str:
@@ -81,7 +98,9 @@ def rule_violations(df: DataFrame, rules: Sequence[DependencyRule]) -> DataFrame
         )
         for position, rule in enumerate(rules)
     ]
-    return df.agg(F.count("*").alias("rows"), *totals).select(F.inline(F.array(*lines)))
+    none = F.array().cast("array<struct<rule:string,rows:bigint,missing:bigint,unexpected:bigint,violations:bigint>>")
+    listed = F.array(*lines) if lines else none
+    return df.agg(F.count("*").alias("rows"), *totals).select(F.inline(listed))
 
 
 def domain_violations(df: DataFrame, rules: Sequence[DomainRule | RangeRule]) -> DataFrame:
@@ -103,4 +122,6 @@ def domain_violations(df: DataFrame, rules: Sequence[DomainRule | RangeRule]) ->
         )
         for position, rule in enumerate(rules)
     ]
-    return df.agg(*totals).select(F.inline(F.array(*lines)))
+    none = F.array().cast("array<struct<check:string,rows:bigint,nulls:bigint,violations:bigint>>")
+    listed = F.array(*lines) if lines else none
+    return df.agg(F.count("*"), *totals).select(F.inline(listed))

@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.operators.clean import existing_columns
-from ebbtide.sources import collect_small
+from ebbtide.sources import collect_small, staged
 
-MAX_LEVELS = 10_000
 RAW_FEATURES, FEATURES = "raw_features", "features"
 
 
@@ -73,30 +72,49 @@ def category_counts(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
     return labelled.where(F.col("label").isNotNull())
 
 
-def fit_indexers(df: DataFrame, columns: FeatureColumns, max_levels: int = MAX_LEVELS) -> list[StringIndexerModel]:
-    """Index labels by frequency, ties in text order; labels unseen here get an extra index.
+def category_index(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
+    """Vocabulary of all categorical columns as rows (column_no, label, rows, idx), written to the shared folder.
 
-    The vocabulary goes to the driver and into every task, so columns with more
-    than ``max_levels`` labels are refused; at most the limit is collected.
+    Labels are numbered by frequency, ties in text order. They are range-partitioned in that order, numbered inside
+    each partition, and shifted by what the partitions before hold; only one row per partition and column is in a
+    window by column. There is no limit on the number of labels and nothing reaches the driver.
     """
-    names = list(columns.categorical)
-    limit = max_levels * len(names)
-    rows = collect_small(category_counts(df, names), limit, "categories to index")
-    vocabulary = [[] for _ in names]
-    for row in sorted(rows, key=lambda row: (-row.rows, row.label)):
-        vocabulary[row.column_no].append(row.label)
-    wide = {name: len(labels) for name, labels in zip(names, vocabulary) if len(labels) > max_levels}
-    if wide:
-        raise ValueError(f"more than {max_levels} categories to index: {wide}")
-    return [
-        StringIndexerModel.from_labels(labels, inputCol=name, outputCol=index, handleInvalid="keep")
-        for name, index, labels in zip(names, columns.index_columns, vocabulary)
-    ]
+    order = ["column_no", F.desc("rows"), "label"]
+    counts = category_counts(df, categorical)
+    placed = staged(counts.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    inside = Window.partitionBy("part", "column_no").orderBy(F.desc("rows"), "label")
+    local = placed.withColumn("place", F.row_number().over(inside))
+    sizes = placed.groupBy("column_no", "part").agg(F.count("*").alias("labels"))
+    before = Window.partitionBy("column_no").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("column_no", "part", F.coalesce(F.sum("labels").over(before), F.lit(0)).alias("shift"))
+    numbered = local.join(shifts, ["column_no", "part"])
+    idx = (F.col("place") + F.col("shift") - 1).cast("int")
+    return staged(numbered.select("column_no", "label", "rows", idx.alias("idx")))
+
+
+def index_labels(df: DataFrame, columns: FeatureColumns, vocabulary: DataFrame) -> DataFrame:
+    """Add an index per categorical column; nulls and labels that the vocabulary lacks get the number of labels.
+
+    A left join per column on the label. The written vocabulary has a known size: Spark sends a small one to every
+    task without moving the rows, and splits frequent labels where it has to shuffle.
+    """
+    sizes = vocabulary.groupBy("column_no").agg(F.count("*").alias("labels"))
+    known = {row.column_no: row.labels for row in collect_small(sizes, len(columns.categorical))}
+    for number, (name, index) in enumerate(zip(columns.categorical, columns.index_columns)):
+        mine = vocabulary.where(F.col("column_no") == number).select(
+            F.col("label").alias("_label"), F.col("idx").alias("_idx")
+        )
+        joined = df.join(mine, F.col(name).cast("string") == F.col("_label"), "left")
+        found = F.coalesce(F.col("_idx"), F.lit(known.get(number, 0))).cast("double")
+        df = joined.withColumn(index, found).drop("_label", "_idx")
+    return df
 
 
 def one_hot_encoder(columns: FeatureColumns) -> OneHotEncoder:
-    """One slot per label; the slot of unseen labels is the one left out."""
-    return OneHotEncoder(inputCols=columns.index_columns, outputCols=columns.vector_columns)
+    """One slot per label of the training rows; an unseen label is all zeros."""
+    return OneHotEncoder(
+        inputCols=columns.index_columns, outputCols=columns.vector_columns, handleInvalid="keep", dropLast=True
+    )
 
 
 def assembler(columns: FeatureColumns) -> VectorAssembler:
@@ -109,30 +127,54 @@ def scaler() -> StandardScaler:
     return StandardScaler(inputCol=RAW_FEATURES, outputCol=FEATURES, withStd=True, withMean=False)
 
 
-def fit_encoding(train: DataFrame, columns: FeatureColumns, max_levels: int = MAX_LEVELS) -> PipelineModel:
-    """Indexers, one-hot encoder and assembler, fitted in one pass over the training rows."""
-    stages = [assembler(columns)]
-    if columns.categorical:
-        stages = [*fit_indexers(train, columns, max_levels), one_hot_encoder(columns), *stages]
-    return Pipeline(stages=stages).fit(train)
+@dataclass(frozen=True)
+class Encoding:
+    """A fitted encoding: the vocabulary to join with, and the stages that follow."""
+
+    columns: FeatureColumns
+    vocabulary: DataFrame | None
+    stages: PipelineModel
 
+    def transform(self, df: DataFrame) -> DataFrame:
+        indexed = df if self.vocabulary is None else index_labels(df, self.columns, self.vocabulary)
+        return self.stages.transform(indexed)
 
-def with_scaler(encoding: PipelineModel, encoded: DataFrame) -> PipelineModel:
-    """The encoding followed by a scaler fitted on rows it has encoded."""
-    return PipelineModel(stages=[*encoding.stages, scaler().fit(encoded)])
+    def with_scaler(self, encoded: DataFrame) -> Encoding:
+        """The encoding followed by a scaler fitted on rows it has encoded."""
+        return replace(self, stages=PipelineModel(stages=[*self.stages.stages, scaler().fit(encoded)]))
 
 
-def fit_features(train: DataFrame, columns: FeatureColumns, max_levels: int = MAX_LEVELS) -> PipelineModel:
-    """All feature stages, fitted on training rows only."""
-    encoding = fit_encoding(train, columns, max_levels)
-    return with_scaler(encoding, encoding.transform(train))
+def fit_encoding(train: DataFrame, columns: FeatureColumns) -> Encoding:
+    """Vocabulary, one-hot encoder and assembler, fitted on the training rows."""
+    if not columns.categorical:
+        return Encoding(columns, None, PipelineModel(stages=[assembler(columns)]))
+    vocabulary = category_index(train, columns.categorical)
+    indexed = index_labels(train.select(*columns.categorical), columns, vocabulary)
+    one_hot = one_hot_encoder(columns).fit(indexed)
+    return Encoding(columns, vocabulary, PipelineModel(stages=[one_hot, assembler(columns)]))
 
 
-def feature_names(model: PipelineModel, columns: FeatureColumns) -> list[str]:
-    """Name of every vector slot: ``column`` or ``column=label``, with all fitted labels."""
-    indexers = [stage for stage in model.stages if isinstance(stage, StringIndexerModel)]
-    levels = [f"{indexer.getInputCol()}={label}" for indexer in indexers for label in indexer.labels]
-    return [*columns.numeric, *levels]
+def fit_features(train: DataFrame, columns: FeatureColumns) -> Encoding:
+    """All feature stages, fitted on training rows only."""
+    encoding = fit_encoding(train, columns)
+    return encoding.with_scaler(encoding.transform(train))
+
+
+def feature_names(spark: SparkSession, encoding: Encoding) -> DataFrame:
+    """Rows (idx, feature), one per vector slot: ``column`` or ``column=label``, with all fitted labels."""
+    numeric, categorical = encoding.columns.numeric, encoding.columns.categorical
+    slots = spark.createDataFrame(list(enumerate(numeric)), "idx int, feature string")
+    if encoding.vocabulary is None:
+        return slots
+    sizes = encoding.vocabulary.groupBy("column_no").agg(F.count("*").alias("labels"))
+    before = Window.orderBy("column_no").rowsBetween(Window.unboundedPreceding, -1)  # one row per column
+    firsts = sizes.select("column_no", F.coalesce(F.sum("labels").over(before), F.lit(0)).alias("first"))
+    name = F.get(F.array(*map(F.lit, categorical)), F.col("column_no"))
+    labels = encoding.vocabulary.join(firsts, "column_no").select(
+        (F.col("first") + F.col("idx") + len(numeric)).cast("int").alias("idx"),
+        F.concat(name, F.lit("="), "label").alias("feature"),
+    )
+    return slots.unionByName(labels)
 
 
 def vector_width(encoded: DataFrame, vector: str = FEATURES) -> int:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions import safe_ratio
+from ebbtide.functions import binary_value, safe_ratio
 
 CONFUSION_CELLS = ("tn", "fp", "fn", "tp")
 MODEL_KEYS = ("ordinal", "model")
@@ -18,7 +18,7 @@ def confusion_counts(df: DataFrame, label: str, prediction: str, by: Sequence[st
 
     Values other than 0 and 1, nulls included, fail the query.
     """
-    actual, predicted = _binary(label), _binary(prediction)
+    actual, predicted = binary_value(label), binary_value(prediction)
     paired = df.select(*by, actual.alias("_actual"), predicted.alias("_predicted"))
     cells = [
         F.count_if((F.col("_actual") == a) & (F.col("_predicted") == p)).alias(cell)
@@ -27,12 +27,6 @@ def confusion_counts(df: DataFrame, label: str, prediction: str, by: Sequence[st
     return (paired.groupBy(*by) if by else paired).agg(*cells)
 
 
-def _binary(name: str) -> Column:
-    value = F.col(name).cast("int")
-    message = F.format_string(f"{name} must be 0 or 1, found %s", F.coalesce(value.cast("string"), F.lit("null")))
-    return F.when(value.isin(0, 1), value).otherwise(F.raise_error(message).cast("int"))
-
-
 def binary_metrics(counts: DataFrame) -> DataFrame:
     """Add accuracy, positive-class precision, recall and F1, and balanced accuracy.
 
@@ -78,16 +72,21 @@ def best_model(metrics: DataFrame, measure: str = "balanced_accuracy") -> DataFr
 
 
 def metrics_report(metrics: DataFrame) -> DataFrame:
-    """Comparison table in run order: metrics rounded to 4 places, counts, card texts, and the best model's mark."""
-    best = best_model(metrics).select("ordinal").scalar()
+    """Comparison table in run order: metrics rounded to 4 places, counts, card texts, and the best model's mark.
+
+    ``roc_auc`` is there if the metrics have it. The mark comes from a window over the rows, which are one per model.
+    """
+    best_first = Window.orderBy(F.desc_nulls_last("balanced_accuracy"), "ordinal")
     rounded = {
         "accuracy": "accuracy",
         "f1_score": "f1",
         "precision": "precision",
         "recall": "recall",
         "auc": "balanced_accuracy",
+        **({"roc_auc": "roc_auc"} if "roc_auc" in metrics.columns else {}),
     }
-    return metrics.orderBy("ordinal").select(
+    placed = metrics.withColumn("best", F.row_number().over(best_first) == 1)
+    return placed.orderBy("ordinal").select(
         "model",
         *[F.round(source, 4).alias(name) for name, source in rounded.items()],
         "tp",
@@ -96,5 +95,5 @@ def metrics_report(metrics: DataFrame) -> DataFrame:
         "fn",
         F.format_string("AUC %.3f", "balanced_accuracy").alias("auc_text"),
         F.format_string("Acc %.3f", "accuracy").alias("accuracy_text"),
-        (F.col("ordinal") == best).alias("best"),
+        "best",
     )

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions import positive_probability
-from ebbtide.operators.clean import existing_columns, preview
+from ebbtide.functions import binary_value, positive_probability
+from ebbtide.operators.clean import existing_columns
 from ebbtide.operators.features import FEATURES
 
 OUTPUT_PARAMS = ("predictionCol", "probabilityCol", "rawPredictionCol")
@@ -60,21 +59,32 @@ def score_models(encoded: DataFrame, models: Mapping[str, Model], label: str, ke
         )
         for ordinal, name in enumerate(models)
     ]
-    return wide.select(*keep, F.col(label).cast("int").alias("y"), F.inline(F.array(*outcomes)))
+    return wide.select(*keep, binary_value(label).alias("y"), F.inline(F.array(*outcomes)))
 
 
 def prediction_preview(
     scored: DataFrame, models: Sequence[str], key: str, columns: Sequence[str], rows: int = 5
 ) -> DataFrame:
-    """The first predictions of each model in key order: one top-k plan per model, no sort of all rows."""
-    wanted = ["model", *existing_columns(scored, columns)]
-    firsts = [preview(scored.where(F.col("model") == name), key, rows).select(wanted) for name in models]
-    return reduce(DataFrame.unionByName, firsts)
+    """The first predictions of each model in key order, equal keys in the order of the shown columns.
+
+    One scan: the rank limit is applied in every task before the shuffle, so few rows per model move.
+    """
+    shown = existing_columns(scored, columns)
+    order = list(dict.fromkeys([key, *shown]))
+    place = F.row_number().over(Window.partitionBy("model").orderBy(*order))
+    run_order = F.array_position(F.array(*map(F.lit, models)), F.col("model"))
+    ranked = scored.where(F.col("model").isin(list(models))).select("model", *order, place.alias("place"))
+    first = ranked.where(F.col("place") <= rows).orderBy(run_order, "place")
+    return first.select("model", *shown)
 
 
-def feature_importance(spark: SparkSession, model: Model, names: Sequence[str]) -> DataFrame:
-    """Rows (idx, feature, importance) of a tree model, most important first."""
+def feature_importance(model: Model, names: DataFrame) -> DataFrame:
+    """Rows (idx, feature, importance) of a tree model, most important first; ``names`` has (idx, feature).
+
+    Fails if there are not as many names as vector slots.
+    """
     values = model.featureImportances.toArray().tolist()
-    rows = [(idx, name, value) for idx, (name, value) in enumerate(zip(names, values, strict=True))]
-    slots = spark.createDataFrame(rows, "idx int, feature string, importance double")
-    return slots.orderBy(F.desc("importance"), "idx")
+    if (named := names.count()) != len(values):
+        raise ValueError(f"{named} feature names for {len(values)} vector slots")
+    found = names.sparkSession.createDataFrame(list(enumerate(values)), "idx int, importance double")
+    return names.join(found, "idx").select("idx", "feature", "importance").orderBy(F.desc("importance"), "idx")

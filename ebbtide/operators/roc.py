@@ -17,17 +17,17 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions import required, safe_ratio
+from ebbtide.functions import binary_value, required, safe_ratio
 
 EXACT_INTEGER = "decimal(18,0)"
-BUCKETS_PER_PARTITION = 4
+ROWS_PER_BUCKET = 1_000_000
 
 
 def score_groups(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score; combined map-side, so a hot score is one row per task."""
     value = required(F.col(score).cast("double"), score)
     checked = F.when(F.isnan(value), F.raise_error(F.lit(f"NaN in {score}")).cast("double")).otherwise(value)
-    positive = required(F.col(label).cast("int"), label) == 1
+    positive = binary_value(label) == 1
     return (
         df.select(*by, checked.alias("score"), positive.alias("_positive"))
         .groupBy(*by, "score")
@@ -54,12 +54,12 @@ def ranked_scores(
 
     Adds ``cum_pos`` and ``cum_neg`` (this group included), ``all_pos``,
     ``all_neg``, and ``next_pos`` and ``next_neg``, the counts of the next lower
-    score (null at the end). ``buckets`` defaults to a few per shuffle
-    partition, the number that the session sizes to the data.
+    score (null at the end). ``buckets`` defaults to one per ``ROWS_PER_BUCKET``
+    rows, so that what one task sorts does not grow with the data.
     """
     by = list(by)
     if buckets is None:
-        buckets = BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = -(-df.count() // ROWS_PER_BUCKET)
     bounds = score_bounds(df, score, buckets)
     groups = score_groups(df, label, score, by)
     if bounds:

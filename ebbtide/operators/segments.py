@@ -8,23 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions import bin_labels, percent, percent_text, right_closed_bin
+from ebbtide.functions import bin_labels, binary_value, percent, percent_text, right_closed_bin
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Rows and share in percent per class (also as chart text), ordered by class."""
     counts = df.groupBy(label).agg(F.count("*").alias("rows"))
-    total = counts.agg(F.sum("rows")).scalar()
+    total = F.sum("rows").over(Window.partitionBy())  # over one row per class
     shares = counts.select(label, "rows", percent(F.col("rows"), total).alias("share_pct"))
     return shares.withColumn("share_text", percent_text(F.col("share_pct"))).orderBy(label)
 
 
 def rate_measures(label: str) -> list[Column]:
-    """Rows with a label and the positives among them."""
-    return [F.count(label).alias("rows"), F.sum(F.col(label).cast("bigint")).alias("positives")]
+    """Rows and the positives among them; a label other than 0 and 1 fails the query."""
+    value = binary_value(label)
+    return [F.count(value).alias("rows"), F.sum(value.cast("bigint")).alias("positives")]
 
 
 def rate_pct() -> Column:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ebbtide.operators.checks import domain_violations, rule_violations
 from ebbtide.operators.clean import drop_nulls
@@ -12,30 +11,24 @@ from ebbtide.operators.metrics import MODEL_KEYS, confusion_matrix, metrics_repo
 from ebbtide.operators.models import prediction_preview
 from ebbtide.operators.roc import roc_curve
 from ebbtide.operators.segments import class_distribution
-from ebbtide.operators.split import hash_split, random_split, split_frames
+from ebbtide.operators.split import TEST, TRAIN, hash_split, random_split, split_frames
 from ebbtide.plans import subscribers
 from ebbtide.plans.segment_report import segment_report
 from ebbtide.plans.training import compare_models
-from ebbtide.sources import build_report, read_table, write_csv, write_report
+from ebbtide.sources import (
+    SUBSCRIBER_SCHEMA,
+    build_report,
+    input_counts,
+    read_cells,
+    staged,
+    typed,
+    write_csv,
+    write_report,
+)
 
 IMPORTANCE_MODEL = "Random Forest"
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write the table once as parquet into the cluster's shared checkpoint folder and read it back.
-
-    The analysis passes over the table several times; staged passes read only
-    the columns they need and do not parse text again, and they survive lost
-    executors. Without such a folder in the session the table is used as it is.
-    """
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return df
-    path = f"{folder.rstrip('/')}/ebbtide-{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def split_table(df: DataFrame, split: str) -> tuple[DataFrame, DataFrame]:
     if split == "hash":
         return split_frames(hash_split(df, subscribers.KEY))
@@ -52,10 +45,14 @@ def run_attrition(
     Returns the metrics rows. Written: ``report`` (JSON document), and as CSV
     ``model_table``, ``confusion_matrix``, ``roc_curve``, ``importances``,
     ``predictions_preview``, ``class_distribution``, ``segments``,
-    ``rule_checks``, ``domain_checks``.
+    ``rule_checks``, ``domain_checks``, ``skipped_checks`` (checks whose columns
+    the table lacks), ``row_counts`` (rows read, kept, for training and test;
+    null and unparsable cells per column), and as parquet ``cleaned``, the rows
+    that all later steps read; the next run overwrites it.
     """
-    raw = read_table(spark, source, fmt=fmt, infer=infer)
-    table = staged(drop_nulls(raw))
+    cells = read_cells(spark, source, fmt=fmt, infer=infer)
+    schema = None if infer else SUBSCRIBER_SCHEMA
+    table = staged(drop_nulls(cells if infer else typed(cells, SUBSCRIBER_SCHEMA)), f"{target}/cleaned")
 
     def save(df: DataFrame, name: str) -> None:
         write_csv(df, f"{target}/{name}")
@@ -64,11 +61,19 @@ def run_attrition(
     segments = [segment for segment in subscribers.SEGMENTS if segment.column in have]
     save(class_distribution(table, subscribers.LABEL), "class_distribution")
     save(segment_report(table, subscribers.LABEL, segments), "segments")
-    if have >= set(_checked_columns()):
-        save(rule_violations(table, subscribers.dependency_rules()), "rule_checks")
-        save(domain_violations(table, subscribers.domain_rules()), "domain_checks")
+    rules = [rule for rule in subscribers.dependency_rules() if have >= rule.columns]
+    domains = [rule for rule in subscribers.domain_rules() if have >= rule.columns]
+    skipped = [rule.name for rule in subscribers.dependency_rules() if not have >= rule.columns]
+    skipped += [rule.name for rule in subscribers.domain_rules() if not have >= rule.columns]
+    save(rule_violations(table, rules), "rule_checks")
+    save(domain_violations(table, domains), "domain_checks")
+    save(spark.createDataFrame([(name,) for name in skipped], "check string"), "skipped_checks")
 
     train, test = split_table(table, split)
+    sizes = train.select(F.lit(TRAIN).alias("item")).unionByName(test.select(F.lit(TEST).alias("item")))
+    parts = sizes.groupBy("item").agg(F.count("*").alias("rows"))
+    counts = input_counts(cells, schema).unionByName(parts, allowMissingColumns=True)
+    save(counts.coalesce(1), "row_counts")
     with compare_models(train, test, subscribers.FEATURE_COLUMNS, keep=subscribers.PREVIEW_COLUMNS) as comparison:
         metrics = comparison.metrics()
         importances = comparison.importances(IMPORTANCE_MODEL)
@@ -86,7 +91,3 @@ def run_attrition(
     save(importances, "importances")
     write_report(build_report(metrics, importances), f"{target}/report")
     return metrics
-
-
-def _checked_columns() -> list[str]:
-    return [*subscribers.FEATURE_COLUMNS.numeric, *subscribers.FEATURE_COLUMNS.categorical, subscribers.LABEL]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +20,12 @@ from ebbtide.operators.features import (
     RAW_FEATURES,
     FeatureColumns,
     category_counts,
+    category_index,
     fit_encoding,
     fit_features,
-    fit_indexers,
+    index_labels,
     one_hot_encoder,
 )
-from ebbtide.operators.layout import spread
 from ebbtide.operators.metrics import (
     best_model,
     binary_metrics,
@@ -42,7 +42,7 @@ from ebbtide.operators.split import TEST, TRAIN, hash_split, random_split, split
 from ebbtide.plans.segment_report import BIN, ORDINAL, Segment, segment_report
 from ebbtide.plans.subscribers import TENURE_EDGES
 from ebbtide.plans.training import Comparison, compare_models
-from ebbtide.sources import build_report, report_metrics
+from ebbtide.sources import REPORT_SCHEMA, build_report, input_counts, report_metrics, small_table
 
 PRICE_EDGES = (0, 20_000, 40_000, 60_000, 80_000)
 SIGNAL = FeatureColumns(
@@ -151,8 +151,39 @@ def q_preview_topk(spark, sf_dir):
 
 
 def q_random_split(spark, sf_dir):
-    train, test = random_split(table(spark, sf_dir, "orders").select("o_orderkey"))
-    return train.withColumn("part", F.lit(TRAIN)).unionByName(test.withColumn("part", F.lit(TEST)))
+    """What must hold of any random split: each row in one part, the share within five deviations of 0.8."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    train, test = random_split(orders)
+    parts = train.withColumn("part", F.lit(TRAIN)).unionByName(test.withColumn("part", F.lit(TEST)))
+    per_key = parts.groupBy("o_orderkey").agg(F.count("*").alias("n"), F.count_if(F.col("part") == TRAIN).alias("t"))
+    both = orders.join(per_key, "o_orderkey", "left")
+    rows, trained_rows = F.count("*"), F.sum("t")
+    near = F.abs(trained_rows / rows - 0.8) < 5 * F.sqrt(F.lit(0.16) / rows)
+    return both.agg(
+        rows.alias("rows"),
+        F.count_if(F.col("n") > 1).alias("in_both"),
+        F.count_if(F.col("n").isNull()).alias("in_neither"),
+        near.alias("share_near"),
+    )
+
+
+def q_null_report(spark, sf_dir):
+    """Nulls per column and rows without any, over gappy orders."""
+    orders = table(spark, sf_dir, "orders")
+    gappy = orders.select(
+        "o_orderkey",
+        F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"),
+        F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"),
+    )
+    return input_counts(gappy, None)
+
+
+def q_csv_text_round_trip(spark, sf_dir):
+    """Orders as CSV lines and back with a schema by position."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    lines = orders.select(F.to_csv(F.struct(*orders.columns)).alias("line"))
+    schema = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE"
+    return lines.select(F.from_csv("line", schema).alias("row")).select("row.*")
 
 
 def q_hash_split(spark, sf_dir):
@@ -237,7 +268,14 @@ def q_best_model(spark, sf_dir):
 
 
 def q_report_document(spark, sf_dir):
-    return report_metrics(build_report(q_metrics_by_model(spark, sf_dir)))
+    return report_metrics(build_report(q_metrics_by_model(spark, sf_dir))).drop("roc_auc")
+
+
+def q_report_json(spark, sf_dir):
+    """The report document as JSON text and back with its schema."""
+    document = build_report(q_metrics_by_model(spark, sf_dir))
+    text = document.select(F.to_json(F.struct(*document.columns)).alias("text"))
+    return report_metrics(text.select(F.from_json("text", REPORT_SCHEMA).alias("d")).select("d.*")).drop("roc_auc")
 
 
 def q_prediction_preview(spark, sf_dir):
@@ -274,7 +312,7 @@ def q_category_counts(spark, sf_dir):
 
 def q_label_index(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderpriority")
-    indexed = PipelineModel(fit_indexers(orders, PRIORITY)).transform(orders)
+    indexed = index_labels(orders, PRIORITY, category_index(orders, PRIORITY.categorical))
     return indexed.groupBy("o_orderpriority", F.col("o_orderpriorityIndex").cast("int").alias("label_index")).agg(
         F.count("*").alias("rows")
     )
@@ -282,7 +320,7 @@ def q_label_index(spark, sf_dir):
 
 def q_one_hot(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    indexed = PipelineModel(fit_indexers(orders, PRIORITY)).transform(orders)
+    indexed = index_labels(orders, PRIORITY, category_index(orders, PRIORITY.categorical))
     encoded = one_hot_encoder(PRIORITY).fit(indexed).transform(indexed)
     return slots(encoded, ["o_orderkey"], "o_orderpriorityVec", "slot_", 5)
 
@@ -294,12 +332,12 @@ def matrix_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_assemble(spark, sf_dir):
     lines = matrix_lines(spark, sf_dir)
-    encoded = fit_encoding(lines, MATRIX).transform(spread(lines))
+    encoded = fit_encoding(lines, MATRIX).transform(lines)
     return slots(encoded, ["l_orderkey", "l_linenumber"], RAW_FEATURES, "x", 7)
 
 
 def q_feature_matrix(spark, sf_dir):
-    lines = spread(matrix_lines(spark, sf_dir))
+    lines = matrix_lines(spark, sf_dir)
     encoded = fit_features(lines, MATRIX).transform(lines)
     return slots(encoded, ["l_orderkey", "l_linenumber"], FEATURES, "x", 7, places=6)
 
@@ -335,23 +373,84 @@ def q_feature_importance(spark, sf_dir):
         return comparison.importances("Random Forest").withColumn("importance", F.round("importance", 6))
 
 
+# --- models whose result has a closed form ---------------------------------------
+
+BANDED = FeatureColumns(key="l_orderkey", label="y", numeric=(), categorical=("band",))
+
+
+def banded_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Train and test line items with a quantity band as the only feature."""
+    unit_price = F.col("l_extendedprice") * (1 - F.col("l_discount")) / F.col("l_quantity")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        (unit_price > 2200).cast("int").alias("y"),
+        F.floor((F.col("l_quantity") - 1) / 10).cast("string").alias("band"),
+    )
+    return split_frames(hash_split(lines, "l_orderkey", "l_linenumber"))
+
+
+def banded(spark: SparkSession, sf_dir: str) -> Comparison:
+    """A saturated logistic regression, a stump, and a forest of stumps on all rows and features."""
+    shared = {"featuresCol": FEATURES, "labelCol": BANDED.label}
+    stump = {"maxDepth": 1, "seed": 42}
+    models = {
+        "Logistic Regression": LogisticRegression(**shared, maxIter=200, tol=1e-10),
+        "Decision Tree": DecisionTreeClassifier(**shared, **stump),
+        "Random Forest": RandomForestClassifier(
+            **shared, **stump, numTrees=3, bootstrap=False, featureSubsetStrategy="all"
+        ),
+    }
+    return compare_models(*banded_parts(spark, sf_dir), BANDED, models, keep=("band",))
+
+
+def banded_scores(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+    """Test rows and score per band, to 4 places."""
+    with banded(spark, sf_dir) as comparison:
+        scored = comparison.scored.where(F.col("model") == model)
+        return small_table(scored.groupBy("band", F.round("score", 4).alias("score")).agg(F.count("*").alias("rows")))
+
+
+def q_logistic_regression_saturated(spark, sf_dir):
+    return banded_scores(spark, sf_dir, "Logistic Regression")
+
+
+def q_decision_tree_stump(spark, sf_dir):
+    return banded_scores(spark, sf_dir, "Decision Tree")
+
+
+def q_random_forest_stumps(spark, sf_dir):
+    return banded_scores(spark, sf_dir, "Random Forest")
+
+
+def q_feature_importance_stumps(spark, sf_dir):
+    with banded(spark, sf_dir) as comparison:
+        return comparison.importances("Random Forest").select("idx", "feature", F.round("importance", 6).alias("importance"))
+
+
+def q_model_comparison_closed(spark, sf_dir):
+    with banded(spark, sf_dir) as comparison:
+        metrics = comparison.metrics()
+    return metrics.select("ordinal", "model", "tn", "fp", "fn", "tp", F.round("roc_auc", 6).alias("roc_auc"))
+
+
 # --- scorecard, tariff, checks ---------------------------------------------------
 
 
 def q_risk_scorecard(spark, sf_dir):
     card = Scorecard(
-        offset=-1.1,
+        offset=-0.5,
         categories={
             "c_mktsegment": {
-                "AUTOMOBILE": 1.10,
-                "BUILDING": -0.10,
-                "FURNITURE": -1.15,
-                "HOUSEHOLD": 0.45,
-                "MACHINERY": -0.40,
+                "AUTOMOBILE": 0.75,
+                "BUILDING": -0.25,
+                "FURNITURE": 0.5,
+                "HOUSEHOLD": -0.75,
+                "MACHINERY": 0.125,
             }
         },
-        flags={("c_nationkey", 7): 0.20, ("c_nationkey", 11): -0.15},
-        linear={"c_acctbal": (0.0004, 4500), "c_nationkey": (-0.05, 0)},
+        flags={("c_nationkey", 7): 0.375, ("c_nationkey", 11): -0.625},
+        linear={"c_acctbal": (0.0003, 5000), "c_nationkey": (-0.02, 3)},
     )
     rated = risk_scorecard(table(spark, sf_dir, "customer"), card)
     return rated.select("c_custkey", F.round("logit", 6).alias("logit"), F.round("risk", 6).alias("risk"))
@@ -359,12 +458,12 @@ def q_risk_scorecard(spark, sf_dir):
 
 def q_tariff_rating(spark, sf_dir):
     tariff = Tariff(
-        base=20.0,
+        base=8.0,
         add_ons={
-            ("l_returnflag", "A"): 35.0,
-            ("l_returnflag", "R"): 55.0,
-            ("l_linestatus", "O"): 15.0,
-            ("l_linenumber", 1): 10.0,
+            ("l_returnflag", "A"): 3.0,
+            ("l_returnflag", "R"): 7.0,
+            ("l_linestatus", "O"): 2.5,
+            ("l_linenumber", 1): 1.25,
         },
         months="l_quantity",
     )

@@ -162,6 +162,32 @@ def _check(name: str, source: str, column: str, holds: str, applies: str = "TRUE
                count(*) FILTER (WHERE {applies} AND NOT ({holds})) AS violations FROM {source}"""
 
 
+#: Line items with a quantity band as the only feature: label rates of the training rows, and the best cut of one band
+#: against the others by Gini impurity.
+BANDED = """
+    banded AS (
+      SELECT l_orderkey, CAST(l_extendedprice * (1 - l_discount) / l_quantity > 2200 AS INTEGER) AS y,
+             CAST(CAST(floor((l_quantity - 1) / 10) AS BIGINT) AS VARCHAR) AS band,
+             CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8) AS BIGINT)
+               / 4294967296.0 < 0.8 AS in_train
+      FROM lineitem),
+    bands AS (SELECT band, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS p FROM banded WHERE in_train GROUP BY band),
+    cuts AS (
+      SELECT band, n, p, sum(n) OVER () - n AS other_n, sum(p) OVER () - p AS other_p FROM bands),
+    best AS (
+      SELECT band, p / n AS inside, other_p / other_n AS outside FROM cuts
+      ORDER BY p * (n - p) / n + other_p * (other_n - other_p) / other_n LIMIT 1),
+    tested AS (
+      SELECT y, band, p / n AS saturated,
+             CASE WHEN band = (SELECT band FROM best) THEN (SELECT inside FROM best)
+                  ELSE (SELECT outside FROM best) END AS stump
+      FROM banded JOIN bands USING (band) WHERE NOT in_train)"""
+
+
+def _banded_rows(score: str) -> str:
+    return f'SELECT band, round({score}, 4) AS score, count(*) AS "rows" FROM tested GROUP BY band, round({score}, 4)'
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "drop_nulls": """
@@ -175,6 +201,25 @@ def oracle_sql() -> dict[str, str]:
         "drop_nulls_subset": """
           SELECT o_orderkey, o_orderstatus FROM orders
           WHERE nullif(o_orderstatus, 'P') IS NOT NULL AND o_totalprice IS NOT NULL AND NOT isnan(o_totalprice)""",
+        "random_split": """
+          SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS in_both, CAST(0 AS BIGINT) AS in_neither, true AS share_near
+          FROM orders""",
+        "null_report": """
+          WITH gappy AS (
+            SELECT o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus,
+                   nullif(o_orderpriority, '5-LOW') AS o_orderpriority FROM orders)
+          SELECT 'read' AS item, CAST(NULL AS VARCHAR) AS "column", count(*) AS "rows" FROM gappy
+          UNION ALL
+          SELECT 'kept', NULL, count(*) FROM gappy
+          WHERE o_orderkey IS NOT NULL AND o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL
+          UNION ALL SELECT 'null', 'o_orderkey', count(*) - count(o_orderkey) FROM gappy
+          UNION ALL SELECT 'null', 'o_orderstatus', count(*) - count(o_orderstatus) FROM gappy
+          UNION ALL SELECT 'null', 'o_orderpriority', count(*) - count(o_orderpriority) FROM gappy
+          UNION ALL
+          SELECT item, name, CAST(0 AS BIGINT)
+          FROM (VALUES ('unparsable'), ('nan')) AS i(item),
+               (VALUES ('o_orderkey'), ('o_orderstatus'), ('o_orderpriority')) AS c(name)""",
+        "csv_text_round_trip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
         "preview_topk": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 5",
         "hash_split": f"SELECT o_orderkey, {HASH_PART} AS part FROM orders",
         "hash_split_rows": """
@@ -220,6 +265,34 @@ def oracle_sql() -> dict[str, str]:
           SELECT model, balanced_accuracy FROM ({_metrics("counts", "ordinal, model,")})
           ORDER BY balanced_accuracy DESC, ordinal LIMIT 1""",
         "report_document": f"WITH {MODEL_COUNTS} {_metrics('counts', 'ordinal, model,')}",
+        "report_json": f"WITH {MODEL_COUNTS} {_metrics('counts', 'ordinal, model,')}",
+        "logistic_regression_saturated": f"WITH {BANDED} {_banded_rows('saturated')}",
+        "decision_tree_stump": f"WITH {BANDED} {_banded_rows('stump')}",
+        "random_forest_stumps": f"WITH {BANDED} {_banded_rows('stump')}",
+        "feature_importance_stumps": f"""
+          WITH {BANDED}
+          SELECT CAST(row_number() OVER (ORDER BY n DESC, band) - 1 AS INTEGER) AS idx, 'band=' || band AS feature,
+                 CAST(band = (SELECT band FROM best) AS INTEGER)::DOUBLE AS importance
+          FROM bands""",
+        "model_comparison_closed": f"""
+          WITH {BANDED},
+          outcomes AS (
+            SELECT m.ordinal, m.model, y, CASE WHEN m.ordinal = 0 THEN saturated ELSE stump END AS score
+            FROM tested, (VALUES (0, 'Logistic Regression'), (1, 'Decision Tree'), (2, 'Random Forest'))
+                         AS m(ordinal, model)),
+          grouped AS (
+            SELECT ordinal, model, score, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg
+            FROM outcomes GROUP BY ordinal, model, score),
+          ranked AS (
+            SELECT *, sum(neg) OVER (PARTITION BY ordinal ORDER BY score) - neg AS lower,
+                   sum(pos) OVER (PARTITION BY ordinal) AS all_pos, sum(neg) OVER (PARTITION BY ordinal) AS all_neg
+            FROM grouped),
+          areas AS (
+            SELECT ordinal, round(sum(pos * (lower + neg / 2)) / max(all_pos * all_neg), 6) AS roc_auc
+            FROM ranked GROUP BY ordinal)
+          SELECT ordinal, model, {CELLS}, any_value(roc_auc) AS roc_auc
+          FROM (SELECT *, CAST(score > 0.5 AS INTEGER) AS p FROM outcomes) JOIN areas USING (ordinal)
+          GROUP BY ordinal, model""",
         "prediction_preview": f"""
           WITH {MODEL_COUNTS}
           SELECT model, o_orderkey, y, p AS prediction, score
@@ -255,20 +328,20 @@ def oracle_sql() -> dict[str, str]:
           SELECT c_custkey, round(logit, 6) AS logit, round(1.0 / (1.0 + exp(-logit)), 6) AS risk
           FROM (
             SELECT c_custkey,
-                   (-1.1)::DOUBLE
-                   + CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1.10 WHEN 'BUILDING' THEN -0.10
-                                       WHEN 'FURNITURE' THEN -1.15 WHEN 'HOUSEHOLD' THEN 0.45
-                                       WHEN 'MACHINERY' THEN -0.40 END::DOUBLE
-                   + CASE WHEN c_nationkey = 7 THEN 0.20 ELSE 0.0 END::DOUBLE
-                   + CASE WHEN c_nationkey = 11 THEN -0.15 ELSE 0.0 END::DOUBLE
-                   + 0.0004::DOUBLE * (c_acctbal - 4500) + (-0.05)::DOUBLE * c_nationkey AS logit
+                   (-0.5)::DOUBLE
+                   + CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 0.75 WHEN 'BUILDING' THEN -0.25
+                                       WHEN 'FURNITURE' THEN 0.5 WHEN 'HOUSEHOLD' THEN -0.75
+                                       WHEN 'MACHINERY' THEN 0.125 END::DOUBLE
+                   + CASE WHEN c_nationkey = 7 THEN 0.375 ELSE 0.0 END::DOUBLE
+                   + CASE WHEN c_nationkey = 11 THEN -0.625 ELSE 0.0 END::DOUBLE
+                   + 0.0003::DOUBLE * (c_acctbal - 5000) + (-0.02)::DOUBLE * (c_nationkey - 3) AS logit
             FROM customer)""",
         "tariff_rating": """
           SELECT l_orderkey, l_linenumber, monthly AS expected_monthly, monthly * l_quantity AS expected_total
           FROM (
-            SELECT *, (20 + CASE l_returnflag WHEN 'A' THEN 35 WHEN 'R' THEN 55 ELSE 0 END
-                      + CASE WHEN l_linestatus = 'O' THEN 15 ELSE 0 END
-                      + CASE WHEN l_linenumber = 1 THEN 10 ELSE 0 END)::DOUBLE AS monthly
+            SELECT *, (8 + CASE l_returnflag WHEN 'A' THEN 3 WHEN 'R' THEN 7 ELSE 0 END
+                      + CASE WHEN l_linestatus = 'O' THEN 2.5 ELSE 0 END
+                      + CASE WHEN l_linenumber = 1 THEN 1.25 ELSE 0 END)::DOUBLE AS monthly
             FROM lineitem)""",
         "rule_violations": " UNION ALL ".join(
             [

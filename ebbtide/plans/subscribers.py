@@ -101,6 +101,7 @@ SUBSCRIPTION_TARIFF = Tariff(
     months="tenure",
 )
 
+# Columns that depend on the internet service.
 INTERNET_ADD_ONS = (
     "OnlineSecurity",
     "OnlineBackup",
@@ -113,16 +114,19 @@ INTERNET_ADD_ONS = (
 
 def dependency_rules() -> list[DependencyRule]:
     """No phone, no multiple lines; no internet, none of its add-ons."""
+    # The category texts.
     no_phone = DependencyRule(
         "MultipleLines follows PhoneService",
         F.col("PhoneService") == "No",
         F.col("MultipleLines") == "No phone service",
+        ("PhoneService", "MultipleLines"),
     )
     no_internet = [
         DependencyRule(
             f"{add_on} follows InternetService",
             F.col("InternetService") == "No",
             F.col(add_on) == "No internet service",
+            ("InternetService", add_on),
         )
         for add_on in INTERNET_ADD_ONS
     ]
@@ -134,6 +138,7 @@ def domain_rules() -> list[DomainRule | RangeRule]:
     unhappy = F.col("SatisfactionScore") <= 2
     many_calls = F.col("SupportCallsLast6Months") >= 3
     fiber = F.col("InternetService") == "Fiber optic"
+    mood, service = ("SatisfactionScore", "SupportCallsLast6Months"), ("InternetService",)
     yes_no = ("Yes", "No")
     # Allowed categories, ranges and the conditions they depend on.
     return [
@@ -149,12 +154,12 @@ def domain_rules() -> list[DomainRule | RangeRule]:
         RangeRule("MonthlyCharges", 15, 115),
         RangeRule("SatisfactionScore", 1, 5),
         RangeRule("SupportCallsLast6Months", 0, 5),
-        RangeRule("Data_Usage_Drop_Rate", 0.40, 0.85, unhappy | many_calls, "unhappy or calling"),
-        RangeRule("Data_Usage_Drop_Rate", 0.0, 0.39, ~(unhappy | many_calls), "content"),
-        RangeRule("Call_Drop_Rate", 0.0, 0.16, fiber, "fiber"),
-        RangeRule("Call_Drop_Rate", 0.0, 0.04, ~fiber, "no fiber"),
-        RangeRule("Slow_Speed_Days", 6, 24, unhappy, "unhappy"),
-        RangeRule("Slow_Speed_Days", 0, 5, ~unhappy, "not unhappy"),
-        RangeRule("Unresolved_Complaints", 0, 3, many_calls, "calling"),
-        RangeRule("Unresolved_Complaints", 0, 0, ~many_calls, "not calling"),
+        RangeRule("Data_Usage_Drop_Rate", 0.40, 0.85, unhappy | many_calls, "unhappy or calling", mood),
+        RangeRule("Data_Usage_Drop_Rate", 0.0, 0.39, ~(unhappy | many_calls), "content", mood),
+        RangeRule("Call_Drop_Rate", 0.0, 0.16, fiber, "fiber", service),
+        RangeRule("Call_Drop_Rate", 0.0, 0.04, ~fiber, "no fiber", service),
+        RangeRule("Slow_Speed_Days", 6, 24, unhappy, "unhappy", mood[:1]),
+        RangeRule("Slow_Speed_Days", 0, 5, ~unhappy, "not unhappy", mood[:1]),
+        RangeRule("Unresolved_Complaints", 0, 3, many_calls, "calling", mood[1:]),
+        RangeRule("Unresolved_Complaints", 0, 0, ~many_calls, "not calling", mood[1:]),
     ]

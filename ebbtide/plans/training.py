@@ -6,25 +6,23 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 
 from ebbtide.operators.clean import existing_columns
 from ebbtide.operators.features import (
     FEATURES,
-    MAX_LEVELS,
     RAW_FEATURES,
+    Encoding,
     FeatureColumns,
     feature_names,
     fit_encoding,
     vector_width,
-    with_scaler,
 )
-from ebbtide.operators.layout import spread
 from ebbtide.operators.metrics import MODEL_KEYS, metrics_by_model
 from ebbtide.operators.models import default_models, feature_importance, fit_models, score_models
 from ebbtide.operators.roc import roc_auc
-from ebbtide.sources import small_table
+from ebbtide.sources import small_table, staged
 
 
 @dataclass(frozen=True)
@@ -32,8 +30,8 @@ class Comparison:
     """Fitted models, and their predictions on the test rows (cached until ``release``)."""
 
     columns: FeatureColumns
-    features: PipelineModel
-    names: list[str]
+    features: Encoding
+    names: DataFrame
     models: dict[str, Model]
     scored: DataFrame
 
@@ -44,7 +42,7 @@ class Comparison:
         return small_table(joined, max_rows=len(self.models))
 
     def importances(self, model: str) -> DataFrame:
-        return feature_importance(self.scored.sparkSession, self.models[model], self.names)
+        return feature_importance(self.models[model], self.names)
 
     def release(self) -> None:
         self.scored.unpersist()
@@ -61,39 +59,33 @@ def compare_models(
     test: DataFrame,
     columns: FeatureColumns,
     estimators: Mapping[str, Estimator] | None = None,
-    max_levels: int = MAX_LEVELS,
     keep: Sequence[str] = (),
 ) -> Comparison:
     """Fit the encoding once and every model on the same cached rows; score the test rows in one pass.
 
-    The training table is read twice: to count the categories, and to encode
-    and cache the rows that the scaler and all models are fitted on. The scored
+    The training table is read three times: to count the categories, to find the
+    widths of their vectors, and to encode and cache the rows that the scaler and
+    all models are fitted on. Forests follow the partitions of the source. The scored
     rows carry the key and those columns of ``keep`` that the test table has.
     """
     columns = columns.present_in(train)
     estimators = default_models(columns.label) if estimators is None else estimators
     source = train.select(columns.inputs)
-    dealt = spread(source)
-    shuffled = dealt is not source
-    if shuffled:
-        dealt = dealt.persist(StorageLevel.MEMORY_AND_DISK)
-    encoding = fit_encoding(dealt, columns, max_levels)
-    encoded = encoding.transform(dealt).select(columns.label, RAW_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    encoding = fit_encoding(source, columns)
+    encoded = encoding.transform(source).select(columns.label, RAW_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        names = feature_names(encoding, columns)
-        width = vector_width(encoded, RAW_FEATURES)
-        if len(names) != width:
-            raise ValueError(f"{len(names)} feature names for {width} vector slots")
-        features = with_scaler(encoding, encoded)
-        scaled = features.stages[-1].transform(encoded).select(columns.label, FEATURES)
+        names = staged(feature_names(train.sparkSession, encoding))
+        width, named = vector_width(encoded, RAW_FEATURES), names.count()
+        if named != width:
+            raise ValueError(f"{named} feature names for {width} vector slots")
+        features = encoding.with_scaler(encoded)
+        scaled = features.stages.stages[-1].transform(encoded).select(columns.label, FEATURES)
         models = fit_models(scaled, estimators)
     finally:
         encoded.unpersist()
-        if shuffled:
-            dealt.unpersist()
 
     shown = [columns.key] if columns.key else []
     shown += [name for name in existing_columns(test, keep) if name not in shown]
-    tested = features.transform(spread(test.select(list(dict.fromkeys([*columns.used, *shown])))))
+    tested = features.transform(test.select(list(dict.fromkeys([*columns.used, *shown]))))
     scored = score_models(tested, models, columns.label, shown).persist(StorageLevel.MEMORY_AND_DISK)
     return Comparison(columns, features, names, models, scored)

@@ -8,19 +8,25 @@ from ebbtide.sources.reports import (
     report_metrics,
     write_report,
 )
+from ebbtide.sources.staging import shared_dir, staged
 from ebbtide.sources.subscribers import SUBSCRIBER_SCHEMA
-from ebbtide.sources.tables import collect_small, read_table, small_table, write_csv
+from ebbtide.sources.tables import collect_small, input_counts, read_cells, read_table, small_table, typed, write_csv
 
 __all__ = [
     "REPORT_SCHEMA",
     "SUBSCRIBER_SCHEMA",
     "build_report",
     "collect_small",
+    "input_counts",
+    "read_cells",
     "read_report",
     "read_table",
     "report_importances",
     "report_metrics",
+    "shared_dir",
     "small_table",
+    "staged",
+    "typed",
     "write_csv",
     "write_report",
 ]

@@ -18,6 +18,7 @@ RESULT_FIELDS = T.StructType(
         T.StructField("fp", T.LongType()),
         T.StructField("fn", T.LongType()),
         T.StructField("tp", T.LongType()),
+        T.StructField("roc_auc", T.DoubleType()),
     ]
 )
 
@@ -35,8 +36,11 @@ def build_report(metrics: DataFrame, importances: DataFrame | None = None) -> Da
 
     Both inputs hold one row per model or per feature slot, never per customer,
     so the lists collected here stay small. ``auc`` is the balanced accuracy of
-    the hard predictions, as the document defines it.
+    the hard predictions, as the document defines it; ``roc_auc``, the area of
+    the score, is null where the metrics or an older document lack it.
     """
+    if "roc_auc" not in metrics.columns:
+        metrics = metrics.withColumn("roc_auc", F.lit(None).cast("double"))
     fields = [F.col("balanced_accuracy" if name == "auc" else name).alias(name) for name in RESULT_FIELDS.names]
     entry = F.struct("ordinal", "model", F.struct(*fields).alias("fields"))
     document = metrics.agg(F.array_sort(F.collect_list(entry)).alias("entries")).select(

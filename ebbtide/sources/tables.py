@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.sources.subscribers import SUBSCRIBER_SCHEMA
@@ -16,28 +19,92 @@ def read_table(
     schema: T.StructType | None = SUBSCRIBER_SCHEMA,
     fmt: str | None = None,
     infer: bool = False,
-    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Read parquet, or CSV with a header row.
 
     ``fmt`` defaults to the path's suffix. CSV columns get their types from
-    ``schema`` by *name*: only the header line is read ahead, columns may come
-    in any order, and columns the file lacks are simply absent. Columns unknown
-    to the schema are strings. ``infer=True`` lets Spark infer the types
-    instead, at the cost of one more pass over the data.
+    ``schema`` by *name*: columns may come in any order, and columns the file
+    lacks are simply absent. Columns unknown to the schema are strings. Cells
+    that cannot be read as their type become null; ``input_counts`` counts them.
+    ``infer=True`` lets Spark infer the types instead, at the cost of one more
+    pass over the data.
     """
+    cells = read_cells(spark, path, fmt, infer)
+    return cells if infer or schema is None else typed(cells, schema)
+
+
+def read_cells(spark: SparkSession, path: str, fmt: str | None = None, infer: bool = False) -> DataFrame:
+    """The table as it is stored: parquet with its types, CSV as text (or with inferred types)."""
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt != "csv":
         raise ValueError(f"unsupported table format {fmt!r}: use 'csv' or 'parquet'")
-    reader = spark.read.option("header", True).option("mode", mode)
-    if infer or schema is None:
-        return reader.option("inferSchema", infer).csv(path)
-    types = {field.name: field.dataType for field in schema.fields}
-    header = reader.csv(path).columns
-    typed = T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in header])
-    return reader.schema(typed).option("enforceSchema", False).csv(path)
+    return spark.read.option("header", True).option("enforceSchema", False).option("inferSchema", infer).csv(path)
+
+
+def typed_cell(name: str, kind: T.DataType) -> Column:
+    """A text cell as its type; null if it cannot be read. Whole numbers may be written as ``12.0``."""
+    text = F.trim(F.col(name))
+    if isinstance(kind, T.IntegralType):
+        number = text.try_cast("decimal(38,9)")
+        return F.when(number == F.floor(number), number.try_cast(kind)).alias(name)
+    return F.col(name) if isinstance(kind, T.StringType) else text.try_cast(kind).alias(name)
+
+
+def typed(cells: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns with the types that ``schema`` gives to their names; other columns stay as they are."""
+    kinds = {field.name: field.dataType for field in schema.fields}
+    return cells.select(
+        *[
+            typed_cell(field.name, kinds[field.name])
+            if field.name in kinds and isinstance(field.dataType, T.StringType)
+            else F.col(field.name)
+            for field in cells.schema.fields
+        ]
+    )
+
+
+def input_counts(cells: DataFrame, schema: T.StructType | None = SUBSCRIBER_SCHEMA) -> DataFrame:
+    """Rows (item, column, rows): rows read and kept, and per column null and unparsable cells. One aggregation.
+
+    A row is kept if no cell is null, NaN or unparsable.
+    """
+    table = cells if schema is None else typed(cells, schema)
+    names = table.columns
+    numbers = {field.name for field in table.schema.fields if isinstance(field.dataType, (T.DoubleType, T.FloatType))}
+    both = cells.select(
+        *[F.col(name).isNull().alias(f"null_{i}") for i, name in enumerate(names)],
+        *[
+            (_column(table, cells, name).isNull() & F.col(name).isNotNull()).alias(f"bad_{i}")
+            for i, name in enumerate(names)
+        ],
+        *[
+            (F.isnan(_column(table, cells, name)) if name in numbers else F.lit(False)).alias(f"nan_{i}")
+            for i, name in enumerate(names)
+        ],
+    )
+    gaps = [F.coalesce(F.col(f"{kind}_{i}"), F.lit(False)) for i in range(len(names)) for kind in ("null", "bad", "nan")]
+    totals = both.agg(
+        F.count("*").alias("read"),
+        F.count_if(~reduce(Column.__or__, gaps, F.lit(False))).alias("kept"),
+        *[F.count_if(f"{kind}_{i}").alias(f"{kind}_{i}") for i in range(len(names)) for kind in ("null", "bad", "nan")],
+    )
+    lines = [("read", None, "read"), ("kept", None, "kept")]
+    for i, name in enumerate(names):
+        lines += [("null", name, f"null_{i}"), ("unparsable", name, f"bad_{i}"), ("nan", name, f"nan_{i}")]
+    structs = [
+        F.struct(F.lit(item).alias("item"), F.lit(column).cast("string").alias("column"), F.col(total).alias("rows"))
+        for item, column, total in lines
+    ]
+    return totals.select(F.inline(F.array(*structs)))
+
+
+def _column(table: DataFrame, cells: DataFrame, name: str) -> Column:
+    """The typed column as an expression over the cells."""
+    if table.schema[name].dataType == cells.schema[name].dataType:
+        return F.col(name)
+    return typed_cell(name, table.schema[name].dataType)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

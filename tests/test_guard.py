@@ -6,15 +6,15 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from ebbtide.operators.clean import drop_nulls
 from ebbtide.operators.scorecard import risk_scorecard
 from ebbtide.operators.split import hash_split
+from ebbtide.plans import catalog, catalog_sql
 from ebbtide.plans.subscribers import KEY, RISK_SCORECARD
 from fixtures import subscribers
 
 ROOT = Path(__file__).resolve().parents[1]
-SOURCES = sorted((ROOT / "ebbtide").rglob("*.py"))
+SOURCES = sorted(path for path in (ROOT / "ebbtide").rglob("*.py") if "llm" not in path.parts)
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -34,9 +34,9 @@ def test_sessions_are_opened_by_the_command_line_only():
     assert uses(r"getOrCreate") == {"__main__.py"}
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog_sql.oracle_sql()))
 def test_no_plan_pairs_rows_or_runs_python(spark, plan_text, name):
-    text = plan_text(contract.queries()[name](spark, SF_DIR))
+    text = plan_text(catalog.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Python" not in text
 

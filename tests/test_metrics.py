@@ -1,6 +1,8 @@
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from ebbtide.operators.metrics import (
@@ -11,6 +13,9 @@ from ebbtide.operators.metrics import (
     metrics_by_model,
     metrics_report,
 )
+from ebbtide.operators.models import score_models
+from ebbtide.operators.roc import roc_auc
+from ebbtide.operators.segments import rate_by_category
 
 # Published counts and metrics of three models.
 GOLDENS = [
@@ -98,3 +103,25 @@ def test_all_models_in_one_aggregation(spark, plan_text):
     assert plan_text(metrics).count("Exchange (") == 2  # once in the tree, once in the details
     matrix = confusion_matrix(metrics).collect()
     assert [(row.model, row.label) for row in sorted(matrix)] == [("m0", 0), ("m0", 1), ("m1", 0), ("m1", 1)]
+
+
+@pytest.mark.parametrize("value", [2.0, -1.0, 0.7, float("nan"), None])
+@pytest.mark.parametrize("operator", ["confusion", "prediction", "roc", "rate", "scored"])
+def test_only_0_and_1_are_labels(spark, operator, value):
+    """Compared before they are cast, in every operator that reads a label or a prediction."""
+    df = spark.createDataFrame([(0.0, 0.0, 0.5, "k"), (value, 1.0, 0.6, "k")], "y double, p double, s double, k string")
+    frames = {
+        "confusion": lambda: confusion_counts(df, "y", "p"),
+        "prediction": lambda: confusion_counts(df, "p", "y"),
+        "roc": lambda: roc_auc(df, "y", "s", buckets=1),
+        "rate": lambda: rate_by_category(df, "k", "y"),
+        "scored": lambda: score_models(df.withColumn("predictionCol_0", F.lit(1.0)), {"m": SQLTransformer(statement="SELECT * FROM __THIS__")}, "y"),
+    }
+    with pytest.raises((PySparkException, Py4JJavaError), match="y must be 0 or 1"):
+        frames[operator]().collect()
+
+
+def test_report_scans_its_rows_once(spark, plan_text, tmp_path):
+    golden_counts(spark).write.parquet(str(tmp_path / "c"))
+    text = plan_text(metrics_report(binary_metrics(spark.read.parquet(str(tmp_path / "c")))))
+    assert text.count("Location: InMemoryFileIndex") == 1

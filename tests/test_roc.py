@@ -115,7 +115,7 @@ def test_empty_input(spark):
 
 @pytest.mark.parametrize(
     ("bad", "message"),
-    [((None, 0.5), "null in required column y"), ((1, None), "null in required column s"), ((1, math.nan), "NaN in s")],
+    [((None, 0.5), "y must be 0 or 1, found null"), ((1, None), "null in required column s"), ((1, math.nan), "NaN in s")],
 )
 def test_incomplete_rows_fail(spark, bad, message):
     with pytest.raises((PySparkException, Py4JJavaError), match=message):

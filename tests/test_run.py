@@ -5,14 +5,15 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from ebbtide.plans.attrition_run import run_attrition, staged
-from ebbtide.sources import read_report, read_table, report_importances, report_metrics, write_csv
+from ebbtide.plans.attrition_run import run_attrition
+from ebbtide.sources import read_report, read_table, report_importances, report_metrics, staged, write_csv
 from fixtures import subscribers
 
 TABLES = {
     "class_distribution", "segments", "rule_checks", "domain_checks", "roc_curve", "model_table", "confusion_matrix",
-    "importances", "predictions_preview", "report",
+    "importances", "predictions_preview", "report", "skipped_checks", "row_counts", "cleaned",
 }
 
 
@@ -35,6 +36,11 @@ def test_whole_run(spark, source, tmp_path):
     assert [(row.model, row.tn, row.tp, row.accuracy) for row in again] == [
         (row.model, row.tn, row.tp, row.accuracy) for row in metrics
     ]
+    assert [row.roc_auc for row in again] == [row.roc_auc for row in metrics] and all(row.roc_auc for row in metrics)
+    shown_areas = {row.model: row.roc_auc for row in csv(spark, tmp_path / "model_table")}
+    assert shown_areas == {row.model: round(row.roc_auc, 4) for row in metrics}
+    counts = {(row.item, row.column): row.rows for row in csv(spark, tmp_path / "row_counts")}
+    assert counts["read", None] == counts["kept", None] == 1500 == counts["train", None] + counts["test", None]
     importances = report_importances(report).collect()
     assert len(importances) == 49 and sum(row.importance for row in importances) == pytest.approx(1.0)
     assert sum(row.rows for row in csv(spark, tmp_path / "class_distribution")) == 1500
@@ -55,7 +61,10 @@ def test_run_with_random_split_and_missing_columns(spark, source, tmp_path):
     write_csv(table, str(tmp_path / "in"))
     metrics = run_attrition(spark, str(tmp_path / "in"), str(tmp_path / "out"), split="random")
     assert metrics.count() == 3
-    assert {path.name for path in (tmp_path / "out").iterdir()} == TABLES - {"rule_checks", "domain_checks"}
+    assert {path.name for path in (tmp_path / "out").iterdir()} == TABLES
+    skipped = {row.check for row in csv(spark, tmp_path / "out" / "skipped_checks")}
+    assert {"TechSupport follows InternetService", "TechSupport in domain"} < skipped and len(skipped) == 4
+    assert len(csv(spark, tmp_path / "out" / "rule_checks")) == 7 - 1
     with pytest.raises(ValueError, match="unknown split"):
         run_attrition(spark, source, str(tmp_path / "out"), split="other")
 
@@ -68,6 +77,21 @@ def test_staging_writes_into_the_sessions_folder(spark):
     assert table.count() == 10
 
 
+def test_bad_cells_are_counted_and_whole_numbers_may_have_a_point(spark, source, tmp_path):
+    table = spark.read.option("header", True).csv(source).limit(400).withColumn("row", F.monotonically_increasing_id())
+    cells = {0: "oops", 1: "", 2: "7.5"}
+    tenure = F.col("tenure")
+    for row, text in cells.items():
+        tenure = F.when(F.col("row") == row, F.lit(text) if text else F.lit(None)).otherwise(tenure)
+    changed = table.withColumn("tenure", F.when(F.col("row") > 2, F.concat(tenure, F.lit(".0"))).otherwise(tenure))
+    write_csv(changed.drop("row").coalesce(1), str(tmp_path / "in"))
+    run_attrition(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    counts = {(row.item, row.column): row.rows for row in csv(spark, tmp_path / "out" / "row_counts")}
+    assert counts["read", None] == 400 and counts["kept", None] == 397
+    assert counts["unparsable", "tenure"] == 2 and counts["null", "tenure"] == 1 and counts["null", "Churn"] == 0
+    assert spark.read.parquet(str(tmp_path / "out" / "cleaned")).count() == 397
+
+
 def test_command_line(source, tmp_path):
     run = subprocess.run(
         [sys.executable, "-m", "ebbtide", source, str(tmp_path / "out"), "--split", "hash"],

@@ -2,7 +2,6 @@ import pytest
 from pyspark.ml.classification import LinearSVC
 from pyspark.sql import functions as F
 
-from ebbtide.operators.layout import spread
 from ebbtide.operators.models import default_models, feature_importance, prediction_preview
 from ebbtide.operators.roc import roc_auc
 from ebbtide.operators.split import hash_split, split_frames
@@ -54,7 +53,7 @@ def test_importances(comparison):
     assert [row.importance for row in rows] == sorted((row.importance for row in rows), reverse=True)
     assert sorted(row.idx for row in rows) == list(range(49))
     with pytest.raises(ValueError):
-        feature_importance(comparison.scored.sparkSession, comparison.models["Random Forest"], comparison.names[:-14])
+        feature_importance(comparison.models["Random Forest"], comparison.names.where("idx < 35"))
 
 
 def test_estimators_keep_their_parameters():
@@ -76,7 +75,7 @@ def test_a_model_without_probabilities_scores_by_its_prediction(parts):
 def test_missing_feature_columns_are_skipped(parts):
     train, test = (part.drop("TechSupport", "tenure") for part in parts)
     with compare_models(train, test, FEATURE_COLUMNS, {"tree": default_models("Churn")["Decision Tree"]}) as run:
-        assert len(run.names) == 49 - 3 - 1
+        assert run.names.count() == 49 - 3 - 1
         assert run.metrics().count() == 1
 
 
@@ -88,14 +87,6 @@ def test_nothing_stays_cached(spark, parts):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
-def test_only_small_tables_are_dealt_out(spark):
-    cores = spark.sparkContext.defaultParallelism
-    small = spark.range(0, 100, 1, 1)
-    assert spread(small).rdd.getNumPartitions() == cores and spread(small).count() == 100
-    large = spark.range(0, 1000, 1, cores + 1)
-    assert spread(large) is large
-
-
 def test_preview_of_predictions(comparison, parts):
     shown = prediction_preview(comparison.scored, MODELS, KEY, [KEY, "absent", "y", "prediction"]).collect()
     first = [row[KEY] for row in parts[1].orderBy(KEY).limit(5).collect()]
@@ -107,3 +98,16 @@ def test_areas_do_not_depend_on_the_layout(comparison):
     areas = [{row.model: row.roc_auc for row in roc_auc(df, "y", "score", ["model"], buckets=n).collect()}
              for df, n in ((comparison.scored, 3), (moved, 17))]
     assert areas[0] == areas[1]
+
+
+def test_preview_reads_the_rows_once_and_limits_before_the_shuffle(spark, plan_text):
+    rows = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(
+        F.lit("m").alias("model"), "o_orderkey", F.col("o_totalprice").alias("score")
+    )
+    text = plan_text(prediction_preview(rows, ["m"], "o_orderkey", ["o_orderkey", "score"]))
+    assert text.count("Location: InMemoryFileIndex") == 1 and "WindowGroupLimit" in text
+
+
+def test_equal_keys_are_previewed_in_the_order_of_what_is_shown(spark):
+    rows = spark.createDataFrame([("m", 1, v) for v in (5, 3, 9, 1)], "model string, k int, v int").repartition(3)
+    assert [row.v for row in prediction_preview(rows, ["m"], "k", ["k", "v"], rows=3).collect()] == [1, 3, 5]
