@@ -31,8 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_CHARS = 6_000_000
-SAMPLE_BYTES = 100_000_000
-KNOWN_WORDS = 1_000_000  # 40 bytes each in a task
+SAMPLE_BYTES = 64_000_000
+KNOWN_WORDS = 400_000  # 40 bytes each in a task
 LONG_WORD = 256
 #: A piece of a word in one long: rank of the pair that it begins, its first byte, its id.
 _ID_BITS, _RANK_SHIFT = 20, 40
@@ -220,11 +220,15 @@ class Ragged(NamedTuple):
     offsets: np.ndarray
 
     @classmethod
-    def of(cls, rows: list, dtype: type) -> Ragged:
+    def of_bytes(cls, rows: list[bytes]) -> Ragged:
         offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows], dtype=np.int64)])
-        if dtype is np.uint8:
-            return cls(np.frombuffer(b"".join(rows), np.uint8), offsets)
-        return cls(np.concatenate([np.asarray(row, dtype) for row in rows] or [np.empty(0, dtype)]), offsets)
+        return cls(np.frombuffer(b"".join(rows), np.uint8), offsets)
+
+    @classmethod
+    def of_lists(cls, lists: pa.ListArray) -> Ragged:
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        values = lists.values.to_numpy(zero_copy_only=False).astype(np.uint32)
+        return cls(values[offsets[0] : offsets[-1]], offsets - offsets[0])
 
     def take(self, numbers: np.ndarray) -> Ragged:
         sizes = self.offsets[numbers + 1] - self.offsets[numbers]
@@ -268,10 +272,11 @@ class KnownWords(NamedTuple):
         return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2).astype(np.uint64)
 
     @classmethod
-    def of(cls, merged: list[tuple[bytes, list[int]]]) -> KnownWords:
-        found = cls.hashes([word for word, _ in merged])
+    def of(cls, merged: pa.Table) -> KnownWords:
+        """From rows (word, ids)."""
+        found = cls.hashes(merged.column(0).to_pylist())
         order = np.lexsort((found[:, 1], found[:, 0]))
-        ids = Ragged.of([merged[i][1] for i in order.tolist()], np.uint32)
+        ids = Ragged.of_lists(merged.column(1).combine_chunks()).take(order)
         return cls(found[order, 0], found[order, 1], ids)
 
     def find(self, words: list[bytes]) -> np.ndarray:
@@ -323,8 +328,7 @@ def known_words(docs: DataFrame, shared: Broadcast, byte_ids: Column, ranks: Ran
     merged = words.select("word").mapInArrow(as_bytes, "word binary, bytes array<int>").select(
         "word", _let(ranks.literal, lambda maps: merge_expression(F.col("bytes"), byte_ids, maps)).alias("ids")
     )
-    table = merged.toArrow()  # at most KNOWN_WORDS words
-    return KnownWords.of(list(zip(table.column(0).to_pylist(), table.column(1).to_pylist())))
+    return KnownWords.of(merged.toArrow())  # at most KNOWN_WORDS words
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, with_decoded: bool = False) -> DataFrame:
@@ -373,18 +377,20 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, with_decoded: bool = False)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = known.value.ids
-        tokens = Ragged.of(shared.value.tokens, np.uint8)
+        tokens = Ragged.of_bytes(shared.value.tokens)
         for batch in batches:
             for row in range(batch.num_rows):
                 doc_ids, sizes = (batch.column(i)[row].as_py() for i in (0, 1))
                 codes = np.frombuffer(batch.column(2)[row].as_py(), np.int32).astype(np.int64)
-                merged = batch.column(3)[row].values
-                offsets = merged.offsets.to_numpy().astype(np.int64)
-                fresh = merged.values.to_numpy(zero_copy_only=False).astype(np.uint32)[offsets[0] : offsets[-1]]
+                fresh = Ragged.of_lists(batch.column(3)[row].values)
                 words = Ragged(
-                    np.concatenate([np.arange(n_tokens, dtype=np.uint32), before.values.astype(np.uint32), fresh]),
+                    np.concatenate([np.arange(n_tokens, dtype=np.uint32), before.values, fresh.values]),
                     np.concatenate(
-                        [np.arange(n_tokens), n_tokens + before.offsets[:-1], n_tokens + before.offsets[-1] + offsets - offsets[0]]
+                        [
+                            np.arange(n_tokens),
+                            n_tokens + before.offsets[:-1],
+                            n_tokens + before.offsets[-1] + fresh.offsets,
+                        ]
                     ),
                 )
                 bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
@@ -422,7 +428,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Ragged.of(shared.value.tokens, np.uint8)
+        pieces = Ragged.of_bytes(shared.value.tokens)
         for batch in batches:
             decoded = [
                 pieces.take(np.frombuffer(ids, np.uint32).astype(np.int64)).values.tobytes()
