@@ -1,9 +1,9 @@
 """Operator 9: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
 
 Test items become passages of at most ``PASSAGE_WORDS`` words. The document frequency of every passage n-gram is counted
-over all documents, and the rarest ones of each passage become its seeds; frequency only ranks, so a passage that leaked
-into very many documents keeps its seeds. Where a document holds a seed, the words around it are aligned with the
-passage. The score is the alignment's, over the score of a perfect copy: 1 for a copy, about 1 - 1.5 f where a share f
+over all documents. Seeds of a passage are its rare n-grams: those that are not much more frequent than the middle one of
+the passage. Copies raise the frequency of all n-grams of a passage alike, so one that leaked into very many documents
+keeps its seeds. Where a document holds a seed, the words around it are aligned with the passage. The score is the alignment's, over the score of a perfect copy: 1 for a copy, about 1 - 1.5 f where a share f
 of the words was replaced.
 
 Passages are taken in blocks of bounded size, one scan of the documents for each; documents are never shuffled and never
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import per_batch, staged
 
 SEED_WORDS = 3
-SEEDS = 24
+COMMON_TIMES, COMMON_MORE = 4, 10  # an n-gram is common if this many times as frequent as the middle one, and so many more
 PASSAGE_WORDS = 200
-BLOCK_PASSAGES = 20_000  # at most this many, on average, are held by a task: some 30 MB
+BLOCK_PASSAGES = 5_000  # at most this many, on average, are held by a task: some 40 MB
 SHORT_WORDS = 8
 MISMATCH, GAP = 0.5, 0.5
 THRESHOLD = 0.4
@@ -140,8 +140,9 @@ class Block:
         by_size: dict[int, list] = {}
         for number, passage in enumerate(held):
             grams = gram_hashes(passage.words, passage.seed_words)
-            rarity = [(frequency.get(gram, 0), place) for place, gram in enumerate(grams.view(np.int64).tolist())]
-            for _, place in sorted(rarity)[:SEEDS]:
+            found = np.array([frequency.get(gram, 0) for gram in grams.view(np.int64).tolist()])
+            rare = found <= np.sort(found)[(len(found) - 1) // 2] * COMMON_TIMES + COMMON_MORE
+            for place in np.flatnonzero(rare).tolist():
                 self.owners.setdefault(int(grams[place]), []).append((number, place))
                 by_size.setdefault(passage.seed_words, []).append(grams[place])
         self.lookup = Lookup({size: np.array(grams, np.uint64) for size, grams in by_size.items()})
