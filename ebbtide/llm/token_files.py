@@ -30,7 +30,7 @@ from ebbtide.llm.common import scratch
 END_ID = 2
 BLOCK_IDS = 1 << 16
 CHUNK_IDS = 1 << 20  # a chunk is closed when it holds this many ids; a longer document is a chunk of its own
-CACHED_WORDS = 400_000
+CACHED_WORDS = 900_000
 MAGIC = b"PLN1"
 _HEAD = struct.Struct("<4sBIII")  # magic, planes per block, ids, ids per block, blocks
 
