@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, decontaminate, fingerprints, licenses, minhash, pii, quality, secrets, token_files, warc
+from ebbtide.llm import bpe, decontaminate, fingerprints, licenses, minhash, pii, quality, secrets, sql, token_files, warc
 from ebbtide.llm.common import table
 
 
@@ -30,7 +30,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    captures = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,4 +71,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_warc": sql.ARCHIVES, "op8_near_duplicates": sql.NEAR_DUPLICATES}
