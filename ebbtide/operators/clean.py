@@ -38,10 +38,6 @@ def existing_columns(df: DataFrame, wanted: Sequence[str]) -> list[str]:
     return [name for name in wanted if name in have]
 
 
-def select_existing(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    return df.select(*existing_columns(df, wanted))
-
-
 def preview(df: DataFrame, key: str, rows: int = 5) -> DataFrame:
     """The first rows in key order: a top-k plan, not a full sort."""
     return df.orderBy(key).limit(rows)

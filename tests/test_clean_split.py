@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators.clean import drop_nulls, existing_columns, preview, select_existing
+from ebbtide.operators.clean import drop_nulls, existing_columns, preview
 from ebbtide.operators.split import hash_split, random_split, split_counts, split_frames
 
 ORDERS = "/root/testdata/sf0.001/orders.parquet"
@@ -27,7 +27,6 @@ def test_null_tests_reach_the_scan(spark, plan_text):
 def test_existing_columns(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
     assert existing_columns(df, ["c", "zz", "a"]) == ["c", "a"]
-    assert select_existing(df, ["c", "zz", "a"]).columns == ["c", "a"]
 
 
 def test_preview_is_a_top_k_plan(spark, plan_text):
