@@ -102,9 +102,9 @@ def test_areas_do_not_depend_on_the_layout(comparison):
 
 def test_preview_reads_the_rows_once_and_limits_before_the_shuffle(spark, plan_text):
     rows = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(
-        F.lit("m").alias("model"), "o_orderkey", F.col("o_totalprice").alias("score")
+        F.col("o_orderstatus").alias("model"), "o_orderkey", F.col("o_totalprice").alias("score")
     )
-    text = plan_text(prediction_preview(rows, ["m"], "o_orderkey", ["o_orderkey", "score"]))
+    text = plan_text(prediction_preview(rows, ["F", "O"], "o_orderkey", ["o_orderkey", "score"]))
     assert text.count("Location: InMemoryFileIndex") == 1 and "WindowGroupLimit" in text
 
 
