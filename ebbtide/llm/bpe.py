@@ -30,6 +30,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.llm.common import staged
+
 BLOCK_CHARS = 6_000_000
 SAMPLE_BYTES = 64_000_000
 KNOWN_WORDS = 400_000  # 40 bytes each in a task
@@ -323,6 +325,7 @@ def known_words(docs: DataFrame, shared: Broadcast, byte_ids: Column, ranks: Ran
 
     sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000).select("text").dropna()
     counts = sample.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = staged(counts, "word-counts")
     few = counts.count() <= KNOWN_WORDS
     words = counts if few else counts.orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
     merged = words.select("word").mapInArrow(as_bytes, "word binary, bytes array<int>").select(
