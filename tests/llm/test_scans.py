@@ -42,7 +42,7 @@ def luhn(number):
 def plain_personal(text):
     keep = {
         "email": lambda s: True,
-        "ip": lambda s: all(int(part) <= 255 for part in s.split(".")),
+        "ip": lambda s: all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in s.split(".")),
         "card": lambda s: 12 <= len(digits(s)) <= 19 and luhn(digits(s)),
         "phone": lambda s: 9 <= len(digits(s)) <= 15,
     }
