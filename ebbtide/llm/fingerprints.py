@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm.common import per_batch
 
-WINDOW, SELECT, OFTEN = 64, 64, 16
+WINDOW, SELECT, OFTEN = 32, 64, 16
 FILTER_BITS, HASHES, CAPACITY = 2048, 5, 160
 LEVELS = 256  # entropies are told apart in this many levels
 LEAST_BITS = 1.5  # windows of less entropy are no features
@@ -202,8 +202,8 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.struct("place", F.lit(False).alias("tail")), F.struct(tail_of("ord").alias("place"), F.lit(True).alias("tail"))
     )
     rows = dealt.select("doc_id", "text", "ord", F.inline(both)).where("place >= 0")
-    # the size of a range is bounded; each goes whole to one task
-    return rows.repartition("place").sortWithinPartitions("place", "tail", "ord", F.xxhash64("text")).select(
+    # a range is about RANGE_BYTES whatever the size of the table, and there are as many partitions as ranges
+    return rows.repartition(len(places) or 1, "place").sortWithinPartitions("place", "tail", "ord", F.xxhash64("text")).select(
         "place", "tail", "doc_id", "text"
     )
 
