@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from operator import methodcaller
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,11 +38,14 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def per_batch(df: DataFrame, schema: pa.Schema, ddl: str, rows: Callable[..., Iterable[tuple]]) -> DataFrame:
-    """Apply ``rows(*columns)`` to the columns of every Arrow batch; it yields output tuples in the order of ``schema``."""
+    """Apply ``rows(*columns)`` to the columns of every Arrow batch; it yields output tuples in the order of ``schema``.
+
+    Columns are iterators, so that the texts of a batch are not all decoded at once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = list(rows(*(column.to_pylist() for column in batch.columns)))
+            out = list(rows(*(map(methodcaller("as_py"), column) for column in batch.columns)))
             columns = zip(*out) if out else [[] for _ in schema]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(values, field.type) for values, field in zip(columns, schema)], schema=schema

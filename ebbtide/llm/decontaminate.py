@@ -16,7 +16,7 @@ documents are each reported. Passages of less than ``SHORT_WORDS`` words count o
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -104,7 +104,7 @@ def passages(benchmark: DataFrame) -> DataFrame:
     """(item_id, part, words) with the words as hashes; parts of long items are passages of their own."""
     schema = pa.schema([("item_id", pa.int64()), ("part", pa.int32()), ("words", pa.binary())])
 
-    def rows(ids: list, texts: list) -> Iterator[tuple]:
+    def rows(ids: Iterable, texts: Iterable) -> Iterator[tuple]:
         for item_id, text in zip(ids, texts):
             words = word_hashes(text)
             parts = -(-len(words) // PASSAGE_WORDS)
@@ -120,7 +120,7 @@ def frequencies(docs: DataFrame, lookup: Lookup) -> dict[int, int]:
     """Document frequency of the looked-up n-grams over all documents; bounded by the block's n-grams."""
     schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
 
-    def rows(texts: list) -> Iterator[tuple]:
+    def rows(texts: Iterable) -> Iterator[tuple]:
         counts: Counter = Counter()
         for text in texts:
             for _, _, hashes in lookup.places(word_hashes(text)):
@@ -227,7 +227,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in blocks(docs, benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        def rows(ids: list, texts: list, shared=shared) -> Iterator[tuple]:
+        def rows(ids: Iterable, texts: Iterable, shared=shared) -> Iterator[tuple]:
             for doc_id, text in zip(ids, texts):
                 for item_id, found in shared.value.matches(word_hashes(text)).items():
                     yield doc_id, item_id, *found

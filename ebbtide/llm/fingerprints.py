@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -68,7 +68,7 @@ def level_counts(docs: DataFrame) -> np.ndarray:
     """How many windows of all texts have each level."""
     schema = pa.schema([("level", pa.int32()), ("n", pa.int64())])
 
-    def rows(texts: list) -> Iterator[tuple]:
+    def rows(texts: Iterable) -> Iterator[tuple]:
         counts = np.zeros(LEVELS, np.int64)
         for text in texts:
             counts += np.bincount(entropy_levels(as_bytes(text)), minlength=LEVELS)

@@ -6,7 +6,7 @@ Null and empty texts have no words and no labels; repeated rows give repeated re
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from typing import NamedTuple
 
@@ -174,7 +174,7 @@ def scan_text(text: str | None) -> tuple:
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """Licence words, places, labels and a score per document; no shuffle."""
 
-    def rows(ids: list, texts: list) -> Iterator[tuple]:
+    def rows(ids: Iterable, texts: Iterable) -> Iterator[tuple]:
         for doc_id, text in zip(ids, texts):
             yield doc_id, *scan_text(text)
 

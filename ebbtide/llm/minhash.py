@@ -15,7 +15,7 @@ and sets are known by 64-bit hashes: among ten billion different sets about thre
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -141,7 +141,7 @@ SKETCH = pa.schema(
 
 
 def sketch(docs: DataFrame, shingling: Shingling) -> DataFrame:
-    def rows(ids: list, texts: list) -> Iterator[tuple]:
+    def rows(ids: Iterable, texts: Iterable) -> Iterator[tuple]:
         for doc_id, text in zip(ids, texts):
             shingles = shingle_set(text, shingling.words)
             if len(shingles):
@@ -159,7 +159,7 @@ SETS = pa.schema([("node", pa.int64()), ("least", pa.binary()), ("shingles", pa.
 def candidate_sets(docs: DataFrame, first_ids: DataFrame, nodes: DataFrame, shingling: Shingling) -> DataFrame:
     """Signature and full set of each of ``nodes``, computed again from one text that holds it."""
 
-    def rows(texts: list) -> Iterator[tuple]:
+    def rows(texts: Iterable) -> Iterator[tuple]:
         done = set()
         for text in texts:
             shingles = shingle_set(text, shingling.words)

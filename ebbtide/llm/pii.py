@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -182,7 +182,7 @@ def vote_counts(docs: DataFrame) -> DataFrame:
     """(kind, votes, shape, n) over all texts, counted per batch before the shuffle."""
     schema = pa.schema([("kind", pa.string()), ("votes", pa.string()), ("shape", pa.string()), ("n", pa.int64())])
 
-    def rows(texts: list) -> Iterator[tuple]:
+    def rows(texts: Iterable) -> Iterator[tuple]:
         counts: dict[tuple, int] = {}
         for text in texts:
             for c in candidates(text):
@@ -277,7 +277,7 @@ def find_personal_data(docs: DataFrame, model: SpanModel | None = None) -> DataF
     """Spans per document; trains on the same documents where no model is given. No text is shuffled."""
     model = model or train(docs)
 
-    def rows(ids: list, texts: list) -> Iterator[tuple]:
+    def rows(ids: Iterable, texts: Iterable) -> Iterator[tuple]:
         known: dict = {}
         for doc_id, text in zip(ids, texts):
             spans = kept_spans(text, model, known)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -104,7 +104,7 @@ def unseen_blobs(docs: DataFrame, ledger: DataFrame | None) -> DataFrame:
 def update_ledger(docs: DataFrame, path: str) -> DataFrame:
     """Scan what the ledger at ``path`` lacks, append it, and return the ledger of the current rules."""
 
-    def rows(blobs: list, texts: list) -> Iterator[tuple]:
+    def rows(blobs: Iterable, texts: Iterable) -> Iterator[tuple]:
         done = set()
         for blob, text in zip(blobs, texts):
             if blob in done:
