@@ -366,8 +366,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, with_decoded: bool = False)
             row = [ids, [len(one) for one in coded], final[np.concatenate(coded)].tobytes(), words, long_words]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCKS)], schema=BLOCKS)
 
+        ids, texts, chars = [], [], 0
         for batch in batches:
-            ids, texts, chars = [], [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids.append(doc_id)
                 texts.append(text.as_py() or "")
@@ -375,8 +375,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, with_decoded: bool = False)
                 if chars >= BLOCK_CHARS:
                     yield block(ids, texts)
                     ids, texts, chars = [], [], 0
-            if ids:
-                yield block(ids, texts)
+        if ids:
+            yield block(ids, texts)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = known.value.ids

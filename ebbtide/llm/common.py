@@ -11,8 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows and bytes of an Arrow batch: what a task decodes at once is a few MB, whatever the length of the texts.
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables, whole."""
+    """One of the given tables, whole. Arrow batches of the session are made small, for tables of long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

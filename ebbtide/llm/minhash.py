@@ -192,8 +192,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, shingling: Shingling) -> DataFr
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
-                reach(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent)
-                for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                reach(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64), percent)
+                for a, b in zip(batch.column(2), batch.column(3))
             ]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
