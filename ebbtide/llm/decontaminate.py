@@ -1,10 +1,15 @@
-"""Operator 9: benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+"""Operator 9: benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
 
-Test items become passages of at most ``PASSAGE_WORDS`` words. The document frequency of every passage n-gram is counted
-over all documents. Seeds of a passage are its rare n-grams: those that are not much more frequent than the middle one of
-the passage. Copies raise the frequency of all n-grams of a passage alike, so one that leaked into very many documents
-keeps its seeds. Where a document holds a seed, the words around it are aligned with the passage. The score is the alignment's, over the score of a perfect copy: 1 for a copy, about 1 - 1.5 f where a share f
-of the words was replaced.
+Seeds of a passage are its pairs of words at distance 1 and 2, all of them, however common: commonness is never counted,
+so no number of copies can take seeds away. Where a document holds enough of a passage's seeds close together, the words
+there are aligned with the passage. The score is the alignment's, over the score of a perfect copy: 1 for a copy, about
+1 - 1.5 f where a share f of the words was replaced.
+
+Enough is what every alignment of the least score has. Between two neighbouring equal words, no edit leaves a pair of
+the passage at its own distance, one edit (a word replaced, left out or put in) a pair at distance 1 or 2 on both sides.
+An alignment of m equal words and e edits of 0.5 scores m - e / 2; each of its m - 1 steps adds 1 and takes half a point
+per edit, so 1 + (steps without edit) + (steps with one edit) / 2 is at least its score. Nothing that would reach the
+least score is left out before it is aligned.
 
 Passages are taken in blocks of bounded size, one scan of the documents for each; documents are never shuffled and never
 paired with items that they share no seed with.
@@ -15,7 +20,6 @@ documents are each reported. Passages of less than ``SHORT_WORDS`` words count o
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -27,12 +31,10 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm.common import per_batch, staged
 
-SEED_WORDS = 3
-COMMON_TIMES, COMMON_MORE = 4, 10  # an n-gram is common if this many times as frequent as the middle one, and so many more
 PASSAGE_WORDS = 200
 BLOCK_PASSAGES = 5_000  # at most this many, on average, are held by a task: some 40 MB
 SHORT_WORDS = 8
-MISMATCH, GAP = 0.5, 0.5
+MISMATCH, GAP = 0.5, 0.5  # the count of seeds relies on these
 THRESHOLD = 0.4
 CACHED_WORDS = 200_000
 
@@ -57,47 +59,31 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words))
 
 
-def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    if len(words) < size:
+def pair_hashes(words: np.ndarray, distance: int) -> np.ndarray:
+    """One hash per word and the word so many places after it; the distance is no part of it."""
+    if len(words) <= distance:
         return np.empty(0, np.uint64)
-    joint = np.full(len(words) - size + 1, size, np.uint64)
-    for i in range(size):
-        joint = joint * np.uint64(0x9E3779B97F4A7C15) + words[i : len(words) - size + 1 + i]
-        joint ^= joint >> np.uint64(29)
-    return joint
+    joint = words[: len(words) - distance] * np.uint64(0x9E3779B97F4A7C15) + words[distance:]
+    return joint ^ (joint >> np.uint64(29))
 
 
 class Passage(NamedTuple):
     item_id: int | None
     words: np.ndarray
 
-    @property
-    def seed_words(self) -> int:
-        return min(SEED_WORDS, len(self.words))
-
     @property
     def least_score(self) -> float:
         return THRESHOLD if len(self.words) >= SHORT_WORDS else 1.0
 
+    @property
+    def least_points(self) -> float:
+        """What an alignment has to score, less what rounding of the score may forgive."""
+        return self.least_score * len(self.words) - 0.001
 
-class Lookup:
-    """Finds the places in a text's n-grams that are among given hashes."""
-
-    def __init__(self, by_size: dict[int, np.ndarray]) -> None:
-        self.by_size = {size: np.unique(hashes) for size, hashes in by_size.items() if len(hashes)}
-        self.marks = {}
-        for size, hashes in self.by_size.items():
-            self.marks[size] = np.zeros(1 << 20, bool)
-            self.marks[size][hashes >> np.uint64(44)] = True
-
-    def places(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(n-gram size, places, hashes) of the hits."""
-        for size, hashes in self.by_size.items():
-            grams = gram_hashes(words, size)
-            at = np.flatnonzero(self.marks[size][grams >> np.uint64(44)])
-            found = np.searchsorted(hashes, grams[at])
-            at = at[hashes[np.minimum(found, len(hashes) - 1)] == grams[at]]
-            yield size, at, grams[at]
+    @property
+    def reach(self) -> int:
+        """The most words of a text that an alignment of the least score takes: m equal ones and 2 (m - points) edits."""
+        return int(3 * len(self.words) - 2 * self.least_points)
 
 
 def passages(benchmark: DataFrame) -> DataFrame:
@@ -116,67 +102,98 @@ def passages(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def frequencies(docs: DataFrame, lookup: Lookup) -> dict[int, int]:
-    """Document frequency of the looked-up n-grams over all documents; bounded by the block's n-grams."""
-    schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
-
-    def rows(texts: Iterable) -> Iterator[tuple]:
-        counts: Counter = Counter()
-        for text in texts:
-            for _, _, hashes in lookup.places(word_hashes(text)):
-                counts.update(set(hashes.view(np.int64).tolist()))
-        yield from counts.items()
-
-    counted = per_batch(docs.select("text"), schema, "gram long, n long", rows)
-    return dict(map(tuple, counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()))
-
-
 class Block:
     """Passages of one block with their seeds."""
 
-    def __init__(self, held: list[Passage], frequency: dict[int, int]) -> None:
+    def __init__(self, held: list[Passage]) -> None:
         self.held = held
-        self.owners: dict[int, list[tuple[int, int]]] = {}  # seed -> (passage, place in it)
-        by_size: dict[int, list] = {}
+        self.needed = np.array([passage.least_points - 1 for passage in held])
+        keys, owners, steps = [np.empty(0, np.uint64)], [np.empty(0, np.int32)], [np.empty(0, np.int8)]
         for number, passage in enumerate(held):
-            grams = gram_hashes(passage.words, passage.seed_words)
-            found = np.array([frequency.get(gram, 0) for gram in grams.view(np.int64).tolist()])
-            rare = found <= np.sort(found)[(len(found) - 1) // 2] * COMMON_TIMES + COMMON_MORE
-            for place in np.flatnonzero(rare).tolist():
-                self.owners.setdefault(int(grams[place]), []).append((number, place))
-                by_size.setdefault(passage.seed_words, []).append(grams[place])
-        self.lookup = Lookup({size: np.array(grams, np.uint64) for size, grams in by_size.items()})
+            for step in (1, 2) if len(passage.words) > 1 else (0,):  # a single word is its own seed
+                keys.append(pair_hashes(passage.words, step))
+                owners.append(np.full(len(keys[-1]), number, np.int32))
+                steps.append(np.full(len(keys[-1]), step, np.int8))
+        key, owner, step = map(np.concatenate, (keys, owners, steps))
+        order = np.lexsort((step, owner, key))
+        key, owner, step = key[order], owner[order], step[order]
+        first = np.ones(len(key), bool)  # a passage has a seed once, at its least distance
+        first[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+        self.owner, self.step = owner[first], step[first]
+        self.keys, self.begin = np.unique(key[first], return_index=True)
+        self.count = np.diff(np.append(self.begin, len(self.owner)))
+        self.texts_steps = (0, 1, 2) if (self.step == 0).any() else (1, 2)
+        self.shift = np.uint64(64 - min(24, max(20, (16 * len(self.keys)).bit_length())))
+        self.marks = np.zeros(1 << int(np.uint64(64) - self.shift), bool)
+        self.marks[self.keys >> self.shift] = True
+
+    def seeds(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, place in the text, points) of every seed in a text."""
+        out = []
+        for step in self.texts_steps if len(self.keys) else ():
+            pairs = pair_hashes(words, step)
+            at = np.flatnonzero(self.marks[pairs >> self.shift])
+            found = np.minimum(np.searchsorted(self.keys, pairs[at]), len(self.keys) - 1)
+            same = self.keys[found] == pairs[at]
+            at, found = at[same], found[same]
+            many = self.count[found]
+            entry = np.repeat(self.begin[found] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            points = np.where((self.step[entry] <= 1) & (step <= 1), 1.0, 0.5)
+            out.append((self.owner[entry], np.repeat(at, many), points))
+        return tuple(map(np.concatenate, zip(*out))) if out else (np.empty(0, np.int32), np.empty(0, int), np.empty(0))
 
     def matches(self, words: np.ndarray) -> dict[int | None, tuple[float, int, int]]:
         """item_id -> (score, first word, last word) of the best alignment that is good enough."""
-        starts: dict[int, set[int]] = {}
-        for _, places, hashes in self.lookup.places(words):
-            for at, gram in zip(places.tolist(), hashes.tolist()):
-                for number, place in self.owners[gram]:
-                    starts.setdefault(number, set()).add(at - place)
+        owner, at, points = self.seeds(words)
+        total = np.bincount(owner, points, len(self.held))
+        enough = (total > 0) & (total >= self.needed)
         found: dict[int | None, tuple[float, int, int]] = {}
-        for number, where in starts.items():
+        if not enough.any():
+            return found
+        mine = enough[owner]
+        owner, at, points = owner[mine], at[mine], points[mine]
+        order = np.lexsort((-points, at, owner))
+        owner, at, points = owner[order], at[order], points[order]
+        best = np.ones(len(owner), bool)  # a place counts once for a passage
+        best[1:] = (owner[1:] != owner[:-1]) | (at[1:] != at[:-1])
+        owner, at, points = owner[best], at[best], points[best]
+        numbers, begins = np.unique(owner, return_index=True)
+        for number, begin, end in zip(numbers.tolist(), begins, [*begins[1:], len(owner)]):
             passage = self.held[number]
-            for left, right in windows(sorted(where), len(passage.words), len(words)):
-                score, first, last = align(passage.words, words[left:right])
+            for left, right in windows(at[begin:end], points[begin:end], self.needed[number], passage.reach, len(words)):
+                if seeds_held(passage.words, words[left:right]) < self.needed[number]:
+                    continue
+                score, first, last = align(passage.words, words[left:right], passage.least_score)
                 if score >= passage.least_score and score > found.get(passage.item_id, (0.0,))[0]:
                     found[passage.item_id] = (score, left + first, left + last)
         return found
 
 
-def windows(starts: list[int], length: int, total: int) -> list[tuple[int, int]]:
-    """Ranges of words that may hold a copy which begins near one of ``starts``; overlapping ranges are one."""
-    slack = length // 4 + SHORT_WORDS
+def windows(at: np.ndarray, points: np.ndarray, needed: float, reach: int, total: int) -> list[tuple[int, int]]:
+    """Ranges of ``reach`` words from a seed that hold seeds of enough points; overlapping ranges are one."""
+    sums = np.append(0.0, np.cumsum(points))
+    starts = at[sums[np.searchsorted(at, at + reach)] - sums[:-1] >= needed]
     out: list[list[int]] = []
-    for start in starts:
-        left, right = max(0, start - slack), min(total, start + length + slack)
-        if out and left <= out[-1][1]:
-            out[-1][1] = max(right, out[-1][1])
+    for start in starts.tolist():
+        right = min(total, start + reach)
+        if out and start <= out[-1][1]:
+            out[-1][1] = right
         else:
-            out.append([left, right])
+            out.append([start, right])
     return [(left, right) for left, right in out]
 
 
+def seeds_held(item: np.ndarray, text: np.ndarray) -> float:
+    """Points of the seeds of ``item`` that ``text`` holds; a seed that is repeated in the text counts once."""
+    points = np.zeros(len(item))
+    near, far = pair_hashes(text, 1), pair_hashes(text, 2)
+    for step in (1, 2):
+        mine = pair_hashes(item, step)
+        held = np.maximum(np.isin(mine, near) * (1.0 if step == 1 else 0.5), np.isin(mine, far) * 0.5)
+        points[: len(mine)] = np.maximum(points[: len(mine)], held)
+    return float(points.sum())
+
+
 def best_local(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
     """Smith-Waterman: best score (1 per equal word) and the place in ``text`` after its last word."""
     ramp = GAP * np.arange(len(text) + 1)
@@ -192,14 +209,17 @@ def best_local(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
     return best, end
 
 
-def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
-    """Score over that of a perfect copy, first and last word of the best alignment."""
+def align(item: np.ndarray, text: np.ndarray, least: float = 0.0) -> tuple[float, int, int]:
+    """Score over that of a perfect copy, first and last word of the best alignment; (0, 0, 0) below ``least``."""
     best, end = best_local(item, text)
+    score = round(best / len(item), 6)
+    if score < least:
+        return 0.0, 0, 0
     _, length = best_local(item[::-1], text[:end][::-1])
-    return round(best / len(item), 6), end - length, end - 1
+    return score, end - length, end - 1
 
 
-def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Block]:
+def blocks(benchmark: DataFrame) -> Iterator[Block]:
     held = passages(benchmark)
     count = max(1, -(-held.count() // BLOCK_PASSAGES))
     for number in range(count):
@@ -208,11 +228,7 @@ def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Block]:
             (Passage(row.item_id, np.frombuffer(row.words, np.uint64)) for row in rows),
             key=lambda p: (p.item_id is not None, p.item_id or 0, p.words.tobytes()),
         )
-        grams: dict[int, list] = {}
-        for passage in mine:
-            grams.setdefault(passage.seed_words, []).append(gram_hashes(passage.words, passage.seed_words))
-        lookup = Lookup({size: np.concatenate(several) for size, several in grams.items()})
-        yield Block(mine, frequencies(docs, lookup))
+        yield Block(mine)
 
 
 SCHEMA = pa.schema(
@@ -224,7 +240,7 @@ DDL = "doc_id long, item_id long, score double, first_word long, last_word long"
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and test item that it holds a copy of; clean documents have none."""
     out = None
-    for block in blocks(docs, benchmark):
+    for block in blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def rows(ids: Iterable, texts: Iterable, shared=shared) -> Iterator[tuple]:
@@ -240,7 +256,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows, with all their columns, that hold no copy of a test item."""
     clean = docs
-    for block in blocks(docs, benchmark):
+    for block in blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -146,3 +146,19 @@ def test_leaks_of_odd_and_empty_tables(spark, odd_docs, no_docs):
     assert decontaminate.find_leaks(no_docs, benchmark).collect() == []
     assert decontaminate.find_leaks(odd_docs, benchmark.where("false")).collect() == []
     assert decontaminate.drop_leaks(odd_docs, benchmark).schema == odd_docs.schema
+
+
+@pytest.mark.parametrize("copies", [50, 1000])
+def test_parts_of_an_item_are_found_however_many_documents_hold_them(spark, copies):
+    """What is copied is common, the rest of the item is not."""
+    item = [f"word{i}" for i in range(40)]
+    edited = " ".join("other" if i % 4 == 3 else word for i, word in enumerate(item))
+    half = " ".join(item[11:31])
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows = [(i, f"x{i} {edited} y{i}") for i in range(copies)] + [(copies + i, f"{half} z{i}") for i in range(copies)]
+    rows += [(-1 - i, f"word{i} and {' '.join(item[2 * i : 2 * i + 3])} alone") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.score for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert sorted(found) == list(range(2 * copies))
+    assert all(score == (0.6375 if i < copies else 0.5) for i, score in found.items())
+    assert decontaminate.drop_leaks(docs, benchmark).count() == 10
