@@ -5,6 +5,10 @@ so no number of copies can take seeds away. Where a document holds enough of a p
 there are aligned with the passage. The score is the alignment's, over the score of a perfect copy: 1 for a copy, about
 1 - 1.5 f where a share f of the words was replaced.
 
+Items of more than ``PASSAGE_WORDS`` words are cut into even parts; every two neighbouring parts are a passage, and its
+score is over that of a perfect copy of one part, 1 at most. So any run of words as long as a part, wherever it begins,
+lies whole in one passage, and where an excerpt stands in its item makes no difference to whether it is found.
+
 Enough is what every alignment of the least score has. Between two neighbouring equal words, no edit leaves a pair of
 the passage at its own distance, one edit (a word replaced, left out or put in) a pair at distance 1 or 2 on both sides.
 An alignment of m equal words and e edits of 0.5 scores m - e / 2; each of its m - 1 steps adds 1 and takes half a point
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import per_batch, staged
 
 PASSAGE_WORDS = 200
-BLOCK_PASSAGES = 5_000  # at most this many, on average, are held by a task: some 40 MB
+BLOCK_PASSAGES, BLOCK_WORDS = 5_000, 1_000_000  # at most so many, on average, are held by a task: some 60 MB
 SHORT_WORDS = 8
 MISMATCH, GAP = 0.5, 0.5  # the count of seeds relies on these
 THRESHOLD = 0.4
@@ -70,15 +74,16 @@ def pair_hashes(words: np.ndarray, distance: int) -> np.ndarray:
 class Passage(NamedTuple):
     item_id: int | None
     words: np.ndarray
+    unit: int  # words of which a perfect copy scores 1: all, or those of one part of a long item
 
     @property
     def least_score(self) -> float:
-        return THRESHOLD if len(self.words) >= SHORT_WORDS else 1.0
+        return THRESHOLD if self.unit >= SHORT_WORDS else 1.0
 
     @property
     def least_points(self) -> float:
         """What an alignment has to score, less what rounding of the score may forgive."""
-        return self.least_score * len(self.words) - 0.001
+        return self.least_score * self.unit - 0.001
 
     @property
     def reach(self) -> int:
@@ -86,20 +91,28 @@ class Passage(NamedTuple):
         return int(3 * len(self.words) - 2 * self.least_points)
 
 
+def cut(words: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """(words, unit) of the passages of an item: the whole, or every two neighbouring parts of a long one."""
+    parts = -(-len(words) // PASSAGE_WORDS)
+    if parts == 1:
+        yield words, len(words)
+    elif parts:
+        pieces = np.array_split(words, parts)
+        for left, right in zip(pieces, pieces[1:]):
+            yield np.concatenate([left, right]), len(words) // parts
+
+
 def passages(benchmark: DataFrame) -> DataFrame:
-    """(item_id, part, words) with the words as hashes; parts of long items are passages of their own."""
-    schema = pa.schema([("item_id", pa.int64()), ("part", pa.int32()), ("words", pa.binary())])
+    """(item_id, part, unit, words) with the words as hashes; long items are several passages."""
+    schema = pa.schema([("item_id", pa.int64()), ("part", pa.int32()), ("unit", pa.int32()), ("words", pa.binary())])
 
     def rows(ids: Iterable, texts: Iterable) -> Iterator[tuple]:
         for item_id, text in zip(ids, texts):
-            words = word_hashes(text)
-            parts = -(-len(words) // PASSAGE_WORDS)
-            for part, piece in enumerate(np.array_split(words, parts) if parts else []):
-                yield item_id, part, piece.tobytes()
+            for part, (words, unit) in enumerate(cut(word_hashes(text))):
+                yield item_id, part, unit, words.tobytes()
 
-    return staged(
-        per_batch(benchmark.select("item_id", "text"), schema, "item_id long, part int, words binary", rows), "passages"
-    )
+    ddl = "item_id long, part int, unit int, words binary"
+    return staged(per_batch(benchmark.select("item_id", "text"), schema, ddl, rows), "passages")
 
 
 class Block:
@@ -163,10 +176,10 @@ class Block:
             for left, right in windows(at[begin:end], points[begin:end], self.needed[number], passage.reach, len(words)):
                 if seeds_held(passage.words, words[left:right]) < self.needed[number]:
                     continue
-                score, first, last = align(passage.words, words[left:right], passage.least_score)
+                score, first, last = align(passage.words, words[left:right], passage.unit, passage.least_score)
                 if score >= passage.least_score and score > found.get(passage.item_id, (0.0,))[0]:
                     found[passage.item_id] = (score, left + first, left + last)
-        return found
+        return {item_id: (min(score, 1.0), first, last) for item_id, (score, first, last) in found.items()}
 
 
 def windows(at: np.ndarray, points: np.ndarray, needed: float, reach: int, total: int) -> list[tuple[int, int]]:
@@ -209,10 +222,10 @@ def best_local(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
     return best, end
 
 
-def align(item: np.ndarray, text: np.ndarray, least: float = 0.0) -> tuple[float, int, int]:
-    """Score over that of a perfect copy, first and last word of the best alignment; (0, 0, 0) below ``least``."""
+def align(item: np.ndarray, text: np.ndarray, unit: int, least: float) -> tuple[float, int, int]:
+    """Score per word of ``unit``, first and last word of the best alignment; (0, 0, 0) below ``least``."""
     best, end = best_local(item, text)
-    score = round(best / len(item), 6)
+    score = round(best / unit, 6)
     if score < least:
         return 0.0, 0, 0
     _, length = best_local(item[::-1], text[:end][::-1])
@@ -221,11 +234,12 @@ def align(item: np.ndarray, text: np.ndarray, least: float = 0.0) -> tuple[float
 
 def blocks(benchmark: DataFrame) -> Iterator[Block]:
     held = passages(benchmark)
-    count = max(1, -(-held.count() // BLOCK_PASSAGES))
+    total, size = held.agg(F.count("*"), F.coalesce(F.sum(F.length("words")), F.lit(0)) / 8).first()
+    count = max(1, -(-total // BLOCK_PASSAGES), -(-int(size) // BLOCK_WORDS))
     for number in range(count):
         rows = held.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(count)) == number).collect()
         mine = sorted(
-            (Passage(row.item_id, np.frombuffer(row.words, np.uint64)) for row in rows),
+            (Passage(row.item_id, np.frombuffer(row.words, np.uint64), row.unit) for row in rows),
             key=lambda p: (p.item_id is not None, p.item_id or 0, p.words.tobytes()),
         )
         yield Block(mine)

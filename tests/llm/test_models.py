@@ -162,3 +162,17 @@ def test_parts_of_an_item_are_found_however_many_documents_hold_them(spark, copi
     assert sorted(found) == list(range(2 * copies))
     assert all(score == (0.6375 if i < copies else 0.5) for i, score in found.items())
     assert decontaminate.drop_leaks(docs, benchmark).count() == 10
+
+
+def test_an_excerpt_of_a_long_item_is_found_wherever_it_begins():
+    """As many words of the excerpt as a part would need, across the borders too; one word less is not enough."""
+    item = decontaminate.word_hashes(" ".join(f"word{i}" for i in range(401)))
+    block = decontaminate.Block([decontaminate.Passage(1, words, unit) for words, unit in decontaminate.cut(item)])
+    noise = decontaminate.word_hashes(" ".join(f"noise{i}" for i in range(60)))
+    for length, found in ((54, True), (100, True), (401, True), (53, False)):
+        for begin in range(0, 402 - length, 7):
+            got = block.matches(np.concatenate([noise, item[begin : begin + length], noise]))
+            assert bool(got) == found, (length, begin)
+            assert not found or (got[1][1] >= 60 and got[1][2] < 60 + length and got[1][0] <= 1)
+    edited = np.where(np.arange(401) % 4 == 3, noise[0], item)
+    assert all(block.matches(edited[begin : begin + 100]) for begin in range(0, 302))
