@@ -176,3 +176,34 @@ def test_an_excerpt_of_a_long_item_is_found_wherever_it_begins():
             assert not found or (got[1][1] >= 60 and got[1][2] < 60 + length and got[1][0] <= 1)
     edited = np.where(np.arange(401) % 4 == 3, noise[0], item)
     assert all(block.matches(edited[begin : begin + 100]) for begin in range(0, 302))
+
+
+def test_regular_edits_leave_seeds(spark):
+    """Every third word replaced, one put in after every word, every third left out."""
+    items = [r.text.lower().split() for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()]
+    for i, item in enumerate(items):
+        words = decontaminate.word_hashes(" ".join(item))
+        block = decontaminate.Block([decontaminate.Passage(i, words, len(words))])
+        other = np.arange(1, len(words) + 1).astype(np.uint64)
+        replaced = np.where(np.arange(len(words)) % 3 == 2, other, words)
+        put_in = np.stack([words, other], axis=1).ravel()
+        left_out = words[np.arange(len(words)) % 3 != 2]
+        assert all(block.matches(text) for text in (replaced, put_in, left_out))
+
+
+def test_no_alignment_of_the_least_score_is_missed():
+    """Few different words, so that scores lie on both sides of the least one; every text is aligned whole."""
+    rng = np.random.default_rng(9)
+    reached = 0
+    for words in (4, 12, 40):
+        held = [rng.integers(1, words, n).astype(np.uint64) for n in (1, 2, 5, 7, 8, 9, 13, 20, 30)]
+        block = decontaminate.Block([decontaminate.Passage(i, item, len(item)) for i, item in enumerate(held)])
+        for _ in range(60):
+            text = rng.integers(1, words, rng.integers(1, 80)).astype(np.uint64)
+            got = block.matches(text)
+            for i, item in enumerate(held):
+                score = round(decontaminate.best_local(item, text)[0] / len(item), 6)
+                reached += score >= block.held[i].least_score
+                assert (i in got) == (score >= block.held[i].least_score)
+                assert i not in got or got[i][0] == score
+    assert 300 < reached < 1500
