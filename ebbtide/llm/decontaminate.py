@@ -233,11 +233,12 @@ def align(item: np.ndarray, text: np.ndarray, unit: int, least: float) -> tuple[
 
 
 def blocks(benchmark: DataFrame) -> Iterator[Block]:
+    """The passages of one item are in one block, so that a document and an item meet once."""
     held = passages(benchmark)
     total, size = held.agg(F.count("*"), F.coalesce(F.sum(F.length("words")), F.lit(0)) / 8).first()
     count = max(1, -(-total // BLOCK_PASSAGES), -(-int(size) // BLOCK_WORDS))
     for number in range(count):
-        rows = held.where(F.pmod(F.xxhash64("item_id", "part"), F.lit(count)) == number).collect()
+        rows = held.where(F.pmod(F.xxhash64("item_id"), F.lit(count)) == number).collect()
         mine = sorted(
             (Passage(row.item_id, np.frombuffer(row.words, np.uint64), row.unit) for row in rows),
             key=lambda p: (p.item_id is not None, p.item_id or 0, p.words.tobytes()),

@@ -207,3 +207,13 @@ def test_no_alignment_of_the_least_score_is_missed():
                 assert (i in got) == (score >= block.held[i].least_score)
                 assert i not in got or got[i][0] == score
     assert 300 < reached < 1500
+
+
+def test_an_item_is_reported_once_however_many_blocks_there_are(spark, monkeypatch):
+    items = {i: " ".join(f"w{i}x{j}" for j in range(900)) for i in range(4)}
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    docs = spark.createDataFrame([(10 + i, f"a {text} b") for i, text in items.items()], "doc_id long, text string")
+    at_once = sorted(decontaminate.find_leaks(docs, benchmark).collect())
+    assert [(r.doc_id, r.item_id) for r in at_once] == [(10 + i, i) for i in range(4)]
+    monkeypatch.setattr(decontaminate, "BLOCK_PASSAGES", 3)
+    assert sorted(decontaminate.find_leaks(docs, benchmark).collect()) == at_once
