@@ -12,6 +12,7 @@ hash of the text, rows with a null doc_id first.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -86,16 +87,23 @@ def unpack(body: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
 
 
 class WordEncoder:
-    """Encodes texts with the tokenizers library, each distinct word once while it is remembered."""
+    """Encodes texts with the tokenizers library, each distinct word once while it is remembered.
+
+    A text that holds the string of an added token, such as <|endoftext|>, goes to the library whole: it gives that
+    string its own id.
+    """
 
     def __init__(self, tokenizer_json: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None
         self.known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
+        if self.added and self.added.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = split_words(text, WORD_PATTERN)
         missing = list(set(words).difference(self.known))
         if missing:

@@ -87,6 +87,16 @@ def test_token_files(request, frame, monkeypatch):
     assert all(sizes[r[0]] == r[2:] for r in got)
 
 
+def test_strings_of_added_tokens_are_encoded_as_the_library_does_by_default(spark):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "it's  <|endoftext|><|endoftext|> x\n", "<|endoftext|", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in token_files.token_files_round_trip(docs, JSON).collect())
+    tokenizer = Tokenizer.from_file(JSON)
+    want = [np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 2], "<u4") for text in texts]
+    assert [r[2:] for r in got] == [(len(ids), zlib.crc32(ids.tobytes())) for ids in want]
+    assert want[0].tolist() == [64, 50256, 65, 2]
+
+
 def plain_archive(pages):
     largest = {}
     for row in pages:
