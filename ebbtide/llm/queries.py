@@ -7,7 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, decontaminate, fingerprints, licenses, minhash, pii, quality, secrets, sql, token_files, warc
+from ebbtide.llm import (
+    bpe,
+    decontaminate,
+    filter_audit,
+    fingerprints,
+    licenses,
+    minhash,
+    pii,
+    quality,
+    secrets,
+    sql,
+    token_files,
+    warc,
+)
 from ebbtide.llm.common import table
 
 
@@ -55,6 +68,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
@@ -67,8 +84,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_decontaminate": op9_decontaminate,
         "op10_fingerprints": op10_fingerprints,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": sql.ARCHIVES, "op8_near_duplicates": sql.NEAR_DUPLICATES}
+    return {
+        "op5_warc": sql.ARCHIVES,
+        "op8_near_duplicates": sql.NEAR_DUPLICATES,
+        "op11_filter_audit": sql.FILTER_AUDIT,
+    }
