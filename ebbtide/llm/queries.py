@@ -20,6 +20,7 @@ from ebbtide.llm import (
     sql,
     token_files,
     warc,
+    word_runs,
 )
 from ebbtide.llm.common import table
 
@@ -72,6 +73,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = word_runs.with_planted_repeats(table(spark, sf_dir, "documents"))
+    return word_runs.run_digests(word_runs.collapse_runs(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licenses": op1_licenses,
@@ -85,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_decontaminate": op9_decontaminate,
         "op10_fingerprints": op10_fingerprints,
         "op11_filter_audit": op11_filter_audit,
+        "op13_word_runs": op13_word_runs,
     }
 
 
