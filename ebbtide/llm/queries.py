@@ -14,6 +14,7 @@ from ebbtide.llm import (
     fingerprints,
     licenses,
     minhash,
+    neighbours,
     pii,
     quality,
     secrets,
@@ -73,6 +74,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors.where("vec_id % 20 = 0"), vectors, k=20)
+
+
 def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = word_runs.with_planted_repeats(table(spark, sf_dir, "documents"))
     return word_runs.run_digests(word_runs.collapse_runs(docs))
@@ -91,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_decontaminate": op9_decontaminate,
         "op10_fingerprints": op10_fingerprints,
         "op11_filter_audit": op11_filter_audit,
+        "op12_neighbours": op12_neighbours,
         "op13_word_runs": op13_word_runs,
     }
 
