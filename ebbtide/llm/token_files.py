@@ -16,6 +16,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -115,6 +116,12 @@ class WordEncoder:
         return b"".join(map(self.known.__getitem__, words))
 
 
+@lru_cache(maxsize=1)
+def word_encoder(tokenizer_json: str) -> WordEncoder:
+    """One encoder for all tasks that a Python worker process runs: words stay known from task to task."""
+    return WordEncoder(tokenizer_json)
+
+
 def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, bits: bool = False, end_id: int = END_ID) -> None:
     """Encode every document, append ``end_id``, and write the chunks below ``path`` in ascending order of doc_id."""
     with open(tokenizer_path, encoding="utf-8") as file:
@@ -122,7 +129,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, bits: boo
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(shared.value)
+        encoder = word_encoder(shared.value)
         shard = TaskContext.get().partitionId()
         seq, start = 0, 0
         doc_ids: list = []
