@@ -153,3 +153,37 @@ def test_ledger_scans_only_what_it_lacks(spark, tmp_path):
     assert [r.text for r in secrets.unseen_blobs(new, ledger).collect()] == ["other text"]
     assert secrets.scan_secrets(new, path).count() == 5
     assert secrets.read_ledger(spark, path).count() == 3
+
+
+def test_two_writers_that_do_not_see_each_other_leave_one_result(spark, tmp_path):
+    path, other = str(tmp_path / "ledger"), str(tmp_path / "other")
+    docs = spark.createDataFrame([(1, "token=abcdefgh"), (2, "nothing")], "doc_id long, text string")
+    once = secrets.scan_secrets(docs, path).collect()
+    secrets.update_ledger(docs, other)
+    spark.read.parquet(other).write.mode("append").parquet(path)  # what a second run wrote at the same time
+    assert spark.read.parquet(path).count() == 4
+    assert sorted(secrets.scan_secrets(docs, path).collect()) == sorted(once) and len(once) == 2
+
+
+def test_only_a_changed_rule_is_run_again(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    docs = spark.createDataFrame([(1, "token=abcdefgh xoxb-12345"), (2, "AKIA" * 6)], "doc_id long, text string")
+    before = secrets.scan_secrets(docs, path).collect()
+    assert {r.spans for r in before} == {"assign:0:14", "access:0:24"}
+    rules = [r._replace(pattern=r"xox[abprs]-[0-9]{5,}+") if r.kind == "slack" else r for r in secrets.RULES]
+    lacking = secrets.unseen_blobs(docs, secrets.read_ledger(spark, path), rules).collect()
+    assert [r.missing for r in lacking] == [[rule.name for rule in rules if rule.kind == "slack"]] * 2
+    after = secrets.scan_secrets(docs, path, rules).collect()
+    assert {r.spans for r in after} == {"assign:0:14,slack:15:25", "access:0:24"}
+    assert sorted(secrets.scan_secrets(docs, path).collect()) == sorted(before)  # the old rules' findings are still there
+    assert secrets.unseen_blobs(docs, secrets.read_ledger(spark, path), rules).count() == 0
+
+
+@pytest.mark.parametrize("piece", ["eyJ", "eyJabcdefgh.", "AKIA", "token = ", "0123456789abcdef ", "-----BEGIN A ", "gh", "xoxb-"])
+def test_rules_are_linear_in_ten_megabytes(piece):
+    import time
+
+    text = piece * (10_000_000 // len(piece))
+    start = time.perf_counter()
+    secrets.find_spans(text)
+    assert time.perf_counter() - start < 20
