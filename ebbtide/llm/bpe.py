@@ -1,12 +1,13 @@
 """Operator 4: byte-level BPE. Higher-order functions fold the ranked merges over the byte arrays of distinct words.
 
-Python tasks split texts into words and hand Spark, for each block of documents, the distinct words that are not known
-yet; a native expression merges them with a literal map from pairs of ids to ranks; a second Python step puts the ids in
-the places of the words and, to decode, the tokens' bytes in the places of the ids. A word is merged once per block
-however often it occurs, no text is shuffled, and a block holds whole documents of about ``BLOCK_CHARS`` characters.
+Python tasks split texts into words and hand Spark the distinct words that are not known yet; a native expression merges
+them with a literal map from pairs of ids to ranks; a second Python step of the same task puts the ids in the places of
+the words and, to decode, joins the binary pieces of the ids. A word is merged once per task however often it occurs, no
+text is shuffled, and rows between the steps are blocks of whole documents of about ``BLOCK_CHARS`` characters.
 
-Known are the tokens and the words of a sample of about ``SAMPLE_BYTES`` of text, at most ``KNOWN_WORDS``, which the
-same expression has merged before. They only save work: what they lack is merged where it occurs, with equal results.
+Known are the tokens, the words of a sample of about ``SAMPLE_BYTES`` of text, at most ``KNOWN_WORDS``, which the same
+expression has merged before, and the words that the task has met. They only save work: what they lack is merged where
+it occurs, with equal results. A task forgets what it has met beyond ``TASK_WORDS`` words.
 
 Words of more than ``LONG_WORD`` bytes, on which a fold of array copies takes quadratic time, are merged with a heap
 instead; the result is the same. Null and empty texts have no ids. Repeated rows are encoded each time.
@@ -18,7 +19,7 @@ import base64
 import heapq
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 from typing import NamedTuple
 
@@ -29,12 +30,14 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.llm.common import staged
 
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 2_000_000
 SAMPLE_BYTES = 64_000_000
 KNOWN_WORDS = 400_000  # 40 bytes each in a task
+TASK_WORDS = 500_000  # some 150 bytes each in a task
 LONG_WORD = 256
 #: A piece of a word in one long: rank of the pair that it begins, its first byte, its id.
 _ID_BITS, _RANK_SHIFT = 20, 40
@@ -240,12 +243,12 @@ class Ragged(NamedTuple):
 
 
 BLOCKS = pa.schema(
-    [("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("codes", pa.binary()),
+    [("rest", pa.binary()), ("sizes", pa.list_(pa.int64())), ("codes", pa.binary()), ("restart", pa.bool_()),
      ("words", pa.list_(pa.list_(pa.int32()))), ("long_words", pa.list_(pa.list_(pa.int32())))]
 )
-BLOCKS_DDL = "doc_ids array<long>, sizes array<long>, codes binary, words array<array<int>>, long_words array<array<int>>"
-IDS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
-IDS_DDL = "doc_id long, n_tokens long, ids binary"
+BLOCKS_DDL = (
+    "rest binary, sizes array<long>, codes binary, restart boolean, words array<array<int>>, long_words array<array<int>>"
+)
 
 
 class _Codes(dict):
@@ -253,12 +256,13 @@ class _Codes(dict):
 
     def __init__(self, tokens: dict[str, int], first: int) -> None:
         super().__init__(tokens)
-        self.first = first
-        self.words: list[str] = []
+        self.next = first
+        self.new: list[str] = []
 
     def __missing__(self, word: str) -> int:
-        code = self[word] = self.first + len(self.words)
-        self.words.append(word)
+        code = self[word] = self.next
+        self.next += 1
+        self.new.append(word)
         return code
 
 
@@ -328,89 +332,121 @@ def known_words(docs: DataFrame, shared: Broadcast, byte_ids: Column, ranks: Ran
     counts = staged(counts, "word-counts")
     few = counts.count() <= KNOWN_WORDS
     words = counts if few else counts.orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
-    merged = words.select("word").mapInArrow(as_bytes, "word binary, bytes array<int>").select(
+    words = words.select("word").repartition(2 * docs.sparkSession.sparkContext.defaultParallelism)
+    merged = words.mapInArrow(as_bytes, "word binary, bytes array<int>").select(
         "word", _let(ranks.literal, lambda maps: merge_expression(F.col("bytes"), byte_ids, maps)).alias("ids")
     )
     return KnownWords.of(merged.toArrow())  # at most KNOWN_WORDS words
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, with_decoded: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids) with the ids as little-endian unsigned 32-bit integers; on demand also ``decoded``."""
+class _Splitter:
+    """Words of a task's documents as numbers: tokens, known words, then the others in the order in which they come."""
+
+    def __init__(self, vocabulary: Vocabulary, known: KnownWords) -> None:
+        self.vocabulary, self.known = vocabulary, known
+        self.whole = whole_tokens(vocabulary)
+        self.rank: dict[bytes, int] = {}
+        self.codes: _Codes | None = None
+
+    def block(self, rest: pa.Table, texts: list[str]) -> pa.RecordBatch:
+        n_tokens = len(self.vocabulary.tokens)
+        restart = self.codes is None or self.codes.next > n_tokens + TASK_WORDS
+        if restart:
+            self.codes = _Codes(self.whole, n_tokens)
+            self.final = np.arange(n_tokens, dtype=np.int32)  # number of each code
+            self.fresh = 0
+        coded = [
+            np.fromiter(map(self.codes.__getitem__, words), np.int32, len(words))
+            for words in (split_words(text, self.vocabulary.pattern) for text in texts)
+        ]
+        found = [word.encode() for word in self.codes.new]
+        self.codes.new.clear()
+        places = self.known.find(found)
+        fresh = np.flatnonzero(places < 0)
+        places[fresh] = len(self.known.high) + self.fresh + np.arange(len(fresh))
+        self.fresh += len(fresh)
+        self.final = np.concatenate([self.final, (n_tokens + places).astype(np.int32)])
+        found = [found[i] for i in fresh.tolist()]
+        if not self.rank and any(len(word) > LONG_WORD for word in found):
+            self.rank.update((token, i) for i, token in enumerate(self.vocabulary.tokens) if token)
+        words = [list(word) if len(word) <= LONG_WORD else [] for word in found]
+        long_words = [[] if len(word) <= LONG_WORD else heap_merge(word, self.rank) for word in found]
+        numbers = self.final[np.concatenate(coded)].tobytes()
+        row = [_as_bytes(rest), [len(one) for one in coded], numbers, restart, words, long_words]
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCKS)], schema=BLOCKS)
+
+
+class _Places:
+    """Ids of all words of a task, by their numbers."""
+
+    def __init__(self, vocabulary: Vocabulary, known: KnownWords) -> None:
+        n_tokens = len(vocabulary.tokens)
+        self.values = np.concatenate([np.arange(n_tokens, dtype=np.uint32), known.ids.values])
+        self.offsets = np.concatenate([np.arange(n_tokens), n_tokens + known.ids.offsets])
+        self.words = Ragged(self.values, self.offsets)
+
+    def add(self, fresh: Ragged, restart: bool) -> Ragged:
+        before = Ragged(self.values, self.offsets) if restart else self.words
+        self.words = Ragged(
+            np.concatenate([before.values, fresh.values]),
+            np.concatenate([before.offsets, before.offsets[-1] + fresh.offsets[1:]]),
+        )
+        return self.words
+
+
+def _as_bytes(rest: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rest.schema) as writer:
+        writer.write_table(rest)
+    return sink.getvalue().to_pybytes()
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, with_decoded: bool = False, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` of every row, n_tokens, and ids as little-endian unsigned 32-bit integers in a binary.
+
+    On demand also ``decoded``, the bytes that the ids stand for.
+    """
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(vocabulary)
-    n_tokens = len(vocabulary.tokens)
     byte_ids = _literal([vocabulary.tokens.index(bytes([b])) for b in range(256)], "int")
     ranks = RankMap(vocabulary.pairs())
     known = context.broadcast(known_words(docs, shared, byte_ids, ranks))
+    names = [f"k{i}" for i in range(len(keep))]  # kept columns may have any names
+    source = docs.select(F.col("text").alias("text"), *[F.col(f"`{c}`").alias(name) for c, name in zip(keep, names)])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = whole_tokens(shared.value)
-        rank: dict[bytes, int] = {}
-
-        def block(ids: list, texts: list) -> pa.RecordBatch:
-            codes = _Codes(whole, n_tokens)
-            coded = [
-                np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
-                for words in (split_words(text, shared.value.pattern) for text in texts)
-            ]
-            found = [word.encode() for word in codes.words]
-            places = known.value.find(found)
-            fresh = np.flatnonzero(places < 0)
-            places[fresh] = len(known.value.high) + np.arange(len(fresh))
-            final = np.concatenate([np.arange(n_tokens), n_tokens + places]).astype(np.int32)
-            found = [found[i] for i in fresh.tolist()]
-            if not rank and any(len(word) > LONG_WORD for word in found):
-                rank.update((token, i) for i, token in enumerate(shared.value.tokens) if token)
-            words = [list(word) if len(word) <= LONG_WORD else [] for word in found]
-            long_words = [[] if len(word) <= LONG_WORD else heap_merge(word, rank) for word in found]
-            row = [ids, [len(one) for one in coded], final[np.concatenate(coded)].tobytes(), words, long_words]
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCKS)], schema=BLOCKS)
-
-        ids, texts, chars = [], [], 0
+        splitter = _Splitter(shared.value, known.value)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids.append(doc_id)
+            first, chars, texts = 0, 0, []
+            for row, text in enumerate(batch.column(0), 1):
                 texts.append(text.as_py() or "")
                 chars += len(texts[-1])
-                if chars >= BLOCK_CHARS:
-                    yield block(ids, texts)
-                    ids, texts, chars = [], [], 0
-        if ids:
-            yield block(ids, texts)
+                if chars >= BLOCK_CHARS or row == batch.num_rows:
+                    rest = batch.slice(first, row - first).select(names)
+                    yield splitter.block(pa.Table.from_batches([rest]), texts)
+                    first, chars, texts = row, 0, []
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = known.value.ids
-        tokens = Ragged.of_bytes(shared.value.tokens)
+        places = _Places(shared.value, known.value)
+        pieces = shared.value.tokens
         for batch in batches:
             for row in range(batch.num_rows):
-                doc_ids, sizes = (batch.column(i)[row].as_py() for i in (0, 1))
+                rest = pa.ipc.open_stream(batch.column(0)[row].as_buffer()).read_all().combine_chunks()
                 codes = np.frombuffer(batch.column(2)[row].as_py(), np.int32).astype(np.int64)
-                fresh = Ragged.of_lists(batch.column(3)[row].values)
-                words = Ragged(
-                    np.concatenate([np.arange(n_tokens, dtype=np.uint32), before.values, fresh.values]),
-                    np.concatenate(
-                        [
-                            np.arange(n_tokens),
-                            n_tokens + before.offsets[:-1],
-                            n_tokens + before.offsets[-1] + fresh.offsets,
-                        ]
-                    ),
-                )
-                bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-                for first in range(0, len(doc_ids), 256):  # some documents at a time keep the arrays small
+                words = places.add(Ragged.of_lists(batch.column(4)[row].values), batch.column(3)[row].as_py())
+                bounds = np.concatenate([[0], np.cumsum(batch.column(1)[row].as_py())]).astype(np.int64)
+                for first in range(0, rest.num_rows, 256):  # some documents at a time keep the arrays small
                     part = bounds[first : first + 257]
                     placed = words.take(codes[part[0] : part[-1]])
                     ends = placed.offsets[part - part[0]]
-                    ids = [placed.values[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-                    columns = [doc_ids[first : first + 256], np.diff(ends), ids]
-                    columns = [pa.array(c, f.type) for c, f in zip(columns, IDS)]
+                    ids = [placed.values[a:b] for a, b in zip(ends, ends[1:])]
+                    columns = [*rest.slice(first, 256).columns, pa.array(np.diff(ends), pa.int64())]
+                    columns.append(pa.array([one.tobytes() for one in ids], pa.binary()))
                     if with_decoded:
-                        decoded = tokens.take(placed.values.astype(np.int64))
-                        cuts = decoded.offsets[ends]
-                        columns.append(
-                            pa.array([decoded.values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
-                        )
-                    yield pa.RecordBatch.from_arrays(columns, [*IDS.names, "decoded"][: len(columns)])
+                        decoded = [b"".join(map(pieces.__getitem__, one.tolist())) for one in ids]
+                        columns.append(pa.array(decoded, pa.binary()))
+                    columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+                    yield pa.RecordBatch.from_arrays(columns, [*names, "n_tokens", "ids", "decoded"][: len(columns)])
 
     merged = _let(
         ranks.literal,
@@ -421,9 +457,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, with_decoded: bool = False)
             ),
         ),
     )
-    blocks = docs.select("doc_id", "text").mapInArrow(split, BLOCKS_DDL)
-    blocks = blocks.select("doc_ids", "sizes", "codes", merged.alias("merged"))
-    return blocks.mapInArrow(place, IDS_DDL + ", decoded binary" * with_decoded)
+    blocks = source.mapInArrow(split, BLOCKS_DDL)
+    blocks = blocks.select("rest", "sizes", "codes", "restart", merged.alias("merged"))
+    kept = T.StructType([T.StructField(name, source.schema[name].dataType) for name in names])
+    kept = kept.add("n_tokens", T.LongType()).add("ids", T.BinaryType())
+    encoded = blocks.mapInArrow(place, kept.add("decoded", T.BinaryType()) if with_decoded else kept)
+    return encoded.toDF(*keep, *encoded.columns[len(names) :])
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -431,20 +470,25 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Ragged.of_bytes(shared.value.tokens)
+        pieces = shared.value.tokens
         for batch in batches:
             decoded = [
-                pieces.take(np.frombuffer(ids, np.uint32).astype(np.int64)).values.tobytes()
+                b"".join(map(pieces.__getitem__, np.frombuffer(ids, np.uint32).tolist()))
                 for ids in batch.column(2).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"])
 
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, f"{IDS_DDL}, decoded binary")
+    schema = "doc_id long, n_tokens long, ids binary, decoded binary"
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, schema)
 
 
 def round_trip_digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
-    decoded = encode(docs, vocabulary, with_decoded=True)
-    return decoded.select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    encoded = with_digests(encode(docs, vocabulary, with_decoded=True))
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def with_digests(encoded: DataFrame) -> DataFrame:
+    """``ids`` and ``decoded`` joined by their SHA-256; ``decoded`` itself is dropped."""
+    digests = {f"{name}_sha256": F.sha2(name, 256) for name in ("ids", "decoded")}
+    return encoded.withColumns(digests).drop("decoded")
