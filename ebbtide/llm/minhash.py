@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import per_batch, staged
@@ -136,21 +136,28 @@ def reach(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 SKETCH = pa.schema(
-    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("buckets", pa.list_(pa.int64()))]
-)
+    [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()),
+     ("buckets", pa.list_(pa.int64()))]
+)
+
+
+def text_hash() -> Column:
+    """With the doc_id, what tells rows apart: rows equal in both are one document."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def sketch(docs: DataFrame, shingling: Shingling) -> DataFrame:
-    def rows(ids: Iterable, texts: Iterable) -> Iterator[tuple]:
-        for doc_id, text in zip(ids, texts):
+    def rows(ids: Iterable, texts: Iterable, hashes: Iterable) -> Iterator[tuple]:
+        for doc_id, text, hashed in zip(ids, texts, hashes):
             shingles = shingle_set(text, shingling.words)
             if len(shingles):
-                yield doc_id, len(shingles), node_of(shingles), bucket_keys(signature(shingles))
+                yield doc_id, hashed, len(shingles), node_of(shingles), bucket_keys(signature(shingles))
             else:
-                yield doc_id, 0, None, None
+                yield doc_id, hashed, 0, None, None
 
-    ddl = "doc_id long, n_shingles long, node long, buckets array<long>"
-    return staged(per_batch(docs.select("doc_id", "text"), SKETCH, ddl, rows), "sketch")
+    ddl = "doc_id long, text_hash long, n_shingles long, node long, buckets array<long>"
+    source = docs.select(F.col("doc_id").cast("long"), "text", text_hash().alias("text_hash"))
+    return staged(per_batch(source, SKETCH, ddl, rows), "sketch")
 
 
 SETS = pa.schema([("node", pa.int64()), ("least", pa.binary()), ("shingles", pa.binary())])
@@ -257,9 +264,8 @@ def cross_component_links(members: DataFrame, sets: DataFrame, shingling: Shingl
     return staged(links.distinct(), "cross-links")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document."""
-    shingling = Shingling(words, percent)
+def components_of(docs: DataFrame, shingling: Shingling) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, root, component_id) of every row; root is null for a text without words."""
     sketches = sketch(docs, shingling)
     held = sketches.where(F.col("node").isNotNull())
     first_ids = staged(held.groupBy("node").agg(F.min("doc_id").alias("first_id")), "first-ids")
@@ -294,23 +300,44 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rooted_ids = rooted_ids.select("node", "first_id", F.coalesce("root", "node").alias("root"))
     ids = rooted_ids.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_node = rooted_ids.join(ids.withColumnRenamed("root", "id_root"), F.col("root") == F.col("id_root"))
-    by_node = staged(by_node.select(F.col("node").alias("of_node"), "component_id"), "by-node")
+    by_node = staged(by_node.select(F.col("node").alias("of_node"), "root", "component_id"), "by-node")
+
+    columns = ("doc_id", "text_hash", "n_shingles", "root", "component_id")
+    full = held.join(by_node, F.col("node") == F.col("of_node")).select(*columns)
+    empty = sketches.where(F.col("node").isNull())
+    return full.union(empty.withColumns({"root": F.col("node"), "component_id": F.col("doc_id")}).select(*columns))
 
-    full = held.join(by_node, F.col("node") == F.col("of_node")).select("doc_id", "n_shingles", "component_id")
-    empty = sketches.where(F.col("node").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.union(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document."""
+    found = components_of(docs, Shingling(words, percent)).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all their columns, of which one document per group of near duplicates stays.
 
-    A document that is in the table several times stays once; rows with a null doc_id, which cannot be told apart, stay.
+    Rows equal in doc_id and text are one document and stay once, the one whose columns have the least hash. Rows of one
+    doc_id with different texts are documents of their own. Of a group the document with the smallest doc_id stays, of
+    several with that id the one whose text has the least hash; a group without any doc_id keeps one document, too.
+    Documents without words are alike to nothing and stay. A table without rows stays empty.
     """
-    judged = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    judged = staged(judged, "kept")
-    clear = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns)])
+    judged = components_of(docs, Shingling(words, percent))
+    judged = staged(judged.groupBy("doc_id", "text_hash", "root", "component_id").agg(F.count("*").alias("copies")), "judged")
+    first = judged.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    of_groups = first.where(F.col("root").isNotNull()).groupBy("root").agg(
+        F.min(F.struct("text_hash", "doc_id", "copies")).alias("one")
+    )
+    winners = of_groups.select("one.doc_id", "one.text_hash", "one.copies").union(
+        first.where(F.col("root").isNull()).select("doc_id", "text_hash", "copies")
+    )
+    winners = staged(winners.toDF("kept_id", "kept_hash", "copies"), "kept")
+    clear = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns)], text_hash().alias("hashed"))
     doc_id = f"in_{docs.columns.index('doc_id')}"
-    kept = clear.join(judged, F.col(doc_id) == F.col("kept_id"), "left_semi")
-    kept = kept.dropDuplicates([doc_id])
-    without_id = clear.where(F.col(doc_id).isNull())
-    return kept.union(without_id).toDF(*docs.columns)
+    same = F.col(doc_id).eqNullSafe(F.col("kept_id")) & (F.col("hashed") == F.col("kept_hash"))
+    kept = clear.join(winners, same).drop("kept_id", "kept_hash")
+    columns = [c for c in clear.columns if c != "hashed"]
+    once = kept.where("copies = 1").select(*columns)
+    order = Window.partitionBy(doc_id, "hashed").orderBy(F.xxhash64(*columns))
+    repeated = kept.where("copies > 1").withColumn("place", F.row_number().over(order))
+    return once.union(repeated.where("place = 1").select(*columns)).toDF(*docs.columns)

@@ -5,7 +5,8 @@ bins and adds it to the feature's lookup table. Then the pairs whose joint bins
 tables of their own in the same way. A score is a sum of looked-up values: bins are found and added for a whole batch
 at once.
 
-The model is fitted on about ``TRAIN_ROWS`` labelled rows, chosen by a hash of doc_id; all other steps see every row.
+The model is fitted on at most ``TRAIN_ROWS`` labelled documents, chosen by a hash of doc_id; all other steps see every
+row.
 Held-out rows (crc32 of doc_id as text, mod 5 = 0) are never learned from, and only the text is an input of a score.
 
 Null text counts as empty; empty texts have a score. A null doc_id counts as held out. Several labels of a document
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The bound of the training sample, in labelled rows (the expected number; the hash decides row by row).
+#: The bound of the training sample, in labelled documents; a hash of the doc_id decides which.
 TRAIN_ROWS = 40_000
 THRESHOLD = 0.3
 BINS, PAIR_BINS, PAIRS = 32, 8, 8
@@ -89,8 +90,9 @@ class QualityModel(NamedTuple):
         total = np.full(len(rows), self.base)
         for feature, values in enumerate(self.tables):
             total += values[bins[:, feature]]
+        wide = coarse(bins, self.edges)
         for (a, b), values in zip(self.pairs, self.pair_tables):
-            total += values[coarse(bins[:, a]), coarse(bins[:, b])]
+            total += values[wide[:, a], wide[:, b]]
         return 1 / (1 + np.exp(-total))
 
 
@@ -99,8 +101,9 @@ def to_bins(rows: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return np.stack(columns, axis=1) if columns else np.zeros((len(rows), 0), int)
 
 
-def coarse(bins: np.ndarray) -> np.ndarray:
-    return bins * PAIR_BINS // BINS
+def coarse(bins: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """The bins of pair tables: neighbouring bins as one, by how many a feature has; few bins stay as they are."""
+    return bins * PAIR_BINS // np.array([max(len(edge) + 1, PAIR_BINS) for edge in edges], int)
 
 
 def shallow_tree(gradient: np.ndarray, curvature: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -168,7 +171,7 @@ def fit(rows: np.ndarray, target: np.ndarray) -> QualityModel:
             )
             values += step
             total += step[bins[:, i]]
-    wide = coarse(bins)
+    wide = coarse(bins, edges)
 
     def grids(a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-total))
@@ -191,13 +194,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> QualityModel:
-    """Fit on about ``rows`` labelled documents that are not held out."""
+    """Fit on at most ``rows`` labelled documents that are not held out; rows with one doc_id are averaged."""
+    labels = labels.select(F.col("doc_id").cast("long"), "quality")
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    share = min(1.0, rows / max(usable.count(), 1))
-    picked = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
-    picked = picked.groupBy("doc_id").agg(F.avg("quality").alias("target"))
-    # about ``rows`` rows of two numbers by the line above, whatever the size of the tables
-    chosen = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "target")
+    share = min(1.0, 1.2 * rows / max(usable.count(), 1))
+    place = F.xxhash64("doc_id")
+    picked = usable.where(F.pmod(place, F.lit(1_000_000)) < share * 1_000_000)
+    picked = picked.groupBy("doc_id").agg(F.avg("quality").alias("target")).orderBy(place, "doc_id").limit(rows)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # at most ``rows`` rows of two numbers, whatever the size of the tables
+    chosen = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "target")
     width = len(FEATURES)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +213,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Quality
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "target", *FEATURES])
 
     ddl = "doc_id long, target double, " + ", ".join(f"{name} double" for name in FEATURES)
-    data = np.array(chosen.mapInArrow(extract, ddl).collect(), np.float64).reshape(-1, width + 2)
+    found = chosen.mapInArrow(extract, ddl).groupBy("doc_id").agg(*[F.avg(c).alias(c) for c in ("target", *FEATURES)])
+    data = np.array(found.collect(), np.float64).reshape(-1, width + 2)
     data = data[np.lexsort(data.T[::-1])]  # the same order, so the same sums, whatever the partitions
     return fit(data[:, 2:], data[:, 1])
 
@@ -224,7 +231,7 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
             predicted = pa.array((score >= THRESHOLD).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), predicted], schema=SCHEMA)
 
-    scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int")
+    scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 

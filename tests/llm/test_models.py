@@ -217,3 +217,32 @@ def test_an_item_is_reported_once_however_many_blocks_there_are(spark, monkeypat
     assert [(r.doc_id, r.item_id) for r in at_once] == [(10 + i, i) for i in range(4)]
     monkeypatch.setattr(decontaminate, "BLOCK_PASSAGES", 3)
     assert sorted(decontaminate.find_leaks(docs, benchmark).collect()) == at_once
+
+
+def test_scores_equal_sums_made_row_by_row(spark, documents):
+    """Bins and pair bins looked up one value at a time; features with few values have several pair bins."""
+    model = quality.train(documents, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    texts = [r.text for r in documents.select("text").limit(60).collect()]
+    rows = quality.feature_rows(texts)
+    used = set()
+    for row, score in zip(rows, model.score(rows)):
+        bins = [sum(value >= edge for edge in edges) for value, edges in zip(row, model.edges)]
+        total = model.base + sum(table[b] for table, b in zip(model.tables, bins))
+        few = [b if len(edges) < 8 else b * 8 // (len(edges) + 1) for b, edges in zip(bins, model.edges)]
+        total += sum(table[few[a], few[b]] for (a, b), table in zip(model.pairs, model.pair_tables))
+        used |= {(i, b) for i, b in enumerate(few)}
+        assert score == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-12)
+    for i, edges in enumerate(model.edges):
+        if len(edges) > 1 and len({row[i] for row in rows}) > 3:
+            assert len({b for j, b in used if j == i}) > 1
+
+
+def test_training_rows_are_bounded_and_any_integer_names_a_document(spark, monkeypatch):
+    docs = spark.range(3).selectExpr("CAST(id % 2 + 1 AS INT) AS doc_id", "'some words here' AS text")
+    docs = docs.union(spark.range(500).selectExpr("CAST(7 AS INT) AS doc_id", "concat('text ', id) AS text"))
+    labels = spark.range(40).selectExpr("CAST(id AS INT) AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, target: seen.append(len(rows)) or quality.QualityModel(0.0, [np.array([])] * len(quality.FEATURES), [np.zeros(quality.BINS)] * len(quality.FEATURES), [], []))
+    model = quality.train(docs, labels, rows=20)
+    assert seen[0] <= 3  # one row per document, however often it is in the table
+    assert quality.score_quality(docs, model).count() == 503
