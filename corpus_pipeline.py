@@ -10,29 +10,48 @@ from ebbtide.llm.common import staged, table
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: documents that the classifier rejects go."""
+    """Operator 2: documents that the classifier rejects go, all others stay with all their columns.
+
+    Null and empty texts are scored like others, repeated rows alike. Without labels of both classes, or without rows,
+    there is nothing to learn from: the classifier's prior decides for all rows the same.
+    """
     return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: one document of each group of near duplicates stays (five-word shingles, similarity 0.8)."""
+    """Operator 8: one document of each group of near duplicates stays (five-word shingles, similarity 0.8).
+
+    The smallest doc_id of a group stays; rows equal in doc_id and text stay once, rows of one doc_id with unlike texts
+    all stay, and so do texts without words. A group of rows without a doc_id keeps one row.
+    """
     return minhash.keep_one(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: documents that hold a copy of a test item go."""
+    """Operator 9: documents that hold a copy of a test item go.
+
+    Decided row by row, by the text alone: null and empty texts stay, repeated rows and rows without a doc_id are judged
+    alike. An empty benchmark drops nothing.
+    """
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: personal data is replaced; the classifier is trained on the stage's own input."""
+    """Operator 3: personal data is replaced; the classifier is trained on the stage's own input.
+
+    No row is dropped. Null texts stay null, n_chars is counted anew. Without rows nothing is trained or replaced.
+    """
     return pii.redact(docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: token ids of each text, and digests of the ids and of what they decode to."""
+    """Operator 4: the columns of the documents, token ids of each text, and digests of the ids and of what they decode to.
+
+    ``ids`` holds little-endian unsigned 32-bit integers. Null and empty texts have no ids; every row gives a row.
+    """
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.round_trip_digests(docs, bpe.Vocabulary.load(path, public_tokenizers.PATTERN))
+    vocabulary = bpe.Vocabulary.load(path, public_tokenizers.PATTERN)
+    return bpe.with_digests(bpe.encode(docs, vocabulary, with_decoded=True, keep=docs.columns))
 
 
 STAGES = [
