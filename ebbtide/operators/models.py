@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ebbtide.functions import binary_value, positive_probability
 from ebbtide.operators.clean import existing_columns
 from ebbtide.operators.features import FEATURES
+from ebbtide.operators.forests import model_nodes, node_importances
+from ebbtide.sources import staged
 
 OUTPUT_PARAMS = ("predictionCol", "probabilityCol", "rawPredictionCol")
 
@@ -81,10 +83,9 @@ def prediction_preview(
 def feature_importance(model: Model, names: DataFrame) -> DataFrame:
     """Rows (idx, feature, importance) of a tree model, most important first; ``names`` has (idx, feature).
 
-    Fails if there are not as many names as vector slots.
+    Taken from the model's node table, so no list of slots passes through the driver. Fails if there are not as many
+    names as vector slots.
     """
-    values = model.featureImportances.toArray().tolist()
-    if (named := names.count()) != len(values):
-        raise ValueError(f"{named} feature names for {len(values)} vector slots")
-    found = names.sparkSession.createDataFrame(list(enumerate(values)), "idx int, importance double")
-    return names.join(found, "idx").select("idx", "feature", "importance").orderBy(F.desc("importance"), "idx")
+    if (named := names.count()) != model.numFeatures:
+        raise ValueError(f"{named} feature names for {model.numFeatures} vector slots")
+    return node_importances(staged(model_nodes(names.sparkSession, model)), names)

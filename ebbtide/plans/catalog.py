@@ -26,6 +26,7 @@ from ebbtide.operators.features import (
     index_labels,
     one_hot_encoder,
 )
+from ebbtide.operators.forests import Growth, grow_forest, node_importances, root_subset, score_nodes, single_tree
 from ebbtide.operators.metrics import (
     best_model,
     binary_metrics,
@@ -42,7 +43,7 @@ from ebbtide.operators.split import TEST, TRAIN, hash_split, random_split, split
 from ebbtide.plans.segment_report import BIN, ORDINAL, Segment, segment_report
 from ebbtide.plans.subscribers import TENURE_EDGES
 from ebbtide.plans.training import Comparison, compare_models
-from ebbtide.sources import REPORT_SCHEMA, build_report, input_counts, report_metrics, small_table
+from ebbtide.sources import REPORT_SCHEMA, build_report, input_counts, report_metrics, staged
 
 PRICE_EDGES = (0, 20_000, 40_000, 60_000, 80_000)
 SIGNAL = FeatureColumns(
@@ -390,8 +391,8 @@ def banded_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return split_frames(hash_split(lines, "l_orderkey", "l_linenumber"))
 
 
-def banded(spark: SparkSession, sf_dir: str) -> Comparison:
-    """A saturated logistic regression, a stump, and a forest of stumps on all rows and features."""
+def banded(spark: SparkSession, sf_dir: str, *names: str) -> Comparison:
+    """A saturated logistic regression, a stump, and a forest of stumps on all rows and features; all or the named ones."""
     shared = {"featuresCol": FEATURES, "labelCol": BANDED.label}
     stump = {"maxDepth": 1, "seed": 42}
     models = {
@@ -401,14 +402,15 @@ def banded(spark: SparkSession, sf_dir: str) -> Comparison:
             **shared, **stump, numTrees=3, bootstrap=False, featureSubsetStrategy="all"
         ),
     }
-    return compare_models(*banded_parts(spark, sf_dir), BANDED, models, keep=("band",))
+    chosen = {name: model for name, model in models.items() if not names or name in names}
+    return compare_models(*banded_parts(spark, sf_dir), BANDED, chosen, keep=("band",))
 
 
 def banded_scores(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
     """Test rows and score per band, to 4 places."""
-    with banded(spark, sf_dir) as comparison:
-        scored = comparison.scored.where(F.col("model") == model)
-        return small_table(scored.groupBy("band", F.round("score", 4).alias("score")).agg(F.count("*").alias("rows")))
+    with banded(spark, sf_dir, model) as comparison:
+        scores = comparison.scored.groupBy("band", F.round("score", 4).alias("score"))
+        return staged(scores.agg(F.count("*").alias("rows")))
 
 
 def q_logistic_regression_saturated(spark, sf_dir):
@@ -424,7 +426,7 @@ def q_random_forest_stumps(spark, sf_dir):
 
 
 def q_feature_importance_stumps(spark, sf_dir):
-    with banded(spark, sf_dir) as comparison:
+    with banded(spark, sf_dir, "Random Forest") as comparison:
         return comparison.importances("Random Forest").select("idx", "feature", F.round("importance", 6).alias("importance"))
 
 
@@ -434,6 +436,44 @@ def q_model_comparison_closed(spark, sf_dir):
     return metrics.select("ordinal", "model", "tn", "fp", "fn", "tp", F.round("roc_auc", 6).alias("roc_auc"))
 
 
+# --- trees and forests as tables -------------------------------------------------
+
+LINE = ("l_orderkey", "l_linenumber")
+FOREST = Growth(trees=20, depth=5, subset=root_subset(len(SIGNAL.numeric)))
+TREE = single_tree(depth=4)
+
+
+def line_forest(train: DataFrame, growth: Growth) -> DataFrame:
+    return grow_forest(train, {name: F.col(name) for name in SIGNAL.numeric}, SIGNAL.label, LINE, growth)
+
+
+def shown_nodes(nodes: DataFrame) -> DataFrame:
+    gain, threshold = F.round("gain", 9).alias("gain"), F.round("threshold", 6).alias("threshold")
+    return nodes.select("tree", "path", "feature", threshold, "n", "positives", gain)
+
+
+def q_forest_nodes(spark, sf_dir):
+    """A forest of the default size: 20 trees of depth 5."""
+    return shown_nodes(line_forest(signal_parts(spark, sf_dir)[0], FOREST))
+
+
+def q_forest_scores(spark, sf_dir):
+    train, test = signal_parts(spark, sf_dir)
+    scored = score_nodes(test, F.array(*SIGNAL.numeric), line_forest(train, FOREST), FOREST.depth)
+    return scored.select(*LINE, F.round("score", 6).alias("score"))
+
+
+def q_tree_nodes(spark, sf_dir):
+    return shown_nodes(line_forest(signal_parts(spark, sf_dir)[0], TREE))
+
+
+def q_tree_importances(spark, sf_dir):
+    nodes = line_forest(signal_parts(spark, sf_dir)[0], TREE)
+    names = F.posexplode(F.array(*map(F.lit, SIGNAL.numeric))).alias("idx", "feature")
+    ranked = node_importances(nodes, spark.range(1).select(names))
+    return ranked.select("idx", "feature", F.round("importance", 9).alias("importance"))
+
+
 # --- scorecard, tariff, checks ---------------------------------------------------
 
 

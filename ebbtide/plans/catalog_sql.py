@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from itertools import accumulate
+
+#: Chances of at most 0, 1, 2 ... draws of a row (Poisson with mean 1).
+DRAWS = tuple(accumulate(math.exp(-1) / math.factorial(k) for k in range(8)))
+
 HASH_PART = """CASE WHEN CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0 < 0.8
             THEN 'train' ELSE 'test' END"""
 
@@ -188,6 +194,110 @@ def _banded_rows(score: str) -> str:
     return f'SELECT band, round({score}, 4) AS score, count(*) AS "rows" FROM tested GROUP BY band, round({score}, 4)'
 
 
+LINE_FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def _unit(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) / 4294967296.0"
+
+
+def _forest(trees: int, depth: int, subset: int, bagging: bool, bins: int = 32) -> str:
+    """Trees grown level by level: ``nodes`` (tree, path, feature, cut, threshold, n, positives, gain), ``tested`` rows."""
+    listed = ", ".join(f"CAST({name} AS DOUBLE)" for name in LINE_FEATURES)
+    binned = ", ".join(
+        f"len(list_filter((SELECT list(threshold) FROM edges WHERE feature = {i}), lambda t: t < f[{i + 1}]))"
+        for i in range(len(LINE_FEATURES))
+    )
+    draws = " + ".join(f"CAST({d!r} <= u AS INTEGER)" for d in DRAWS) if bagging else "1"
+    drawn = _unit("'draw 42 ' || tree || ': ' || key")
+    impurity = "CASE WHEN {n} > 0 THEN 2.0::DOUBLE * {p} * ({n} - {p}) / {n} ELSE 0.0::DOUBLE END"
+    whole, left, right = (
+        impurity.format(n=n, p=p) for n, p in (("n", "p"), ("left_n", "left_p"), ("(n - left_n)", "(p - left_p)"))
+    )
+    ctes = [
+        f"""parted AS MATERIALIZED (
+          SELECT l_orderkey, l_linenumber, row_number() OVER () AS row_no,
+                 concat_ws('|', l_orderkey, l_linenumber) AS key, [{listed}] AS f,
+                 CAST(l_extendedprice * (1 - l_discount) / l_quantity > 2200 AS INTEGER) AS y,
+                 {_unit("concat_ws('|', l_orderkey, l_linenumber)")} < 0.8 AS in_train
+          FROM lineitem)""",
+        f"""cuts AS (
+          SELECT *, lead(value) OVER (PARTITION BY feature ORDER BY value) AS above,
+                 sum(n) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS so_far,
+                 sum(n) OVER (PARTITION BY feature) AS total, count(*) OVER (PARTITION BY feature) AS kinds
+          FROM (SELECT feature, value, count(*) AS n
+                FROM (SELECT unnest(range({len(LINE_FEATURES)})) AS feature, unnest(f) AS value FROM parted WHERE in_train)
+                GROUP BY feature, value))""",
+        f"""edges AS MATERIALIZED (
+          SELECT feature, (value + above) / 2 AS threshold,
+                 row_number() OVER (PARTITION BY feature ORDER BY value) - 1 AS cut
+          FROM cuts WHERE above IS NOT NULL
+            AND (kinds <= {bins} OR so_far * {bins} // total > (so_far - n) * {bins} // total))""",
+        f"binned AS MATERIALIZED (SELECT *, [{binned}] AS b FROM parted)",
+        f"""rows_0 AS MATERIALIZED (
+          SELECT tree, key, y, b, w, 1 AS path
+          FROM (SELECT *, {draws} AS w FROM (SELECT *, {drawn} AS u FROM binned, range({trees}) AS t(tree) WHERE in_train))
+          WHERE w > 0)""",
+        f"""tested_0 AS (
+          SELECT tree, row_no, l_orderkey, l_linenumber, b, 1 AS path FROM binned, range({trees}) AS t(tree)
+          WHERE NOT in_train)""",
+    ]
+    for level in range(depth):
+        look = _unit("'look 42 ' || tree || ' ' || path || ' : ' || feature")
+        ctes += [
+            f"""looked_{level} AS (
+              SELECT tree, path, feature FROM (
+                SELECT *, row_number() OVER (PARTITION BY tree, path ORDER BY {look}, feature) AS place
+                FROM (SELECT DISTINCT tree, path FROM rows_{level}), range({len(LINE_FEATURES)}) AS f(feature))
+              WHERE place <= {subset})""",
+            f"""sums_{level} AS MATERIALIZED (
+              SELECT tree, path, feature, b[feature + 1] AS bin, sum(w)::DOUBLE AS n, sum(w * y)::DOUBLE AS p
+              FROM rows_{level} JOIN looked_{level} USING (tree, path) GROUP BY ALL)""",
+            f"""running_{level} AS (
+              SELECT tree, path, feature, bin,
+                     sum(n) OVER (PARTITION BY tree, path, feature ORDER BY bin ROWS UNBOUNDED PRECEDING) AS left_n,
+                     sum(p) OVER (PARTITION BY tree, path, feature ORDER BY bin ROWS UNBOUNDED PRECEDING) AS left_p,
+                     sum(n) OVER (PARTITION BY tree, path, feature) AS n, sum(p) OVER (PARTITION BY tree, path, feature) AS p
+              FROM sums_{level})""",
+            f"""best_{level} AS MATERIALIZED (
+              SELECT tree, path, n, p, CASE WHEN valid THEN feature END AS feature, CASE WHEN valid THEN bin END AS cut,
+                     CASE WHEN valid THEN gain END AS gain
+              FROM (
+                SELECT *, left_n < n AND gain > 1e-12 AS valid,
+                       row_number() OVER (PARTITION BY tree, path
+                                          ORDER BY left_n < n AND gain > 1e-12 DESC, gain DESC, feature, bin) AS place
+                FROM (SELECT *, ({whole} - ({left} + {right})) / n AS gain FROM running_{level}))
+              WHERE place = 1)""",
+        ]
+        for rows in ("rows", "tested"):
+            stays = f""" UNION ALL
+                  SELECT t.* FROM tested_{level} t LEFT JOIN best_{level} s
+                    ON s.tree = t.tree AND s.path = t.path AND s.feature IS NOT NULL WHERE s.tree IS NULL"""
+            stays = stays if rows == "tested" else ""
+            order = "r.tree, key, y, b, w" if rows == "rows" else "r.tree, row_no, l_orderkey, l_linenumber, b"
+            ctes.append(
+                f"""{rows}_{level + 1} AS MATERIALIZED (
+                  SELECT {order}, 2 * r.path + CAST(b[feature + 1] > cut AS INTEGER) AS path
+                  FROM {rows}_{level} r JOIN best_{level} s ON s.tree = r.tree AND s.path = r.path
+                  WHERE feature IS NOT NULL{stays})"""
+            )
+    found = [f"SELECT * FROM best_{level}" for level in range(depth)]
+    found.append(f"SELECT tree, path, sum(w)::DOUBLE, sum(w * y)::DOUBLE, NULL, NULL, NULL FROM rows_{depth} GROUP BY tree, path")
+    ctes.append(
+        f"""nodes AS MATERIALIZED (
+          SELECT CAST(tree AS INTEGER) AS tree, path, feature, threshold, CAST(n AS BIGINT) AS n,
+                 CAST(p AS BIGINT) AS positives, gain
+          FROM ({" UNION ALL ".join(found)}) LEFT JOIN edges USING (feature, cut))"""
+    )
+    ctes.append(f"tested AS (SELECT * FROM tested_{depth})")
+    return "WITH " + ", ".join(ctes)
+
+
+SHOWN_NODES = """
+    SELECT tree, path, CAST(feature AS INTEGER) AS feature, round(threshold, 6) AS threshold, n, positives,
+           round(gain, 9) AS gain FROM nodes"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "drop_nulls": """
@@ -293,6 +403,17 @@ def oracle_sql() -> dict[str, str]:
           SELECT ordinal, model, {CELLS}, any_value(roc_auc) AS roc_auc
           FROM (SELECT *, CAST(score > 0.5 AS INTEGER) AS p FROM outcomes) JOIN areas USING (ordinal)
           GROUP BY ordinal, model""",
+        "forest_nodes": _forest(20, 5, 2, True) + SHOWN_NODES,
+        "forest_scores": _forest(20, 5, 2, True)
+        + """
+          SELECT l_orderkey, l_linenumber, round(sum(CAST(positives AS DOUBLE) / n) / 20, 6) AS score
+          FROM tested JOIN nodes USING (tree, path) GROUP BY row_no, l_orderkey, l_linenumber""",
+        "tree_nodes": _forest(1, 4, 4, False) + SHOWN_NODES,
+        "tree_importances": _forest(1, 4, 4, False)
+        + f"""
+          SELECT idx, name AS feature, round(coalesce(g / (SELECT sum(gain * n) FROM nodes), 0), 9) AS importance
+          FROM (VALUES {", ".join(f"({i}, '{name}')" for i, name in enumerate(LINE_FEATURES))}) AS v(idx, name)
+          LEFT JOIN (SELECT feature, sum(gain * n) AS g FROM nodes GROUP BY feature) AS s ON s.feature = v.idx""",
         "prediction_preview": f"""
           WITH {MODEL_COUNTS}
           SELECT model, o_orderkey, y, p AS prediction, score

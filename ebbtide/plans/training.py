@@ -22,7 +22,7 @@ from ebbtide.operators.features import (
 from ebbtide.operators.metrics import MODEL_KEYS, metrics_by_model
 from ebbtide.operators.models import default_models, feature_importance, fit_models, score_models
 from ebbtide.operators.roc import roc_auc
-from ebbtide.sources import small_table, staged
+from ebbtide.sources import staged
 
 
 @dataclass(frozen=True)
@@ -38,8 +38,7 @@ class Comparison:
     def metrics(self) -> DataFrame:
         """One row per model in run order: counts, metrics, and ROC area of the score."""
         areas = roc_auc(self.scored, "y", "score", by=MODEL_KEYS).select("ordinal", "roc_auc")
-        joined = metrics_by_model(self.scored).join(areas, "ordinal").orderBy("ordinal")
-        return small_table(joined, max_rows=len(self.models))
+        return staged(metrics_by_model(self.scored).join(areas, "ordinal")).orderBy("ordinal")
 
     def importances(self, model: str) -> DataFrame:
         return feature_importance(self.models[model], self.names)

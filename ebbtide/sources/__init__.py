@@ -8,7 +8,7 @@ from ebbtide.sources.reports import (
     report_metrics,
     write_report,
 )
-from ebbtide.sources.staging import shared_dir, staged
+from ebbtide.sources.staging import shared_dir, staged, staging_path
 from ebbtide.sources.subscribers import SUBSCRIBER_SCHEMA
 from ebbtide.sources.tables import collect_small, input_counts, read_cells, read_table, small_table, typed, write_csv
 
@@ -26,6 +26,7 @@ __all__ = [
     "shared_dir",
     "small_table",
     "staged",
+    "staging_path",
     "typed",
     "write_csv",
     "write_report",

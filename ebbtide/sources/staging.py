@@ -17,11 +17,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def staging_path(spark: SparkSession) -> str:
+    """A new place in the shared folder."""
+    return f"{shared_dir(spark)}/ebbtide-{uuid4().hex}"
+
+
 def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write the rows as parquet, by default to a new place in the shared folder, and read them back.
 
     Later plans start from the files: the planner knows their size, and lost executors cost no work done before them.
     """
-    path = path or f"{shared_dir(df.sparkSession)}/ebbtide-{uuid4().hex}"
+    path = path or staging_path(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
