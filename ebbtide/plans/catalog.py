@@ -12,6 +12,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.operators.checks import DependencyRule, DomainRule, RangeRule, domain_violations, rule_violations
 from ebbtide.operators.clean import drop_nulls, preview
@@ -35,7 +36,9 @@ from ebbtide.operators.metrics import (
     metrics_by_model,
     metrics_report,
 )
+from ebbtide.operators.logistic import fit_logistic, fitted_moments
 from ebbtide.operators.models import default_models, prediction_preview
+from ebbtide.operators.numbering import exact_split, zip_rows
 from ebbtide.operators.roc import roc_auc, roc_curve
 from ebbtide.operators.scorecard import Scorecard, Tariff, risk_scorecard, tariff_rating
 from ebbtide.operators.segments import class_distribution, rate_by_bin, rate_by_category, rate_by_ordinal
@@ -43,7 +46,18 @@ from ebbtide.operators.split import TEST, TRAIN, hash_split, random_split, split
 from ebbtide.plans.segment_report import BIN, ORDINAL, Segment, segment_report
 from ebbtide.plans.subscribers import TENURE_EDGES
 from ebbtide.plans.training import Comparison, compare_models
-from ebbtide.sources import REPORT_SCHEMA, build_report, input_counts, report_metrics, staged
+from ebbtide.sources import (
+    build_report,
+    input_counts,
+    read_report,
+    read_table,
+    report_metrics,
+    rescued_cells,
+    staged,
+    staging_path,
+    write_csv,
+    write_report,
+)
 
 PRICE_EDGES = (0, 20_000, 40_000, 60_000, 80_000)
 SIGNAL = FeatureColumns(
@@ -187,6 +201,43 @@ def q_csv_text_round_trip(spark, sf_dir):
     return lines.select(F.from_csv("line", schema).alias("row")).select("row.*")
 
 
+ORDER_CELLS = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+    ]
+)
+
+
+def dirty_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as CSV files in the shared folder, some cells of them unreadable as numbers, some empty."""
+    key, path = F.col("o_orderkey"), staging_path(spark)
+    dirty = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(key % 50 == 0, F.concat(F.lit("c-"), "o_custkey"))
+        .when(key % 50 == 1, F.concat(F.col("o_custkey").cast("string"), F.lit(".0")))
+        .otherwise(F.col("o_custkey").cast("string"))
+        .alias("o_custkey"),
+        "o_orderstatus",
+        F.when(key % 70 == 0, F.lit("n/a")).when(key % 70 != 1, F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+    )
+    write_csv(dirty, path)
+    return path
+
+
+def q_csv_table(spark, sf_dir):
+    """The files, read by column names: what cannot be read is null, whole numbers may have a point."""
+    return read_table(spark, dirty_orders(spark, sf_dir), ORDER_CELLS, fmt="csv")
+
+
+def q_csv_rescued(spark, sf_dir):
+    """The unreadable cells of the files, by column and text."""
+    rescued = rescued_cells(spark, dirty_orders(spark, sf_dir), ORDER_CELLS)
+    return rescued.groupBy("column", "raw").agg(F.count("*").alias("cells"))
+
+
 def q_hash_split(spark, sf_dir):
     return hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
 
@@ -200,6 +251,24 @@ def q_split_counts(spark, sf_dir):
     return split_counts(q_hash_split(spark, sf_dir))
 
 
+def q_exact_split(spark, sf_dir):
+    """Exactly four fifths of the orders, by the least key hashes."""
+    return exact_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
+
+
+def q_exact_split_counts(spark, sf_dir):
+    """Line items: many rows share a key, and the parts still have exactly their sizes."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
+    return split_counts(exact_split(lines, "l_suppkey", train_share=0.7, salt="fold 2: "))
+
+
+def q_zip_rows(spark, sf_dir):
+    """Orders from the oldest key on, beside customers from the highest balance on; customers end first."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    customers = table(spark, sf_dir, "customer").select((-F.col("c_acctbal")).alias("debt"), "c_custkey")
+    return zip_rows(orders, ["o_orderkey"], customers, ["debt", "c_custkey"])
+
+
 # --- segments ------------------------------------------------------------------
 
 
@@ -260,8 +329,15 @@ def q_confusion_matrix(spark, sf_dir):
     )
 
 
+def metrics_with_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of the three threshold rules, and the areas of their scores."""
+    tagged = threshold_predictions(spark, sf_dir)
+    areas = roc_auc(tagged, "y", "score", by=["model"]).select("model", "roc_auc")
+    return metrics_by_model(tagged).join(areas, "model")
+
+
 def q_metrics_report(spark, sf_dir):
-    return metrics_report(q_metrics_by_model(spark, sf_dir))
+    return metrics_report(metrics_with_area(spark, sf_dir))
 
 
 def q_best_model(spark, sf_dir):
@@ -269,14 +345,14 @@ def q_best_model(spark, sf_dir):
 
 
 def q_report_document(spark, sf_dir):
-    return report_metrics(build_report(q_metrics_by_model(spark, sf_dir))).drop("roc_auc")
+    return report_metrics(build_report(metrics_with_area(spark, sf_dir)))
 
 
 def q_report_json(spark, sf_dir):
-    """The report document as JSON text and back with its schema."""
-    document = build_report(q_metrics_by_model(spark, sf_dir))
-    text = document.select(F.to_json(F.struct(*document.columns)).alias("text"))
-    return report_metrics(text.select(F.from_json("text", REPORT_SCHEMA).alias("d")).select("d.*")).drop("roc_auc")
+    """The report document as a JSON file in the shared folder, and back."""
+    path = staging_path(spark)
+    write_report(build_report(metrics_with_area(spark, sf_dir)), path)
+    return report_metrics(read_report(spark, path))
 
 
 def q_prediction_preview(spark, sf_dir):
@@ -357,6 +433,17 @@ def q_logistic_regression(spark, sf_dir):
     return trained_metrics(spark, sf_dir, "Logistic Regression")
 
 
+def q_logistic_newton(spark, sf_dir):
+    """Four numeric features: what the fit gives each of them must be what the labels give it."""
+    train, _ = signal_parts(spark, sf_dir)
+    features = {name: F.col(name) for name in SIGNAL.numeric}
+    moments = fitted_moments(train, fit_logistic(train, features, SIGNAL.label), features, SIGNAL.label)
+    total = F.col("observed")
+    return moments.select(
+        "idx", "feature", F.round(total, 2).alias("observed"), F.round(F.col("fitted") / total, 6).alias("fitted_share")
+    )
+
+
 def q_decision_tree(spark, sf_dir):
     return trained_metrics(spark, sf_dir, "Decision Tree")
 

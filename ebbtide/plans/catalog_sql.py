@@ -132,6 +132,11 @@ def _area(score: str, source: str, by: str = "") -> str:
       FROM ranked {"GROUP BY " + by[:-1] if by else ""}"""
 
 
+MODEL_AREAS = f"areas AS (SELECT model, roc_auc FROM ({_area('score', 'SELECT * FROM tagged', 'model,')}))"
+REPORT_ROWS = f"""
+    WITH {MODEL_COUNTS}, {MODEL_AREAS}
+    SELECT m.*, roc_auc FROM ({_metrics("counts", "ordinal, model,")}) AS m JOIN areas USING (model)"""
+
 PRIORITY_INDEX = """
       SELECT o_orderpriority, count(*) AS n,
              row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS idx
@@ -353,6 +358,37 @@ def oracle_sql() -> dict[str, str]:
             "returned",
             f"SELECT *, CAST(round(l_discount * 100) AS INTEGER) AS complaints FROM ({RETURNED})",
         ),
+        "exact_split": """
+          SELECT o_orderkey,
+                 CASE WHEN row_number() OVER (ORDER BY CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT),
+                                                       o_orderkey) <= floor(0.8 * count(*) OVER ())
+                      THEN 'train' ELSE 'test' END AS part
+          FROM orders""",
+        "exact_split_counts": """
+          SELECT 'train' AS part, CAST(floor(0.7 * count(*)) AS BIGINT) AS "rows" FROM lineitem
+          UNION ALL SELECT 'test', count(*) - CAST(floor(0.7 * count(*)) AS BIGINT) FROM lineitem""",
+        "zip_rows": """
+          SELECT position, o_orderkey, o_totalprice, debt, c_custkey
+          FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders)
+          JOIN (SELECT c_custkey, -c_acctbal AS debt, row_number() OVER (ORDER BY -c_acctbal, c_custkey) - 1 AS position
+                FROM customer) USING (position)""",
+        "csv_table": """
+          SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS o_custkey, o_orderstatus,
+                 CASE WHEN o_orderkey % 70 > 1 THEN o_totalprice END AS o_totalprice
+          FROM orders""",
+        "csv_rescued": """
+          SELECT 'o_custkey' AS "column", 'c-' || o_custkey AS raw, count(*) AS cells FROM orders
+          WHERE o_orderkey % 50 = 0 GROUP BY o_custkey
+          UNION ALL
+          SELECT 'o_totalprice', 'n/a', count(*) FROM orders WHERE o_orderkey % 70 = 0 HAVING count(*) > 0""",
+        "logistic_newton": f"""
+          WITH rows_ AS (
+            SELECT *, CAST(l_extendedprice * (1 - l_discount) / l_quantity > 2200 AS INTEGER) AS y FROM lineitem
+            WHERE {_unit("concat_ws('|', l_orderkey, l_linenumber)")} < 0.8)
+          {" UNION ALL ".join(
+              f"SELECT {i} AS idx, '{name}' AS feature, round(sum(y * {column}), 2) AS observed, 1.0::DOUBLE AS fitted_share FROM rows_"
+              for i, (name, column) in enumerate([("(intercept)", "1.0::DOUBLE"), *[(c, f"CAST({c} AS DOUBLE)") for c in LINE_FEATURES]])
+          )}""",
         "segment_report": _segments(),
         "confusion_counts": f"SELECT {CELLS} FROM (SELECT quality AS y, toxic AS p FROM labels)",
         "binary_metrics": _metrics(f"(SELECT {CELLS} FROM (SELECT quality AS y, toxic AS p FROM labels))", ""),
@@ -362,20 +398,21 @@ def oracle_sql() -> dict[str, str]:
           SELECT model, 0 AS label, tn AS pred_0, fp AS pred_1 FROM counts
           UNION ALL SELECT model, 1, fn, tp FROM counts""",
         "metrics_report": f"""
-          WITH {MODEL_COUNTS}
+          WITH {MODEL_COUNTS}, {MODEL_AREAS}
           SELECT model, round(accuracy, 4) AS accuracy, round(f1, 4) AS f1_score,
                  round("precision", 4) AS "precision", round(recall, 4) AS recall,
                  round(balanced_accuracy, 4) AS auc, tp, tn, fp, fn,
+                 round(roc_auc, 4) AS roc_auc,
                  printf('AUC %.3f', round(balanced_accuracy, 3)) AS auc_text,
                  printf('Acc %.3f', round(accuracy, 3)) AS accuracy_text,
                  row_number() OVER (ORDER BY balanced_accuracy DESC, ordinal) = 1 AS best
-          FROM ({_metrics("counts", "ordinal, model,")})""",
+          FROM ({_metrics("counts", "ordinal, model,")}) JOIN areas USING (model)""",
         "best_model": f"""
           WITH {MODEL_COUNTS}
           SELECT model, balanced_accuracy FROM ({_metrics("counts", "ordinal, model,")})
           ORDER BY balanced_accuracy DESC, ordinal LIMIT 1""",
-        "report_document": f"WITH {MODEL_COUNTS} {_metrics('counts', 'ordinal, model,')}",
-        "report_json": f"WITH {MODEL_COUNTS} {_metrics('counts', 'ordinal, model,')}",
+        "report_document": REPORT_ROWS,
+        "report_json": REPORT_ROWS,
         "logistic_regression_saturated": f"WITH {BANDED} {_banded_rows('saturated')}",
         "decision_tree_stump": f"WITH {BANDED} {_banded_rows('stump')}",
         "random_forest_stumps": f"WITH {BANDED} {_banded_rows('stump')}",

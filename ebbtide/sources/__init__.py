@@ -10,7 +10,16 @@ from ebbtide.sources.reports import (
 )
 from ebbtide.sources.staging import shared_dir, staged, staging_path
 from ebbtide.sources.subscribers import SUBSCRIBER_SCHEMA
-from ebbtide.sources.tables import collect_small, input_counts, read_cells, read_table, small_table, typed, write_csv
+from ebbtide.sources.tables import (
+    collect_small,
+    input_counts,
+    read_cells,
+    read_table,
+    rescued_cells,
+    small_table,
+    typed,
+    write_csv,
+)
 
 __all__ = [
     "REPORT_SCHEMA",
@@ -23,6 +32,7 @@ __all__ = [
     "read_table",
     "report_importances",
     "report_metrics",
+    "rescued_cells",
     "shared_dir",
     "small_table",
     "staged",

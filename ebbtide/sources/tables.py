@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,6 +100,42 @@ def input_counts(cells: DataFrame, schema: T.StructType | None = SUBSCRIBER_SCHE
     return totals.select(F.inline(F.array(*structs)))
 
 
+def rescued_cells(spark: SparkSession, path: str, schema: T.StructType = SUBSCRIBER_SCHEMA) -> DataFrame:
+    """Rows (file, line, column, raw): the text of every CSV cell that cannot be read as its type, and where it stands.
+
+    ``line`` counts the lines of the file from 1, its header. Spark reads a file in blocks and gives rows no number;
+    a row's place in its block and the sizes of the blocks before give its line. Only one row per block is shuffled, and
+    of the others only those with an unreadable cell are kept. Empty cells are null, not unreadable. Cells must not hold
+    line breaks.
+    """
+    cells = read_cells(spark, path, "csv")
+    kinds = {field.name: field.dataType for field in schema.fields}
+    checked = [name for name in cells.columns if name in kinds and not isinstance(kinds[name], T.StringType)]
+    placed = cells.select(
+        *[F.col(name).alias(f"cell_{i}") for i, name in enumerate(checked)],
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    blocks = placed.groupBy("file", "block").agg(F.min("place").alias("first"), F.count("*").alias("rows"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = blocks.select(
+        F.col("file").alias("of_file"), F.col("block").alias("of_block"), "first",
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("shift"),
+    )
+    listed = []
+    for i, name in enumerate(checked):
+        cell = F.col(f"cell_{i}")
+        bad = cell.isNotNull() & typed_cell(f"cell_{i}", kinds[name]).isNull()
+        listed.append(F.when(bad, F.struct(F.lit(name).alias("column"), cell.alias("raw"))))
+    if not listed:
+        listed = [F.lit(None).cast("struct<column:string,raw:string>")]
+    found = placed.select("file", "block", "place", F.explode(F.array_compact(F.array(*listed))).alias("bad"))
+    same = (F.col("file") == F.col("of_file")) & (F.col("block") == F.col("of_block"))
+    line = F.col("shift") + F.col("place") - F.col("first") + 2
+    return found.join(shifts, same).select("file", line.alias("line"), "bad.column", "bad.raw")
+
+
 def _column(table: DataFrame, cells: DataFrame, name: str) -> Column:
     """The typed column as an expression over the cells."""
     if table.schema[name].dataType == cells.schema[name].dataType:

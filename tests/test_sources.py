@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import types as T
 
 from ebbtide.operators.clean import drop_nulls
 from ebbtide.sources import (
@@ -12,6 +13,7 @@ from ebbtide.sources import (
     read_table,
     report_importances,
     report_metrics,
+    rescued_cells,
     small_table,
     write_csv,
     write_report,
@@ -115,3 +117,31 @@ def test_report_without_importances(spark):
 def test_missing_report(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="run the training plan first"):
         read_report(spark, str(tmp_path / "none"))
+
+
+def test_rescued_cells_name_file_line_and_text(spark, tmp_path):
+    """Two files of several blocks; every number of the second column that ends in 7 is spoilt."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    want = set()
+    for name in ("a.csv", "b.csv"):
+        lines = ["k,v,t"]
+        for i in range(3_000):
+            bad = i % 10 == 7 and name == "a.csv" or i == 2_999
+            lines.append(f"{i},{'x' * (i % 5) + 'bad' if bad else i},text")
+            if bad:
+                want.add((name, len(lines), "v", "x" * (i % 5) + "bad"))
+        (folder / name).write_text("\n".join(lines) + "\n")
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.DoubleType())])
+    before = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for key in before:
+            spark.conf.set(key, "4000")
+        found = rescued_cells(spark, str(folder), schema)
+        got = {(row.file.rsplit("/", 1)[-1], row.line, row.column, row.raw) for row in found.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == want
+    text = T.StructType([T.StructField("t", T.StringType())])
+    assert rescued_cells(spark, str(folder), text).collect() == []
