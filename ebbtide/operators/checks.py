@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.functions import hash_number
+
 
 @dataclass(frozen=True)
 class DependencyRule:
@@ -125,3 +127,48 @@ def domain_violations(df: DataFrame, rules: Sequence[DomainRule | RangeRule]) ->
     none = F.array().cast("array<struct<check:string,rows:bigint,nulls:bigint,violations:bigint>>")
     listed = F.array(*lines) if lines else none
     return df.agg(F.count("*"), *totals).select(F.inline(listed))
+
+
+def check_report(
+    df: DataFrame, rules: Sequence[DependencyRule | DomainRule | RangeRule], key: Column, evidence: int = 5
+) -> DataFrame:
+    """Rows (check, rows, nulls, violations, keys), one per rule, dependencies and domains in one aggregation.
+
+    ``keys`` are up to ``evidence`` keys of violating rows, as text in order: of those whose hash leaves a given
+    remainder the one with the least hash. Such minima merge, so a task keeps a few keys per rule however many rows
+    violate it, and the same keys are shown on any layout.
+    """
+    text = F.coalesce(key.cast("string"), F.lit("null"))
+    marked = df.withColumns({"_key": text, "_hash": hash_number(text)})
+    totals, lines = [], []
+    for position, rule in enumerate(rules):
+        if isinstance(rule, DependencyRule):
+            condition, consequence = (F.coalesce(c, F.lit(False)) for c in (rule.condition, rule.consequence))
+            applies, null, violated = F.lit(True), F.lit(False), condition != consequence
+        else:
+            applies = F.coalesce(rule.applies(), F.lit(False))
+            null = applies & F.col(rule.column).isNull()
+            violated = applies & F.coalesce(~rule.holds(), F.lit(False))
+        shown = F.struct("_hash", "_key")
+        minima = [
+            F.min(F.when(violated & (F.col("_hash") % evidence == part), shown)).alias(f"key_{position}_{part}")
+            for part in range(evidence)
+        ]
+        totals += [
+            F.count_if(applies).alias(f"rows_{position}"),
+            F.count_if(null).alias(f"nulls_{position}"),
+            F.count_if(violated).alias(f"violations_{position}"),
+            *minima,
+        ]
+        keys = F.array_compact(F.array(*[F.col(f"key_{position}_{part}._key") for part in range(evidence)]))
+        lines.append(
+            F.struct(
+                F.lit(rule.name).alias("check"),
+                F.col(f"rows_{position}").alias("rows"),
+                F.col(f"nulls_{position}").alias("nulls"),
+                F.col(f"violations_{position}").alias("violations"),
+                F.array_join(F.array_sort(keys), ", ").alias("keys"),
+            )
+        )
+    none = F.array().cast("array<struct<check:string,rows:bigint,nulls:bigint,violations:bigint,keys:string>>")
+    return marked.agg(F.count("*"), *totals).select(F.inline(F.array(*lines) if lines else none))

@@ -7,13 +7,15 @@ from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.operators.clean import existing_columns
 from ebbtide.sources import collect_small, staged
 
 RAW_FEATURES, FEATURES = "raw_features", "features"
+#: Labels of all columns together that are looked up in a map of the plan; more are joined.
+LOOKUP_LABELS = 500
 
 
 @dataclass(frozen=True)
@@ -73,14 +75,18 @@ def category_counts(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
 
 
 def category_index(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
-    """Vocabulary of all categorical columns as rows (column_no, label, rows, idx), written to the shared folder.
+    """Vocabulary of all categorical columns as rows (column_no, label, rows, idx), from counts in the shared folder.
 
-    Labels are numbered by frequency, ties in text order. They are range-partitioned in that order, numbered inside
-    each partition, and shifted by what the partitions before hold; only one row per partition and column is in a
-    window by column. There is no limit on the number of labels and nothing reaches the driver.
+    Labels are numbered by frequency, ties in text order. Up to ``LOOKUP_LABELS`` of them are numbered in one window by
+    column. More are range-partitioned in that order, numbered inside each partition, and shifted by what the partitions
+    before hold; only one row per partition and column is then in a window by column. There is no limit on the number of
+    labels and nothing reaches the driver.
     """
     order = ["column_no", F.desc("rows"), "label"]
-    counts = category_counts(df, categorical)
+    counts = staged(category_counts(df, categorical))
+    if counts.count() <= LOOKUP_LABELS:
+        place = F.row_number().over(Window.partitionBy("column_no").orderBy(F.desc("rows"), "label"))
+        return counts.select("column_no", "label", "rows", (place - 1).alias("idx"))
     placed = staged(counts.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
     inside = Window.partitionBy("part", "column_no").orderBy(F.desc("rows"), "label")
     local = placed.withColumn("place", F.row_number().over(inside))
@@ -92,22 +98,44 @@ def category_index(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
     return staged(numbered.select("column_no", "label", "rows", idx.alias("idx")))
 
 
+def label_maps(vocabulary: DataFrame, columns: int) -> Column:
+    """A scalar: for each column a map from its labels to their indices."""
+    entries = F.struct("column_no", F.struct("label", "idx").alias("entry"))
+    listed = vocabulary.agg(F.collect_list(entries).alias("all"))
+
+    def one(number: Column) -> Column:
+        mine = F.filter("all", lambda e: e["column_no"] == number)
+        return F.map_from_entries(F.transform(mine, lambda e: e["entry"]))
+
+    return listed.select(F.transform(F.sequence(F.lit(0), F.lit(columns - 1)), one)).scalar()
+
+
 def index_labels(df: DataFrame, columns: FeatureColumns, vocabulary: DataFrame) -> DataFrame:
     """Add an index per categorical column; nulls and labels that the vocabulary lacks get the number of labels.
 
-    A left join per column on the label. The written vocabulary has a known size: Spark sends a small one to every
-    task without moving the rows, and splits frequent labels where it has to shuffle.
+    A vocabulary of up to ``LOOKUP_LABELS`` labels is one scalar of the plan for all columns: rows are looked up where
+    they are. A larger one is joined on the label, column by column; the written vocabulary has a known size, so Spark
+    sends a small part of it to every task without moving the rows, and splits frequent labels where it has to shuffle.
+    The number of labels is in the metadata of each index, so that later stages need not look for it.
     """
     sizes = vocabulary.groupBy("column_no").agg(F.count("*").alias("labels"))
     known = {row.column_no: row.labels for row in collect_small(sizes, len(columns.categorical))}
+    stacked = sum(known.values()) <= LOOKUP_LABELS
+    if stacked:
+        df = df.withColumn("_maps", label_maps(vocabulary, len(columns.categorical)))
     for number, (name, index) in enumerate(zip(columns.categorical, columns.index_columns)):
-        mine = vocabulary.where(F.col("column_no") == number).select(
-            F.col("label").alias("_label"), F.col("idx").alias("_idx")
-        )
-        joined = df.join(mine, F.col(name).cast("string") == F.col("_label"), "left")
-        found = F.coalesce(F.col("_idx"), F.lit(known.get(number, 0))).cast("double")
-        df = joined.withColumn(index, found).drop("_label", "_idx")
-    return df
+        label = F.col(name).cast("string")
+        if stacked:
+            place = F.try_element_at(F.get("_maps", F.lit(number)), label)
+        else:
+            mine = vocabulary.where(F.col("column_no") == number).select(
+                F.col("label").alias("_label"), F.col("idx").alias("_idx")
+            )
+            df, place = df.join(mine, label == F.col("_label"), "left"), F.col("_idx")
+        found = F.coalesce(place, F.lit(known.get(number, 0))).cast("double")
+        nominal = {"ml_attr": {"type": "nominal", "num_vals": known.get(number, 0)}}
+        df = df.withColumn(index, found.alias(index, metadata=nominal if known.get(number) else {})).drop("_label", "_idx")
+    return df.drop("_maps")
 
 
 def one_hot_encoder(columns: FeatureColumns) -> OneHotEncoder:

@@ -14,7 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.operators.checks import DependencyRule, DomainRule, RangeRule, domain_violations, rule_violations
+from ebbtide.operators.checks import (
+    DependencyRule,
+    DomainRule,
+    RangeRule,
+    check_report,
+    domain_violations,
+    rule_violations,
+)
 from ebbtide.operators.clean import drop_nulls, preview
 from ebbtide.operators.features import (
     FEATURES,
@@ -43,7 +50,7 @@ from ebbtide.operators.roc import roc_auc, roc_curve
 from ebbtide.operators.scorecard import Scorecard, Tariff, risk_scorecard, tariff_rating
 from ebbtide.operators.segments import class_distribution, rate_by_bin, rate_by_category, rate_by_ordinal
 from ebbtide.operators.split import TEST, TRAIN, hash_split, random_split, split_counts, split_frames
-from ebbtide.plans.segment_report import BIN, ORDINAL, Segment, segment_report
+from ebbtide.plans.segment_report import BIN, ORDINAL, Segment, class_report, segment_report
 from ebbtide.plans.subscribers import TENURE_EDGES
 from ebbtide.plans.training import Comparison, compare_models
 from ebbtide.sources import (
@@ -308,6 +315,16 @@ def q_segment_report(spark, sf_dir):
     return segment_report(returned_lines(spark, sf_dir), "returned", segments)
 
 
+def q_class_report(spark, sf_dir):
+    """All three return flags as classes, for the whole table and in three segments."""
+    segments = [
+        Segment("price", "l_extendedprice", BIN, PRICE_EDGES),
+        Segment("status", "l_linestatus"),
+        Segment("line", "l_linenumber", ORDINAL),
+    ]
+    return class_report(table(spark, sf_dir, "lineitem"), "l_returnflag", segments)
+
+
 # --- metrics -------------------------------------------------------------------
 
 
@@ -632,6 +649,18 @@ def q_domain_violations(spark, sf_dir):
     return customers.unionByName(lines)
 
 
+def q_check_report(spark, sf_dir):
+    """Dependencies and domains of line items in one pass, each with keys of rows that violate it."""
+    rules = [
+        DependencyRule("returned follows final", F.col("l_linestatus") == "F", F.col("l_returnflag") == "R"),
+        DependencyRule("big follows expensive", F.col("l_extendedprice") > 50_000, F.col("l_quantity") > 25),
+        RangeRule("l_quantity", 1, 50),
+        RangeRule("l_discount", 0.0, 0.05, F.col("l_returnflag") == "R", "returned"),
+        DomainRule("l_linestatus", ("O",)),
+    ]
+    return check_report(table(spark, sf_dir, "lineitem"), rules, F.concat_ws("|", "l_orderkey", "l_linenumber"))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 

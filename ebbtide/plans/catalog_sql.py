@@ -303,6 +303,25 @@ SHOWN_NODES = """
            round(gain, 9) AS gain FROM nodes"""
 
 
+def _evidence(name: str, violated: str, applies: str = "TRUE", null: str = "FALSE") -> str:
+    """A line of the check report: counts, and of each of five remainders of the key's hash the least violating one."""
+    keys = ", ".join(f"min(CASE WHEN {violated} AND h % 5 = {part} THEN h * 1::HUGEINT END) AS k{part}" for part in range(5))
+    texts = ", ".join(f"(SELECT min(k) FROM hashed WHERE h = k{part} AND {violated})" for part in range(5))
+    return f"""
+      SELECT '{name}' AS "check", "rows", nulls, violations,
+             array_to_string(list_sort(list_filter([{texts}], lambda k: k IS NOT NULL)), ', ') AS keys
+      FROM (SELECT count(*) FILTER (WHERE {applies}) AS "rows", count(*) FILTER (WHERE {null}) AS nulls,
+                   count(*) FILTER (WHERE {violated}) AS violations, {keys} FROM hashed)"""
+
+
+def _class_lines(number: int, name: str, position: str, value: str, key: str, where: str = "TRUE") -> str:
+    return f"""
+      SELECT {number} AS segment_no, '{name}' AS segment, CAST({position} AS DOUBLE) AS position, {value} AS value,
+             l_returnflag AS "class", count(*) AS "rows",
+             100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY {key}) AS share_pct
+      FROM lineitem WHERE {where} GROUP BY {key}, l_returnflag"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "drop_nulls": """
@@ -389,6 +408,41 @@ def oracle_sql() -> dict[str, str]:
               f"SELECT {i} AS idx, '{name}' AS feature, round(sum(y * {column}), 2) AS observed, 1.0::DOUBLE AS fitted_share FROM rows_"
               for i, (name, column) in enumerate([("(intercept)", "1.0::DOUBLE"), *[(c, f"CAST({c} AS DOUBLE)") for c in LINE_FEATURES]])
           )}""",
+        "class_report": " UNION ALL ".join(
+            [
+                _class_lines(-1, "all", "NULL", "NULL", "1::INTEGER + 0"),
+                f"""
+                  SELECT 0, 'price', CAST(bin AS DOUBLE), label, l_returnflag, count(*),
+                         100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY bin)
+                  FROM (SELECT l_returnflag, CASE WHEN l_extendedprice <= 20000 THEN 0 WHEN l_extendedprice <= 40000 THEN 1
+                               WHEN l_extendedprice <= 60000 THEN 2 WHEN l_extendedprice <= 80000 THEN 3 ELSE 4 END AS bin
+                        FROM lineitem WHERE l_extendedprice > 0)
+                  JOIN (VALUES (0, '(0,20000]'), (1, '(20000,40000]'), (2, '(40000,60000]'), (3, '(60000,80000]'),
+                               (4, '>80000')) AS b(of_bin, label) ON bin = of_bin
+                  GROUP BY bin, label, l_returnflag""",
+                _class_lines(1, "status", "NULL", "l_linestatus", "l_linestatus"),
+                _class_lines(2, "line", "l_linenumber", "CAST(l_linenumber AS VARCHAR)", "l_linenumber"),
+            ]
+        ),
+        "check_report": """
+          WITH hashed AS (
+            SELECT *, concat_ws('|', l_orderkey, l_linenumber) AS k,
+                   CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8) AS BIGINT) AS h FROM lineitem)
+          """
+        + " UNION ALL ".join(
+            [
+                _evidence("returned follows final", "(l_linestatus = 'F') <> (l_returnflag = 'R')"),
+                _evidence("big follows expensive", "(l_extendedprice > 50000) <> (l_quantity > 25)"),
+                _evidence("l_quantity in [1, 50]", "NOT (l_quantity BETWEEN 1 AND 50)", null="l_quantity IS NULL"),
+                _evidence(
+                    "l_discount in [0, 0.05] if returned",
+                    "(l_returnflag = 'R' AND NOT (l_discount BETWEEN 0 AND 0.05::DOUBLE))",
+                    "l_returnflag = 'R'",
+                    "l_returnflag = 'R' AND l_discount IS NULL",
+                ),
+                _evidence("l_linestatus in domain", "l_linestatus <> 'O'", null="l_linestatus IS NULL"),
+            ]
+        ),
         "segment_report": _segments(),
         "confusion_counts": f"SELECT {CELLS} FROM (SELECT quality AS y, toxic AS p FROM labels)",
         "binary_metrics": _metrics(f"(SELECT {CELLS} FROM (SELECT quality AS y, toxic AS p FROM labels))", ""),

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions import bin_labels, right_closed_bin
+from ebbtide.functions import bin_labels, percent, right_closed_bin
 from ebbtide.operators.segments import rate_measures, rate_pct
 
 BIN, ORDINAL, CATEGORY = "bin", "ordinal", "category"
@@ -67,6 +67,31 @@ def segment_report(df: DataFrame, label: str, segments: Sequence[Segment]) -> Da
     )
 
 
+def class_report(df: DataFrame, label: str, segments: Sequence[Segment]) -> DataFrame:
+    """Rows (segment_no, segment, position, value, class, rows, share_pct): the classes of the table and of every segment.
+
+    The class is a second dimension of the grouping sets, and alone it is one of them: segment number -1, the whole
+    table. Shares are within a segment's value. One scan and one aggregation of the rows for everything; the label may
+    have any number of classes, null is one of them. Rows outside all bins of a segment are left out of it.
+    """
+    keys = [f"_key_{i}" for i in range(len(segments))]
+    keyed = df.select(F.col(label).alias("_class"), *[s.key().alias(key) for key, s in zip(keys, segments)])
+    numbers = [F.when(F.grouping(key) == 0, F.lit(i)) for i, key in enumerate(keys)]
+    grouped = keyed.groupingSets([["_class"], *[[key, "_class"] for key in keys]], *keys, "_class").agg(
+        F.coalesce(*numbers, F.lit(-1)).alias("segment_no"), F.count("*").alias("rows")
+    )
+    measured = grouped.select(
+        "segment_no",
+        F.get(F.array(F.lit("all"), *[F.lit(s.name) for s in segments]), F.col("segment_no") + 1).alias("segment"),
+        F.coalesce(*[s.position(key) for key, s in zip(keys, segments)], F.lit(None).cast("double")).alias("position"),
+        F.coalesce(*[s.text(key) for key, s in zip(keys, segments)], F.lit(None).cast("string")).alias("value"),
+        F.col("_class").alias("class"),
+        "rows",
+    ).where(F.col("value").isNotNull() | (F.col("segment_no") < 0))
+    whole = F.sum("rows").over(Window.partitionBy("segment_no", "value"))  # over one row per class
+    return measured.withColumn("share_pct", percent(F.col("rows"), whole)).orderBy("segment_no", "position", "value", "class")
+
+
 def _with_empty_bins(measured: DataFrame, segments: Sequence[Segment]) -> DataFrame:
     zeros = [
         F.struct(

@@ -1,5 +1,6 @@
 """Reading and writing tables and report documents."""
 
+from ebbtide.sources.publishing import Publication, published
 from ebbtide.sources.reports import (
     REPORT_SCHEMA,
     build_report,
@@ -22,11 +23,13 @@ from ebbtide.sources.tables import (
 )
 
 __all__ = [
+    "Publication",
     "REPORT_SCHEMA",
     "SUBSCRIBER_SCHEMA",
     "build_report",
     "collect_small",
     "input_counts",
+    "published",
     "read_cells",
     "read_report",
     "read_table",

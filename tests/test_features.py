@@ -125,3 +125,25 @@ def test_all_categories_are_counted_in_one_scan(spark, plan_text):
     counts = category_counts(lines, ["l_returnflag", "l_linestatus", "l_linenumber"])
     assert plan_text(counts).count("Location: InMemoryFileIndex") == 1
     assert counts.agg(F.sum("rows")).first()[0] == 3 * lines.count()
+
+
+def test_looked_up_and_joined_labels_agree(spark, monkeypatch):
+    """A small vocabulary is one scalar of the plan, a large one is joined: same indices, same vectors, same names."""
+    rows = [(i, i % 2, float(i), f"l{i % 7}", None if i % 11 == 0 else f"m{i % 3}") for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, y int, v double, a string, b string")
+    unseen = df.withColumn("a", F.when(F.col("k") > 50, F.lit("new")).otherwise(F.col("a")))
+    columns = COLUMNS.present_in(df)
+    encoded = []
+    for limit in (500, 0):
+        monkeypatch.setattr("ebbtide.operators.features.LOOKUP_LABELS", limit)
+        encoding = fit_features(df, columns)
+        out = encoding.transform(unseen).select("k", "aIndex", "bIndex", vector_to_array(FEATURES).alias("x"))
+        encoded.append((sorted(map(tuple, out.collect())), names_of(spark, encoding)))
+    assert encoded[0] == encoded[1]
+
+
+def test_looking_labels_up_moves_no_rows(spark, plan_text):
+    df = subscribers(spark, 50)
+    text = plan_text(index_labels(df, FEATURE_COLUMNS, category_index(df, FEATURE_COLUMNS.categorical)))
+    rows_plan = text.split("Subqueries")[0]
+    assert "Exchange" not in rows_plan and "Join" not in rows_plan

@@ -8,15 +8,30 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.plans.attrition_run import run_attrition
-from ebbtide.sources import read_report, read_table, report_importances, report_metrics, staged, write_csv
+from ebbtide.sources import (
+    Publication,
+    published,
+    read_report,
+    read_table,
+    report_importances,
+    report_metrics,
+    staged,
+    write_csv,
+)
 from fixtures import subscribers
 
 TABLES = {
     "class_distribution", "segments", "rule_checks", "domain_checks", "roc_curve", "model_table", "confusion_matrix",
-    "importances", "predictions_preview", "report", "skipped_checks", "row_counts", "cleaned",
+    "importances", "predictions_preview", "report", "skipped_checks", "row_counts", "cleaned", "class_shares",
+    "check_evidence", "rescued_cells",
 }
 
 
+def run_folder(spark, target):
+    """The folder of the last complete run."""
+    return Path(published(spark, str(target)).removeprefix("file:"))
+
+
 @pytest.fixture(scope="module")
 def source(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("in") / "subscribers")
@@ -30,6 +45,7 @@ def csv(spark, path):
 
 def test_whole_run(spark, source, tmp_path):
     metrics = run_attrition(spark, source, str(tmp_path)).collect()
+    tmp_path = run_folder(spark, tmp_path)
     assert {path.name for path in tmp_path.iterdir()} == TABLES
     report = read_report(spark, str(tmp_path / "report"))
     again = report_metrics(report).collect()
@@ -45,6 +61,13 @@ def test_whole_run(spark, source, tmp_path):
     assert len(importances) == 49 and sum(row.importance for row in importances) == pytest.approx(1.0)
     assert sum(row.rows for row in csv(spark, tmp_path / "class_distribution")) == 1500
     assert len(csv(spark, tmp_path / "segments")) == 5 + 5 + 3 + 5 + 4
+    shares = csv(spark, tmp_path / "class_shares")
+    assert sum(row.share_pct for row in shares if row.segment == "all") == pytest.approx(100)
+    assert {row.check: row.violations for row in csv(spark, tmp_path / "check_evidence")} == {
+        **{row.rule: row.violations for row in csv(spark, tmp_path / "rule_checks")},
+        **{row.check: row.violations for row in csv(spark, tmp_path / "domain_checks")},
+    }
+    assert csv(spark, tmp_path / "rescued_cells") == []
     assert all(row.violations == 0 for row in csv(spark, tmp_path / "domain_checks"))
     assert len(csv(spark, tmp_path / "confusion_matrix")) == 6
     shown = csv(spark, tmp_path / "predictions_preview")
@@ -61,10 +84,11 @@ def test_run_with_random_split_and_missing_columns(spark, source, tmp_path):
     write_csv(table, str(tmp_path / "in"))
     metrics = run_attrition(spark, str(tmp_path / "in"), str(tmp_path / "out"), split="random")
     assert metrics.count() == 3
-    assert {path.name for path in (tmp_path / "out").iterdir()} == TABLES
-    skipped = {row.check for row in csv(spark, tmp_path / "out" / "skipped_checks")}
+    out = run_folder(spark, tmp_path / "out")
+    assert {path.name for path in out.iterdir()} == TABLES
+    skipped = {row.check for row in csv(spark, out / "skipped_checks")}
     assert {"TechSupport follows InternetService", "TechSupport in domain"} < skipped and len(skipped) == 4
-    assert len(csv(spark, tmp_path / "out" / "rule_checks")) == 7 - 1
+    assert len(csv(spark, out / "rule_checks")) == 7 - 1
     with pytest.raises(ValueError, match="unknown split"):
         run_attrition(spark, source, str(tmp_path / "out"), split="other")
 
@@ -86,13 +110,35 @@ def test_bad_cells_are_counted_and_whole_numbers_may_have_a_point(spark, source,
     changed = table.withColumn("tenure", F.when(F.col("row") > 2, F.concat(tenure, F.lit(".0"))).otherwise(tenure))
     write_csv(changed.drop("row").coalesce(1), str(tmp_path / "in"))
     run_attrition(spark, str(tmp_path / "in"), str(tmp_path / "out"))
-    counts = {(row.item, row.column): row.rows for row in csv(spark, tmp_path / "out" / "row_counts")}
+    out = run_folder(spark, tmp_path / "out")
+    counts = {(row.item, row.column): row.rows for row in csv(spark, out / "row_counts")}
+    rescued = csv(spark, out / "rescued_cells")
+    assert {(row.line, row.column, str(row.raw)) for row in rescued} == {(2, "tenure", "oops"), (4, "tenure", "7.5")}
     assert counts["read", None] == 400 and counts["kept", None] == 397
     assert counts["unparsable", "tenure"] == 2 and counts["null", "tenure"] == 1 and counts["null", "Churn"] == 0
-    assert spark.read.parquet(str(tmp_path / "out" / "cleaned")).count() == 397
+    assert spark.read.parquet(str(out / "cleaned")).count() == 397
+
+
+def test_a_run_that_dies_leaves_the_last_complete_one(spark, source, tmp_path, monkeypatch):
+    with pytest.raises(FileNotFoundError):
+        published(spark, str(tmp_path))
+    run_attrition(spark, source, str(tmp_path))
+    first = run_folder(spark, tmp_path)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("ebbtide.plans.attrition_run.write_report", fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_attrition(spark, source, str(tmp_path))
+    assert len(list((tmp_path / "runs").iterdir())) == 2 and run_folder(spark, tmp_path) == first
+    assert report_metrics(read_report(spark, str(first / "report"))).count() == 3
+    publication = Publication(spark, str(tmp_path))
+    publication.publish()
+    assert published(spark, str(tmp_path)) == publication.folder
 
 
-def test_command_line(source, tmp_path):
+def test_command_line(spark, source, tmp_path):
     run = subprocess.run(
         [sys.executable, "-m", "ebbtide", source, str(tmp_path / "out"), "--split", "hash"],
         cwd=Path(__file__).resolve().parents[1], capture_output=True, text=True, timeout=600,
@@ -100,5 +146,5 @@ def test_command_line(source, tmp_path):
     )
     assert run.returncode == 0, run.stderr[-2000:]
     assert "Random Forest" in run.stdout
-    document = json.loads(next((tmp_path / "out" / "report").glob("*.json")).read_text("utf-8"))
+    document = json.loads(next((run_folder(spark, tmp_path / "out") / "report").glob("*.json")).read_text("utf-8"))
     assert set(document["results"]) == {"Logistic Regression", "Decision Tree", "Random Forest"}

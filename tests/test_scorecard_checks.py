@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.operators.checks import DependencyRule, RangeRule, domain_violations, rule_violations
+from ebbtide.operators.checks import DependencyRule, DomainRule, RangeRule, check_report, domain_violations, rule_violations
 from ebbtide.operators.scorecard import risk_scorecard, tariff_rating
 from ebbtide.plans.subscribers import RISK_SCORECARD, SUBSCRIPTION_TARIFF, dependency_rules, domain_rules
 from fixtures import subscribers
@@ -74,3 +74,26 @@ def test_checks_take_one_scan(spark, plan_text):
 def test_scores_and_tariffs_add_no_shuffle(spark, plan_text):
     df = subscribers(spark, 10)
     assert "Exchange" not in plan_text(tariff_rating(risk_scorecard(df, RISK_SCORECARD), SUBSCRIPTION_TARIFF))
+
+
+def test_check_report_counts_as_the_single_checks_do_and_shows_the_same_keys_on_any_layout(spark):
+    rows = [(i, "a" if i % 3 else None, float(i % 10), i % 2 == 0, i % 4 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, d string, v double, c boolean, e boolean")
+    rules = [DependencyRule("c and e", F.col("c"), F.col("e"))]
+    domains = [DomainRule("d", ("b",)), RangeRule("v", 0, 8), RangeRule("v", 0, 20, F.col("c"), "c")]
+    reports = [
+        sorted(map(tuple, check_report(df.repartition(n), [*rules, *domains], F.col("k"), evidence=4).collect()))
+        for n in (1, 6)
+    ]
+    assert reports[0] == reports[1]
+    found = {row[0]: row for row in reports[0]}
+    assert {r.check: (r.rows, r.nulls, r.violations) for r in domain_violations(df, domains).collect()} == {
+        name: row[1:4] for name, row in found.items() if name != "c and e"
+    }
+    assert found["c and e"][3] == rule_violations(df, rules).first().violations == 100
+    for name, bad in (("c and e", lambda k: k % 4 == 2), ("v in [0, 8]", lambda k: k % 10 == 9)):
+        keys = [int(key) for key in found[name][4].split(", ")]
+        assert len(keys) == 4 and all(map(bad, keys))
+    assert found["v in [0, 20] if c"][4] == ""
+    assert check_report(df, [], F.col("k")).collect() == []
+    assert [r.rows for r in check_report(df.where("k < 0"), rules, F.col("k")).collect()] == [0]

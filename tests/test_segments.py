@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.operators.segments import class_distribution, rate_by_bin, rate_by_category, rate_by_ordinal
-from ebbtide.plans.segment_report import BIN, ORDINAL, Segment, segment_report
+from ebbtide.plans.segment_report import BIN, ORDINAL, Segment, class_report, segment_report
 from ebbtide.plans.subscribers import CHARGE_EDGES, SEGMENTS, TENURE_EDGES
 from fixtures import subscribers
 
@@ -88,3 +88,18 @@ def test_duplicate_edges_are_refused(spark):
     df = spark.createDataFrame([(1.0, 1)], "x double, y int")
     with pytest.raises(ValueError):
         rate_by_bin(df, "x", "y", (0, 5, 5))
+
+
+def test_classes_of_the_table_and_of_segments(spark, plan_text):
+    rows = [(1, "x", 5.0), (1, "x", 15.0), (0, "x", 5.0), (None, "y", 5.0), (2, "y", None), (2, None, -1.0)]
+    df = spark.createDataFrame(rows, "label int, kind string, v double")
+    found = class_report(df, "label", [Segment("kind", "kind"), Segment("v", "v", BIN, (0, 10))])
+    got = {(r.segment, r.value, r["class"]): (r.rows, round(r.share_pct, 3)) for r in found.collect()}
+    assert got == {
+        ("all", None, 1): (2, 33.333), ("all", None, 0): (1, 16.667), ("all", None, None): (1, 16.667), ("all", None, 2): (2, 33.333),
+        ("kind", "x", 1): (2, 66.667), ("kind", "x", 0): (1, 33.333), ("kind", "y", None): (1, 50.0), ("kind", "y", 2): (1, 50.0),
+        ("v", "(0,10]", 1): (1, 33.333), ("v", "(0,10]", 0): (1, 33.333), ("v", "(0,10]", None): (1, 33.333), ("v", ">10", 1): (1, 100.0),
+    }
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    text = plan_text(class_report(orders, "o_orderstatus", [Segment("p", "o_orderpriority"), Segment("c", "o_custkey")]))
+    assert text.count("Location: InMemoryFileIndex") == 1
