@@ -136,9 +136,9 @@ class RankMap:
     def rank(maps: Column, left: Column, right: Column) -> Column:
         """The rank of a pair, or ``_NO_RANK``; ``maps`` is the literal."""
         entry = F.get(maps["table"], (F.get(maps["shifts"], left) + right).cast("int"))
-        return F.when(F.shiftright(entry, _ID_BITS) == left, entry.bitwiseAND(F.lit(_ID_MASK))).otherwise(
-            F.lit(_NO_RANK)
-        )
+        # the rank if the entry names this left id; with any other one, or none, a number of more bits
+        beyond = (entry - left * F.lit(1 << _ID_BITS)).bitwiseAND(F.lit((1 << 63) - 1))
+        return F.least(beyond, F.lit(_NO_RANK))
 
 
 def _let(value: Column, body) -> Column:
@@ -169,7 +169,7 @@ def merge_expression(word: Column, byte_ids: Column, maps: Column) -> Column:
             )
             return F.when(
                 joint < _NO_RANK,
-                F.flatten(F.array(F.slice(pieces, F.lit(1), place - 2), changed, F.slice(pieces, place + 2, everything))),
+                F.concat(F.slice(pieces, F.lit(1), place - 2), changed, F.slice(pieces, place + 2, everything)),
             ).otherwise(pieces)
 
         # where only guards and pieces without a pair are left, the least is the first guard: its place is replaced by 2

@@ -50,6 +50,16 @@ DEMANDS = {
 }
 TERMS = ("permissive", "weak-copyleft", "copyleft", "restricted")
 
+#: First parts of the identifiers that an expression may hold besides those above; ``LicenseRef-`` names any other.
+_OTHER_FAMILIES = (
+    "0bsd", "afl", "agpl", "artistic", "blueoak", "bzip2", "cc-by", "cc-pddc", "cecill", "cpl", "curl", "ecl", "eupl", "fsfap",
+    "ftl", "gfdl", "hpnd", "icu", "ijg", "ipl", "json", "libpng", "licenseref", "lppl", "ms-pl", "ms-rl", "naist", "ncsa",
+    "ncl", "odbl", "ofl", "oldap", "openssl", "osl", "php", "postgresql", "psf", "python", "qpl", "ruby", "sissl", "sleepycat",
+    "spl", "tcl", "upl", "vim", "w3c", "wtfpl", "x11", "xfree86", "zpl",
+)
+_IDENTIFIER = re.compile("(?:%s)(?:-[a-z0-9.]+)*[+]?" % "|".join(map(re.escape, (*DEMANDS, *_OTHER_FAMILIES))))
+_EXCEPTION = re.compile(r"[a-z0-9.+-]*exception[a-z0-9.-]*")
+
 #: ASCII outside 0-9 and a-z separates words, A-Z becomes a-z, every other byte is part of a word.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -91,7 +101,9 @@ def parse_expression(line: str) -> Expression | None:
     """Read the longest valid licence expression at the start of ``line``.
 
     Shunting yard: ``with`` binds an exception to its licence, ``and`` binds closer than ``or``. A choice (``or``)
-    demands what its mildest side demands, a conjunction what its strictest side demands. None without an identifier.
+    demands what its mildest side demands, a conjunction what its strictest side demands. The expression ends before the
+    first operand that is no known identifier, ``LicenseRef-...`` or, after ``with``, exception, so words of the text
+    behind it are no labels. None without an identifier. Takes time in proportion to the line.
     """
     values: list[int] = []
     pending: list[str] = []
@@ -101,17 +113,18 @@ def parse_expression(line: str) -> Expression | None:
         right, left = values.pop(), values.pop()
         values.append({"or": min(left, right), "and": max(left, right), "with": left}[operator])
 
-    at, operand_next, best = 0, True, None
+    at, operand_next, best, open_brackets = 0, True, None, 0
     while match := _TOKEN.match(line, at):
         token = match[1].lower()
         at = match.end()
         if operand_next:
             if token == "(":
                 pending.append(token)
+                open_brackets += 1
                 continue
-            if token == ")" or token in _PRECEDENCE:
-                break
             exception = bool(pending) and pending[-1] == "with"
+            if not (_EXCEPTION if exception else _IDENTIFIER).fullmatch(token):
+                break
             values.append(0 if exception else demand(token))
             names.append(token)
             operand_next = False
@@ -121,6 +134,7 @@ def parse_expression(line: str) -> Expression | None:
             if not pending:
                 break
             pending.pop()
+            open_brackets -= 1
         elif token in _PRECEDENCE:
             while pending and pending[-1] != "(" and _PRECEDENCE[pending[-1]] >= _PRECEDENCE[token]:
                 apply(pending.pop())
@@ -129,13 +143,13 @@ def parse_expression(line: str) -> Expression | None:
             continue
         else:
             break
-        if "(" not in pending:  # a complete expression ends here; text after it may still extend it
+        if not open_brackets:  # a complete expression ends here; text after it may still extend it
             rest = values.copy()
             for operator in reversed(pending):
                 right, left = rest.pop(), rest.pop()
                 rest.append({"or": min(left, right), "and": max(left, right), "with": left}[operator])
-            best = Expression(tuple(names), rest[0])
-    return best
+            best = len(names), rest[0]
+    return best and Expression(tuple(names[: best[0]]), best[1])
 
 
 def scan_text(text: str | None) -> tuple:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -173,8 +174,18 @@ def candidates(text: str | None) -> list[Candidate]:
         separators = sum(not c.isdigit() for c in span)
         shape = f"{min((end - start) // 4, 9)}{min(separators, 4)}"
         found.append(Candidate(kind, start, end, base, "".join(VOTE_CHARS[v] for v in votes), shape))
-    base_spans = [c for c in found if c.base]
-    found = [c for c in found if c.base or not any(b.start < c.end and c.start < b.end for b in base_spans)]
+    covered: list[list[int]] = []  # by base spans, in order and apart from each other
+    for c in sorted((c for c in found if c.base), key=lambda c: c.start):
+        if covered and c.start < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], c.end)
+        else:
+            covered.append([c.start, c.end])
+
+    def free(c: Candidate) -> bool:
+        place = bisect_left(covered, c.end, key=lambda span: span[0])
+        return not place or covered[place - 1][1] <= c.start
+
+    found = [c for c in found if c.base or free(c)]
     return sorted(found, key=lambda c: (c.start, KINDS.index(c.kind), c.end))
 
 

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import scratch, staged
 
 REVISIT_BYTES = 1000
-FILE_BYTES = 16 << 20  # of payload in an archive file on average; a file is read whole
+RANGE_CAPTURES = 250_000  # about half a kilobyte each in a task
+FILE_BYTES = 16 << 20  # of payload in an archive file on average, 16 times as much at most; a file is read whole
 FIRST_CAPTURE = 1_704_067_200  # pages have no time of their own: page n was captured n seconds after this
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -90,12 +91,32 @@ def record_text(records: DataFrame) -> DataFrame:
     return records.select(F.concat(head, block).alias("value"))
 
 
+def size_classes(rows: int, size: int, largest: int) -> list[tuple[int, int]]:
+    """(most bytes of a payload, records per file), smallest first.
+
+    Almost all pages are in the first class, up to 16 times the mean, in files of ``FILE_BYTES`` on average. Larger ones
+    go to files of their own, fewer at a time. So no file holds more than 16 times ``FILE_BYTES``, or one payload,
+    however many large pages follow each other.
+    """
+    mean = max(size // max(rows, 1), 64)
+    classes = [(16 * mean, max(1, FILE_BYTES // mean)), (FILE_BYTES, 16), (largest, max(1, 16 * FILE_BYTES // max(largest, 1)))]
+    used = classes[:1]
+    for limit, per_file in classes[1:]:
+        if largest > used[-1][0] and limit > used[-1][0]:
+            used.append((limit, per_file))
+    return used
+
+
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write a WARC record for each page below ``path``, uncompressed, so that offsets can be used."""
-    rows, size = pages.agg(F.count("*"), F.sum(F.octet_length("html"))).head()
-    per_file = max(1, int(rows * FILE_BYTES // max(size or 0, 1)))
-    text = record_text(with_responses(pages))
-    text.write.option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
+    length = F.coalesce(F.octet_length("html"), F.lit(0))
+    rows, size, largest = pages.agg(F.count("*"), F.sum(length), F.max(length)).head()
+    records = with_responses(pages)
+    below = -1
+    for limit, per_file in size_classes(rows, size or 0, largest or 0):
+        text = record_text(records.where((F.col("size") > below) & (F.col("size") <= limit)))
+        text.write.mode("append").option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
+        below = limit
 
 
 CAPTURES = pa.schema(
@@ -220,7 +241,11 @@ def sorted_runs(captures: list[tuple]) -> list[list[tuple]]:
 
 
 def capture_history(runs: DataFrame) -> DataFrame:
-    """All captures, globally ordered by URL key, time and page: partition after partition, row after row."""
+    """All captures, globally ordered by URL key, time and page: partition after partition, row after row.
+
+    There are as many ranges as keep each at about ``RANGE_CAPTURES``, so what a task merges does not grow with the table.
+    """
+    ranges = max(1, -(-runs.count() // RANGE_CAPTURES))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         captures = [row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns))]
@@ -232,7 +257,7 @@ def capture_history(runs: DataFrame) -> DataFrame:
                 out = []
         yield _record_batch(out)
 
-    return runs.repartitionByRange("url_key", "captured_at", "page_id").mapInArrow(merge, CAPTURES_DDL)
+    return runs.repartitionByRange(ranges, "url_key", "captured_at", "page_id").mapInArrow(merge, CAPTURES_DDL)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:

@@ -105,7 +105,12 @@ def test_empty_tables(no_docs):
     [
         ("MIT", ("mit",), 0),
         ("(MIT OR GPL-3.0) AND Apache-2.0", ("mit", "gpl-3.0", "apache-2.0"), 0),
-        ("MIT AND GPL-2.0-only OR Foo", ("mit", "gpl-2.0-only", "foo"), 2),
+        ("MIT AND GPL-2.0-only OR LicenseRef-Foo", ("mit", "gpl-2.0-only", "licenseref-foo"), 2),
+        ("MIT AND GPL-2.0-only OR Foo", ("mit", "gpl-2.0-only"), 2),
+        ("MIT and this notice must stay", ("mit",), 0),
+        ("Apache-2.0 WITH LLVM-exception and the rest", ("apache-2.0", "llvm-exception"), 0),
+        ("GPL-2.0+ with love", ("gpl-2.0+",), 2),
+        ("the MIT", None, None),
         ("GPL-2.0 WITH Classpath-exception-2.0 AND MIT", ("gpl-2.0", "classpath-exception-2.0", "mit"), 2),
         ("MIT OR", ("mit",), 0),
         ("(MIT", None, None),
@@ -187,3 +192,25 @@ def test_rules_are_linear_in_ten_megabytes(piece):
     start = time.perf_counter()
     secrets.find_spans(text)
     assert time.perf_counter() - start < 20
+
+
+def test_scans_of_ten_megabytes_take_time_in_proportion():
+    import time
+
+    for scan, text in (
+        (licenses.scan_text, "SPDX-License-Identifier: " + "MIT OR " * 1_400_000),
+        (licenses.scan_text, "SPDX-License-Identifier: " + "(" * 10_000_000),
+        (licenses.scan_text, "mit license gnu general public license " * 250_000),
+        (pii.candidates, "1.2.3.4 212-555-0100 " * 150_000),
+        (pii.candidates, "a" * 5_000_000 + "@" + "b" * 5_000_000),
+        (pii.candidates, "1" * 10_000_000),
+    ):
+        start = time.perf_counter()
+        scan(text)
+        assert time.perf_counter() - start < 60, text[:40]
+
+
+def test_proposals_across_base_spans_go():
+    text = "call +1 212-555-0100 or 212-555-0100, at 1.2.3.4"
+    kinds = [(c.kind, c.start) for c in pii.candidates(text)]
+    assert kinds == [("phone", 5), ("local_phone", 24), ("ip", 41)]

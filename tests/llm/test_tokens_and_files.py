@@ -193,3 +193,19 @@ def test_likeness_follows_the_shared_part():
     a, b, c = (fingerprints.likeness(base, other) for other in (near, half, far))
     assert fingerprints.likeness(base, base) == 1 and a > b > c and c < 0.1
     assert fingerprints.likeness(near, base) == a
+
+
+def test_large_pages_go_to_files_of_their_own(spark, monkeypatch):
+    """No file beyond the bound but for a page that is larger itself; every page reads back."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 12_000)
+    monkeypatch.setattr(warc, "RANGE_CAPTURES", 40)
+    sizes = [100] * 1200 + [11_000] * 40 + [250_000] * 3 + [0]
+    rows = [(i, f"http://example.org/{i % 50}", chr(97 + i % 26) * size) for i, size in enumerate(sizes)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    found = {r.page_id: r for r in warc.archive_round_trip(pages).collect()}
+    assert {i: r.payload_bytes for i, r in found.items()} == dict(enumerate(sizes))
+    ends = {}
+    for r in found.values():
+        ends[r.file] = max(ends.get(r.file, 0), r.offset + r.length)
+    assert len(ends) >= 6 and all(end < 270_000 for end in ends.values())
+    assert warc.size_classes(0, 0, 0)[0][1] >= 1
