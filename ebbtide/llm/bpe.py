@@ -37,7 +37,7 @@ from ebbtide.llm.common import staged
 BLOCK_CHARS = 2_000_000
 SAMPLE_BYTES = 64_000_000
 KNOWN_WORDS = 400_000  # 40 bytes each in a task
-TASK_WORDS = 500_000  # some 150 bytes each in a task
+TASK_WORDS = 250_000  # some 150 bytes each in a task
 LONG_WORD = 256
 #: A piece of a word in one long: rank of the pair that it begins, its first byte, its id.
 _ID_BITS, _RANK_SHIFT = 20, 40
