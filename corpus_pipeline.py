@@ -45,13 +45,15 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: the columns of the documents, token ids of each text, and digests of the ids and of what they decode to.
+    """Operator 4: token ids in place of each text, beside the other columns, and digests of ids and of what they decode to.
 
-    ``ids`` holds little-endian unsigned 32-bit integers. Null and empty texts have no ids; every row gives a row.
+    ``ids`` holds little-endian unsigned 32-bit integers, from which ``bpe.decode`` makes the text again. Null and empty
+    texts have no ids; every row gives a row.
     """
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     vocabulary = bpe.Vocabulary.load(path, public_tokenizers.PATTERN)
-    return bpe.with_digests(bpe.encode(docs, vocabulary, with_decoded=True, keep=docs.columns))
+    kept = [name for name in docs.columns if name != "text"]
+    return bpe.with_digests(bpe.encode(docs, vocabulary, with_decoded=True, keep=kept))
 
 
 STAGES = [
