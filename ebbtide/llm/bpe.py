@@ -37,7 +37,7 @@ from ebbtide.llm.common import staged
 BLOCK_CHARS = 2_000_000
 SAMPLE_BYTES = 64_000_000
 KNOWN_WORDS = 400_000  # 40 bytes each in a task
-TASK_WORDS = 250_000  # some 150 bytes each in a task
+TASK_WORDS = 500_000  # some 150 bytes each in a task
 LONG_WORD = 256
 #: A piece of a word in one long: rank of the pair that it begins, its first byte, its id.
 _ID_BITS, _RANK_SHIFT = 20, 40
@@ -342,15 +342,15 @@ def known_words(docs: DataFrame, shared: Broadcast, byte_ids: Column, ranks: Ran
 class _Splitter:
     """Words of a task's documents as numbers: tokens, known words, then the others in the order in which they come."""
 
-    def __init__(self, vocabulary: Vocabulary, known: KnownWords) -> None:
-        self.vocabulary, self.known = vocabulary, known
+    def __init__(self, vocabulary: Vocabulary, known: KnownWords, most_words: int) -> None:
+        self.vocabulary, self.known, self.most_words = vocabulary, known, most_words
         self.whole = whole_tokens(vocabulary)
         self.rank: dict[bytes, int] = {}
         self.codes: _Codes | None = None
 
     def block(self, rest: pa.Table, texts: list[str]) -> pa.RecordBatch:
         n_tokens = len(self.vocabulary.tokens)
-        restart = self.codes is None or self.codes.next > n_tokens + TASK_WORDS
+        restart = self.codes is None or self.codes.next > n_tokens + self.most_words
         if restart:
             self.codes = _Codes(self.whole, n_tokens)
             self.final = np.arange(n_tokens, dtype=np.int32)  # number of each code
@@ -401,10 +401,17 @@ def _as_bytes(rest: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, with_decoded: bool = False, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    with_decoded: bool = False,
+    keep: Sequence[str] = ("doc_id",),
+    task_words: int = TASK_WORDS,
+) -> DataFrame:
     """The columns ``keep`` of every row, n_tokens, and ids as little-endian unsigned 32-bit integers in a binary.
 
-    On demand also ``decoded``, the bytes that the ids stand for.
+    On demand also ``decoded``, the bytes that the ids stand for. ``task_words`` bounds what a task remembers; it changes
+    its memory and how often a word is merged again, never the ids.
     """
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(vocabulary)
@@ -415,7 +422,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, with_decoded: bool = False,
     source = docs.select(F.col("text").alias("text"), *[F.col(f"`{c}`").alias(name) for c, name in zip(keep, names)])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = _Splitter(shared.value, known.value)
+        splitter = _Splitter(shared.value, known.value, task_words)
         for batch in batches:
             first, chars, texts = 0, 0, []
             for row, text in enumerate(batch.column(0), 1):
