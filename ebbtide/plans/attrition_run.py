@@ -23,6 +23,7 @@ from ebbtide.sources import (
     read_cells,
     rescued_cells,
     staged,
+    table_format,
     typed,
     write_csv,
     write_report,
@@ -75,7 +76,7 @@ def run_attrition(
     save(class_report(table, subscribers.LABEL, segments), "class_shares")
     if subscribers.KEY in have:
         save(check_report(table, [*rules, *domains], F.col(subscribers.KEY)), "check_evidence")
-    if not infer and (fmt or source.rsplit(".", 1)[-1]) != "parquet":
+    if not infer and table_format(source, fmt) == "csv":
         save(rescued_cells(spark, source), "rescued_cells")
     save(rule_violations(table, rules), "rule_checks")
     save(domain_violations(table, domains), "domain_checks")

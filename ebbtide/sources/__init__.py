@@ -18,6 +18,7 @@ from ebbtide.sources.tables import (
     read_table,
     rescued_cells,
     small_table,
+    table_format,
     typed,
     write_csv,
 )
@@ -40,6 +41,7 @@ __all__ = [
     "small_table",
     "staged",
     "staging_path",
+    "table_format",
     "typed",
     "write_csv",
     "write_report",

@@ -33,9 +33,14 @@ def read_table(
     return cells if infer or schema is None else typed(cells, schema)
 
 
+def table_format(path: str, fmt: str | None = None) -> str:
+    """The given format, or the one that the path's suffix names: parquet, and CSV for everything else."""
+    return fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
+
+
 def read_cells(spark: SparkSession, path: str, fmt: str | None = None, infer: bool = False) -> DataFrame:
     """The table as it is stored: parquet with its types, CSV as text (or with inferred types)."""
-    fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
+    fmt = table_format(path, fmt)
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt != "csv":
