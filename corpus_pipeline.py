@@ -53,8 +53,8 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     vocabulary = bpe.Vocabulary.load(path, public_tokenizers.PATTERN)
     kept = [name for name in docs.columns if name != "text"]
-    # the workers of the stages before keep their caches, so this one remembers fewer words
-    encoded = bpe.encode(docs, vocabulary, with_decoded=True, keep=kept, task_words=bpe.TASK_WORDS // 2)
+    # the workers of the stages before keep their caches, so a task of this one remembers a block's words only
+    encoded = bpe.encode(docs, vocabulary, with_decoded=True, keep=kept, task_words=60_000)
     return bpe.with_digests(encoded)
 
 
