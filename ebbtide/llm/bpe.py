@@ -1,7 +1,7 @@
 """Operator 4: byte-level BPE. Higher-order functions fold the ranked merges over the byte arrays of distinct words.
 
 Python tasks split texts into words and hand Spark the distinct words that are not known yet; a native expression merges
-them with a literal map from pairs of ids to ranks; a second Python step of the same task puts the ids in the places of
+them with a map from pairs of ids to ranks; a second Python step of the same task puts the ids in the places of
 the words and, to decode, joins the binary pieces of the ids. A word is merged once per task however often it occurs, no
 text is shuffled, and rows between the steps are blocks of whole documents of about ``BLOCK_CHARS`` characters.
 
@@ -19,7 +19,7 @@ import base64
 import heapq
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
 from typing import NamedTuple
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,14 +99,29 @@ def _literal(numbers: list[int], kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
 
 
+class Ranks(NamedTuple):
+    """The two arrays of a rank map inside an expression."""
+
+    shifts: Column
+    table: Column
+
+    def of(self, left: Column, right: Column) -> Column:
+        """The rank of a pair, or ``_NO_RANK``."""
+        entry = F.get(self.table, (F.get(self.shifts, left) + right).cast("int"))
+        # the rank if the entry names this left id; with any other one, or none, a number of more bits
+        beyond = (entry - left * F.lit(1 << _ID_BITS)).bitwiseAND(F.lit((1 << 63) - 1))
+        return F.least(beyond, F.lit(_NO_RANK))
+
+
 class RankMap:
-    """Literal map from a pair of ids to its rank, as one table that all left ids share.
+    """Map from a pair of ids to its rank, as one table that all left ids share.
 
     The row of a left id is shifted to where its entries fall on free places; an entry names its left id, so a lookup is
-    one addition, one access and one comparison.
+    one addition, one access and one comparison. The table is a scalar of the plan: a literal of that length would be in
+    every copy of the plan and in its texts, which the driver keeps.
     """
 
-    def __init__(self, pairs: dict[tuple[int, int], int]) -> None:
+    def __init__(self, spark: SparkSession, pairs: dict[tuple[int, int], int]) -> None:
         rows: dict[int, list[tuple[int, int]]] = {}
         for (left, right), rank in pairs.items():
             rows.setdefault(left, []).append((right, rank))
@@ -128,17 +143,23 @@ class RankMap:
             table[rights + shift] = [left << _ID_BITS | rank for _, rank in entries]
             free[rights + shift] = False
         used = int(np.flatnonzero(table >= 0).max(initial=-1)) + 1
-        self.literal = F.struct(
-            _literal(shifts.tolist(), "int").alias("shifts"), _literal(table[:used].tolist(), "bigint").alias("table")
+        arrays = pa.array([shifts], pa.list_(pa.int32())), pa.array([table[:used]], pa.list_(pa.int64()))
+        row = spark.createDataFrame(pa.table(arrays, ["shifts", "table"]))
+        self.maps = row.select(F.struct("shifts", "table")).scalar()
+
+    def lookup(self, rows: DataFrame, name: str, body: Callable[[Ranks], Column]) -> DataFrame:
+        """The rows with a column of what ``body`` makes of the map's arrays, which are fetched once a row.
+
+        A scalar may not be written inside a higher-order function, so it is a column first, which the planner puts
+        where it is used: no row holds it.
+        """
+        value = _let(
+            F.col("rank_maps"),
+            lambda maps: _let(
+                maps["shifts"], lambda shifts: _let(maps["table"], lambda table: body(Ranks(shifts, table)))
+            ),
         )
-
-    @staticmethod
-    def rank(maps: Column, left: Column, right: Column) -> Column:
-        """The rank of a pair, or ``_NO_RANK``; ``maps`` is the literal."""
-        entry = F.get(maps["table"], (F.get(maps["shifts"], left) + right).cast("int"))
-        # the rank if the entry names this left id; with any other one, or none, a number of more bits
-        beyond = (entry - left * F.lit(1 << _ID_BITS)).bitwiseAND(F.lit((1 << 63) - 1))
-        return F.least(beyond, F.lit(_NO_RANK))
+        return rows.withColumn("rank_maps", self.maps).select(*rows.columns, value.alias(name))
 
 
 def _let(value: Column, body) -> Column:
@@ -146,7 +167,7 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def merge_expression(word: Column, byte_ids: Column, maps: Column) -> Column:
+def merge_expression(word: Column, byte_ids: Column, ranks: Ranks) -> Column:
     """Ids of a word given as an array of byte values: a fold with one step per possible merge.
 
     A piece is one long: the rank of its pair with the next piece, the byte at which it starts, its id. The least of
@@ -164,8 +185,8 @@ def merge_expression(word: Column, byte_ids: Column, maps: Column) -> Column:
             best, before, after = (F.element_at(pieces, place + shift) for shift in (0, -1, 2))
             joint = F.shiftright(best, _RANK_SHIFT)
             changed = F.array(
-                RankMap.rank(maps, id_of(before), joint) * rank_unit + before.bitwiseAND(F.lit(_START_AND_ID)),
-                RankMap.rank(maps, joint, id_of(after)) * rank_unit + best.bitwiseAND(F.lit(_START_MASK)) + joint,
+                ranks.of(id_of(before), joint) * rank_unit + before.bitwiseAND(F.lit(_START_AND_ID)),
+                ranks.of(joint, id_of(after)) * rank_unit + best.bitwiseAND(F.lit(_START_MASK)) + joint,
             )
             return F.when(
                 joint < _NO_RANK,
@@ -178,7 +199,7 @@ def merge_expression(word: Column, byte_ids: Column, maps: Column) -> Column:
     def fold(ids: Column) -> Column:
         first = F.transform(
             ids,
-            lambda id_, i: RankMap.rank(maps, id_, F.coalesce(F.get(ids, i + 1), F.lit(_GUARD_ID))) * rank_unit
+            lambda id_, i: ranks.of(id_, F.coalesce(F.get(ids, i + 1), F.lit(_GUARD_ID))) * rank_unit
             + (i + 1) * start_unit
             + id_,
         )
@@ -306,7 +327,7 @@ def whole_tokens(vocabulary: Vocabulary) -> dict[str, int]:
     return whole
 
 
-def known_words(docs: DataFrame, shared: Broadcast, byte_ids: Column, ranks: RankMap) -> KnownWords:
+def known_words(docs: DataFrame, shared: Broadcast, byte_ids: Column, rank_map: RankMap) -> KnownWords:
     """Merge the words of a sample of documents, chosen by a hash of their text."""
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     share = min(1.0, SAMPLE_BYTES / max(size, 1))
@@ -333,10 +354,9 @@ def known_words(docs: DataFrame, shared: Broadcast, byte_ids: Column, ranks: Ran
     few = counts.count() <= KNOWN_WORDS
     words = counts if few else counts.orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
     words = words.select("word").repartition(2 * docs.sparkSession.sparkContext.defaultParallelism)
-    merged = words.mapInArrow(as_bytes, "word binary, bytes array<int>").select(
-        "word", _let(ranks.literal, lambda maps: merge_expression(F.col("bytes"), byte_ids, maps)).alias("ids")
-    )
-    return KnownWords.of(merged.toArrow())  # at most KNOWN_WORDS words
+    spelled = words.mapInArrow(as_bytes, "word binary, bytes array<int>")
+    merged = rank_map.lookup(spelled, "ids", lambda ranks: merge_expression(F.col("bytes"), byte_ids, ranks))
+    return KnownWords.of(merged.select("word", "ids").toArrow())  # at most KNOWN_WORDS words
 
 
 class _Splitter:
@@ -416,8 +436,8 @@ def encode(
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(vocabulary)
     byte_ids = _literal([vocabulary.tokens.index(bytes([b])) for b in range(256)], "int")
-    ranks = RankMap(vocabulary.pairs())
-    known = context.broadcast(known_words(docs, shared, byte_ids, ranks))
+    rank_map = RankMap(docs.sparkSession, vocabulary.pairs())
+    known = context.broadcast(known_words(docs, shared, byte_ids, rank_map))
     names = [f"k{i}" for i in range(len(keep))]  # kept columns may have any names
     source = docs.select(F.col("text").alias("text"), *[F.col(f"`{c}`").alias(name) for c, name in zip(keep, names)])
 
@@ -455,17 +475,16 @@ def encode(
                     columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
                     yield pa.RecordBatch.from_arrays(columns, [*names, "n_tokens", "ids", "decoded"][: len(columns)])
 
-    merged = _let(
-        ranks.literal,
-        lambda maps: F.transform(
+    def merged(ranks: Ranks) -> Column:
+        return F.transform(
             F.col("words"),
-            lambda word, i: F.when(F.size(word) > 0, merge_expression(word, byte_ids, maps)).otherwise(
+            lambda word, i: F.when(F.size(word) > 0, merge_expression(word, byte_ids, ranks)).otherwise(
                 F.get(F.col("long_words"), i)
             ),
-        ),
-    )
-    blocks = source.mapInArrow(split, BLOCKS_DDL)
-    blocks = blocks.select("rest", "sizes", "codes", "restart", merged.alias("merged"))
+        )
+
+    blocks = rank_map.lookup(source.mapInArrow(split, BLOCKS_DDL), "merged", merged)
+    blocks = blocks.select("rest", "sizes", "codes", "restart", "merged")
     kept = T.StructType([T.StructField(name, source.schema[name].dataType) for name in names])
     kept = kept.add("n_tokens", T.LongType()).add("ids", T.BinaryType())
     encoded = blocks.mapInArrow(place, kept.add("decoded", T.BinaryType()) if with_decoded else kept)

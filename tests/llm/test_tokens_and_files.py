@@ -55,6 +55,15 @@ def test_bpe_without_known_words_and_with_long_words(spark, vocabulary, library,
         assert bytes(row.decoded).decode() == texts[row.doc_id]
 
 
+def test_the_ranks_are_in_no_text_of_the_plan_and_in_no_row(spark, vocabulary, plan_text):
+    """The driver keeps plans and their texts, one for every action: as a literal, the ranks took megabytes in each."""
+    docs = spark.createDataFrame([(1, "unbelievable circumstances")], "doc_id long, text string")
+    encoded = bpe.encode(docs, vocabulary)
+    assert len(plan_text(encoded)) < 100_000
+    assert encoded._jdf.queryExecution().toString().count("rank_maps") > 0
+    assert "rank_maps" not in plan_text(encoded)
+
+
 def test_splits_agree_with_the_pattern(library):
     for text in ("plain text's end", "\x1c\x1d a\x85b᠎ c", "½² Ⅷ٣", "á ñ _x_", "  　x"):
         assert "".join(bpe.split_words(text, bpe.WORD_PATTERN)) == text
