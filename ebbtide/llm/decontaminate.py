@@ -40,7 +40,7 @@ BLOCK_PASSAGES, BLOCK_WORDS = 5_000, 1_000_000  # at most so many, on average, a
 SHORT_WORDS = 8
 MISMATCH, GAP = 0.5, 0.5  # the count of seeds relies on these
 THRESHOLD = 0.4
-CACHED_WORDS = 200_000
+CACHED_WORDS = 25_000  # a worker keeps them; more save no time
 
 _WORD_BYTES = bytes(
     b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)

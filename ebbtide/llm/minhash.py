@@ -34,7 +34,7 @@ BATCH = 25  # hashes compared before each look at the posterior
 MISS = 1e-6  # a pair is pruned when its posterior chance of reaching the threshold is below this
 BLOCK, BLOCK_SHINGLES = 1024, 2_000_000  # nodes and shingles of one bucket that are compared in one group
 BROADCAST_ROWS = 500_000  # addresses of candidate texts are broadcast up to this many (24 bytes each), joined beyond
-CACHED_WORDS = 200_000
+CACHED_WORDS = 25_000  # a worker keeps them; more save no time
 
 _MASK = (1 << 64) - 1
 _random = np.random.default_rng(8)

@@ -6,10 +6,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from ebbtide.llm import minhash, quality, queries
+from ebbtide.llm import decontaminate, minhash, quality, queries
 from oracle import canonical, connect, run_sql
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -94,6 +95,19 @@ def test_one_id_with_two_texts_loses_neither(spark):
     assert kept == sorted([rows[0], rows[1], rows[4], rows[6], rows[7]], key=key)
 
 
+@pytest.mark.parametrize("module", [decontaminate, minhash])
+def test_a_worker_remembers_few_words(module):
+    """A worker process keeps what it remembers through all stages; what it forgets is hashed again, to the same."""
+    words = [f"w{i}" for i in range(60_000)]
+    text = " ".join(words + words[:100])
+    if module is minhash:
+        assert len(minhash.shingle_set(text, 1)) == len(words)
+    else:
+        want = [xxhash.xxh3_64_intdigest(word.encode()) for word in words + words[:100]]
+        assert decontaminate.word_hashes(text).tolist() == want
+    assert len(module._word_hashes) <= 25_000
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_matches_sql(spark, name):
     sf_dir = "/root/testdata/sf0.01"
